@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from corpusflow.functions.hashing import HASH_SPAN, int_div
 from corpusflow.session import materialise
@@ -25,16 +25,29 @@ BLOCK_ROWS = 65_536
 
 @dataclass(frozen=True)
 class Running:
-    """A running aggregate: ``how`` is sum, min or max; exclusive leaves out the current row."""
+    """An aggregate along an order: ``how`` is sum, min or max.
+
+    ``exclusive`` leaves out the current row; ``whole`` covers the whole group instead of its start.
+    """
 
     how: str
     value: Column
     exclusive: bool = False
+    whole: bool = False
 
-    def over(self, column: str, window) -> Column:
-        return getattr(F, self.how)(column).over(window)
+    def local(self, column: str, inside: WindowSpec) -> Column:
+        """The aggregate within the row's own chunk."""
+        stop = Window.unboundedFollowing if self.whole else -1 if self.exclusive else Window.currentRow
+        return getattr(F, self.how)(column).over(inside.rowsBetween(Window.unboundedPreceding, stop))
+
+    def carry(self, column: str, chunks: WindowSpec) -> Column:
+        """The aggregate over the earlier chunks, or over all of them."""
+        stop = Window.unboundedFollowing if self.whole else -1
+        return getattr(F, self.how)(column).over(chunks.rowsBetween(Window.unboundedPreceding, stop))
 
     def combine(self, carried: Column, local: Column) -> Column:
+        if self.whole:
+            return F.coalesce(carried, local)
         if self.how == "sum":
             return F.coalesce(carried, F.lit(0)) + F.coalesce(local, F.lit(0))
         return (F.least if self.how == "min" else F.greatest)(carried, local)
@@ -82,27 +95,25 @@ def running(
     if chunk is None:
         staged = range_chunks(df.withColumns(values), group + order, parts)
     else:
-        staged = df.withColumns({CHUNK: chunk, **values})
+        # Values first: they may read the columns that the results replace.
+        staged = df.withColumns({**values, CHUNK: chunk})
         if stage:
             staged = materialise(staged, "chunks")
 
     inside = Window.partitionBy(*group, CHUNK).orderBy(*order)
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    local = staged.withColumns(
-        {f"_l_{out}": s.over(f"_v_{out}", before if s.exclusive else upto) for out, s in outs.items()}
-    )
+    local = staged.withColumns({f"_l_{out}": s.local(f"_v_{out}", inside) for out, s in outs.items()})
 
     totals = staged.groupBy(*group, CHUNK).agg(
         *[getattr(F, s.how)(f"_v_{out}").alias(f"_t_{out}") for out, s in outs.items()]
     )
-    earlier = Window.partitionBy(*group).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per (group, chunk); groups that lie in a single chunk have nothing to carry. Range
+    # chunks hold at most one group that began earlier, so what is left is small.
+    chunks = Window.partitionBy(*group).orderBy(CHUNK)
     keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate([*group, CHUNK])]
-    first = F.row_number().over(Window.partitionBy(*group).orderBy(CHUNK)) == 1
     carried = totals.select(
-        *keys, first.alias("_first"),
-        *[s.over(f"_t_{out}", earlier).alias(f"_c_{out}") for out, s in outs.items()],
-    ).where(~F.col("_first"))
+        *keys, F.count(F.lit(1)).over(Window.partitionBy(*group)).alias("_chunks"),
+        *[s.carry(f"_t_{out}", chunks).alias(f"_c_{out}") for out, s in outs.items()],
+    ).where(F.col("_chunks") > 1)
     match = F.lit(True)
     for i, k in enumerate([*group, CHUNK]):
         match = match & F.col(f"_k{i}").eqNullSafe(F.col(k))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("corpus", "sequences")
+FAMILIES = ("corpus", "sequences", "preparation", "scoring")
 
 
 def load():

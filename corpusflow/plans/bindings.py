@@ -5,10 +5,12 @@ Each role exists twice: as a DataFrame here, and as SQL common table expressions
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusflow.functions import text as tx
+from corpusflow.functions.hashing import hash_uniform, int_div
 from corpusflow.operators import mixing, tokens
+from corpusflow.operators.ordering import ordered_position
 
 SEED = 42
 BUFFER = 256
@@ -140,8 +142,10 @@ unbounded AS (
 mixed AS (SELECT * FROM unbounded {keep})"""
 
 
-SQL_VOCAB = f"""
-freq AS (SELECT token, count(*) AS n FROM (SELECT unnest({SQL_WORDS}) AS token FROM documents) GROUP BY token),
+def vocab_sql(source: str = "documents") -> str:
+    """CTEs freq and vocab over the texts of ``source``."""
+    return f"""
+freq AS (SELECT token, count(*) AS n FROM (SELECT unnest({SQL_WORDS}) AS token FROM {source}) GROUP BY token),
 vocab AS (
   SELECT token, n, id FROM (
     SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) + 3 AS INT) AS id FROM freq)
@@ -149,9 +153,152 @@ vocab AS (
   UNION ALL SELECT * FROM (VALUES ('<unk>', CAST(0 AS BIGINT), 0), ('<s>', CAST(0 AS BIGINT), 1),
                                   ('</s>', CAST(0 AS BIGINT), 2), ('<pad>', CAST(0 AS BIGINT), 3)))"""
 
-#: one row per (doc_id, idx): the id of the token at offset ``idx`` (0-based)
-SQL_IDS = f"""{SQL_VOCAB},
+
+def ids_sql(source: str = "documents", key: str = "doc_id") -> str:
+    """vocab_sql and ids: one row per (key, idx), the id of the token at offset idx (0-based)."""
+    return f"""{vocab_sql(source)},
 spread AS (
-  SELECT doc_id, unnest({SQL_WORDS}) AS token, unnest(range(len({SQL_WORDS}))) AS idx FROM documents),
+  SELECT {key}, unnest({SQL_WORDS}) AS token, unnest(range(len({SQL_WORDS}))) AS idx FROM {source}),
 ids AS (
-  SELECT s.doc_id, s.idx, coalesce(v.id, 0) AS id FROM spread s LEFT JOIN vocab v ON s.token = v.token AND v.id > 3)"""
+  SELECT s.{key}, s.idx, coalesce(v.id, 0) AS id FROM spread s LEFT JOIN vocab v ON s.token = v.token AND v.id > 3)"""
+
+
+def padded_sql(source: str, key: str, length: int = SEQ_LEN) -> str:
+    """ids_sql and filled: (key, idx, id, m) on every place up to ``length``, m = 0 on padding."""
+    return f"""{ids_sql(source, key)},
+grid AS (SELECT {key}, unnest(range({length})) AS idx FROM {source}),
+filled AS (
+  SELECT g.{key}, g.idx, coalesce(i.id, 3) AS id, CASE WHEN i.idx IS NULL THEN 0 ELSE 1 END AS m
+  FROM grid g LEFT JOIN ids i ON g.{key} = i.{key} AND g.idx = i.idx)"""
+
+
+SQL_VOCAB = vocab_sql()
+SQL_IDS = ids_sql()
+
+# ------------------------------------------------------------------ conversations
+
+
+def first_turns(spark: SparkSession, sf: str) -> DataFrame:
+    """Per conversation: the first user turn and the first and last assistant turns."""
+    said = lambda role: F.when(F.col("role") == role, F.col("turn"))
+    return table(spark, sf, "conversations").groupBy("conv_id").agg(
+        F.coalesce(F.min_by("text", said("user")), F.lit("")).alias("prompt"),
+        F.coalesce(F.min_by("text", said("assistant")), F.lit("")).alias("first_reply"),
+        F.coalesce(F.max_by("text", said("assistant")), F.lit("")).alias("last_reply"),
+    )
+
+
+def pair_logps(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Policy and reference log-probabilities per conversation; the reference misses every fifth."""
+    ids = table(spark, sf, "conversations").select(F.col("conv_id").alias("pair_id")).distinct()
+    score = lambda name: (F.lit(-100.0) * hash_uniform(SEED, name, F.col("pair_id"))).alias(name)
+    policy = ids.select("pair_id", score("policy_chosen"), score("policy_rejected"))
+    reference = ids.where(F.col("pair_id") % 5 != 0).select("pair_id", score("ref_chosen"), score("ref_rejected"))
+    return policy, reference
+
+
+SQL_TURNS = """
+turns AS (
+  SELECT conv_id, coalesce(arg_min(text, turn) FILTER (role = 'user'), '') AS prompt,
+         coalesce(arg_min(text, turn) FILTER (role = 'assistant'), '') AS first_reply,
+         coalesce(arg_max(text, turn) FILTER (role = 'assistant'), '') AS last_reply
+  FROM conversations GROUP BY conv_id)"""
+
+SQL_CHATS = r"""
+chats AS (
+  SELECT conv_id, string_agg('<|' || coalesce(role, 'user') || E'|>\n' || coalesce(text, '') || E'\n', '' ORDER BY turn) AS text
+  FROM conversations GROUP BY conv_id)"""
+
+SQL_PAIRS = f"""
+pairs AS (
+  SELECT pair_id, -100.0::DOUBLE * {hu('policy_chosen', 'pair_id')} AS policy_chosen,
+         -100.0::DOUBLE * {hu('policy_rejected', 'pair_id')} AS policy_rejected,
+         CASE WHEN pair_id % 5 = 0 THEN 0.0 ELSE -100.0::DOUBLE * {hu('ref_chosen', 'pair_id')} END AS ref_chosen,
+         CASE WHEN pair_id % 5 = 0 THEN 0.0 ELSE -100.0::DOUBLE * {hu('ref_rejected', 'pair_id')} END AS ref_rejected
+  FROM (SELECT DISTINCT conv_id AS pair_id FROM conversations))"""
+
+# ------------------------------------------------------------------ token scores and candidates
+
+_LINE_ORDER = (
+    "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag",
+    "l_linestatus",
+)
+
+
+def _placed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_orderkey", *_LINE_ORDER)
+    return ordered_position(lines, ["l_orderkey"], _LINE_ORDER, "pos").withColumn("pos", F.col("pos") - 1)
+
+
+def token_logps(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem as (domain, batch_id, seq_id, pos, label, logp)."""
+    return _placed_lines(spark, sf).select(
+        F.col("l_linestatus").alias("domain"), int_div(F.col("l_orderkey"), 64).alias("batch_id"),
+        F.col("l_orderkey").alias("seq_id"), "pos",
+        F.when(F.col("l_returnflag") == "A", F.lit(-100)).otherwise(F.col("l_partkey")).alias("label"),
+        (F.lit(-10.0) * F.col("l_discount") - F.lit(0.1)).alias("logp"),
+    )
+
+
+def candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem as (query_id, token_id, logit)."""
+    return _placed_lines(spark, sf).select(
+        F.col("l_orderkey").alias("query_id"), F.col("pos").alias("token_id"),
+        (F.col("l_extendedprice") / 10000).alias("logit"),
+    )
+
+
+SQL_LINES = f"""
+lines AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_LINE_ORDER)}) - 1 AS pos FROM lineitem),
+logps AS (
+  SELECT l_linestatus AS domain, l_orderkey // 64 AS batch_id, l_orderkey AS seq_id, pos,
+         CASE WHEN l_returnflag = 'A' THEN -100 ELSE l_partkey END AS label, -10.0::DOUBLE * l_discount - 0.1::DOUBLE AS logp
+  FROM lines),
+cand AS (SELECT l_orderkey AS query_id, pos AS token_id, l_extendedprice / 10000 AS logit FROM lines)"""
+
+# ------------------------------------------------------------------ responses
+
+
+def responses(spark: SparkSession, sf: str) -> DataFrame:
+    """orders as (response_id, prompt_id, question, completion, response, answer).
+
+    The response shows the order's total after ####, as its last number, not at all, or wrong.
+    """
+    total = F.floor("o_totalprice").cast("bigint")
+    kind = F.col("o_orderkey") % 4
+    said = (
+        F.when(kind == 0, F.concat(F.lit("so the sum is #### "), F.format_number(total, 0)))
+        .when(kind == 1, F.concat(F.lit("first 3, then "), F.format_number(total, 0), F.lit(".")))
+        .when(kind == 2, F.lit("no idea"))
+        .otherwise(F.concat(F.lit("####  "), F.format_number(total + 1, 0)))
+    )
+    question = F.concat(F.lit("What did customer "), F.col("o_custkey").cast("string"), F.lit(" pay?"))
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("response_id"), int_div(F.col("o_orderkey"), 4).alias("prompt_id"),
+        question.alias("question"), said.alias("response"),
+        F.concat(tx.question_prompt(question), F.lit(" "), said, F.lit(" \n")).alias("completion"),
+        F.concat(F.lit("$"), F.format_number(total, 0)).alias("answer"),
+    )
+
+
+SQL_RESPONSES = r"""
+totals AS (
+  SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice) AS BIGINT) AS total FROM orders),
+responses AS (
+  SELECT o_orderkey AS response_id, o_orderkey // 4 AS prompt_id,
+         'What did customer ' || o_custkey || ' pay?' AS question,
+         CASE o_orderkey % 4 WHEN 0 THEN 'so the sum is #### ' || format('{:,}', total)
+              WHEN 1 THEN 'first 3, then ' || format('{:,}', total) || '.'
+              WHEN 2 THEN 'no idea' ELSE '####  ' || format('{:,}', total + 1) END AS response,
+         '$' || format('{:,}', total) AS answer
+  FROM totals),
+checked AS (
+  SELECT *, replace(nullif(regexp_extract(response, '####\s*([+-]?\d+(?:,\d{3})*(?:\.\d+)?)', 1), ''), ',', '') AS marked,
+         replace(regexp_extract_all(response, '[+-]?\d+(?:,\d{3})*(?:\.\d+)?')[-1], ',', '') AS last_seen,
+         regexp_replace(answer, '[^\d.-]', '', 'g') AS cleaned
+  FROM responses),
+rewarded AS (
+  SELECT *, CAST(coalesce(try_cast(coalesce(marked, last_seen) AS DOUBLE) = try_cast(cleaned AS DOUBLE), false) AS DOUBLE)
+         AS reward
+  FROM checked)"""

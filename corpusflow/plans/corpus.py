@@ -283,12 +283,7 @@ def encode_specials(spark, sf):
     return framed.select("doc_id", _ids_text().alias("ids"))
 
 
-_PAD_SQL = f"""WITH {b.SQL_IDS},
-grid AS (SELECT doc_id, unnest(range({b.SEQ_LEN})) AS idx FROM documents),
-filled AS (
-  SELECT g.doc_id, g.idx, coalesce(i.id, 3) AS id, CASE WHEN i.idx IS NULL THEN 0 ELSE 1 END AS m
-  FROM grid g LEFT JOIN ids i ON g.doc_id = i.doc_id AND g.idx = i.idx)
-"""
+_PAD_SQL = f"WITH {b.padded_sql('documents', 'doc_id')} "
 
 
 @query(

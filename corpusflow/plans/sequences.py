@@ -32,10 +32,12 @@ def joined(column: str) -> Column:
 
 L = b.SEQ_LEN
 
-#: batches, then next_fit(batch_id, idx, seq_idx) by a recursive walk over each batch
-SQL_NEXT_FIT = f"""
+SQL_BATCHED = f"""
 batched AS MATERIALIZED (
-  SELECT doc_id, n_tokens, (mix_pos - 1) // {b.BATCH} AS batch_id, (mix_pos - 1) % {b.BATCH} AS idx FROM mixed),
+  SELECT doc_id, n_tokens, (mix_pos - 1) // {b.BATCH} AS batch_id, (mix_pos - 1) % {b.BATCH} AS idx FROM mixed),"""
+
+#: next_fit(batch_id, idx, seq_idx) by a recursive walk over each batch
+SQL_NEXT_FIT = f"""
 next_fit(batch_id, idx, seq_idx, used, docs) AS (
   SELECT batch_id, idx, 0, n_tokens + 1, 1 FROM batched WHERE idx = 0
   UNION ALL
@@ -46,8 +48,10 @@ next_fit(batch_id, idx, seq_idx, used, docs) AS (
          CASE WHEN f.used + d.n_tokens + 1 > {L} OR f.docs >= {b.DOCS_PER_SEQUENCE} THEN 1 ELSE f.docs + 1 END
   FROM next_fit f JOIN batched d ON d.batch_id = f.batch_id AND d.idx = f.idx + 1)"""
 
-#: spans: documents with start, stop and whether they are the last of their sequence
-SQL_SPANS = f"""{SQL_NEXT_FIT},
+
+def spans_sql(batched: str = SQL_BATCHED) -> str:
+    """next_fit and spans: documents with start, stop and whether they are the last of their sequence."""
+    return f"""{batched} {SQL_NEXT_FIT},
 offsets AS (
   SELECT d.doc_id, d.batch_id, d.idx, f.seq_idx, d.n_tokens,
          CAST(coalesce(sum(d.n_tokens + 1) OVER (PARTITION BY d.batch_id, f.seq_idx ORDER BY d.idx
@@ -59,6 +63,7 @@ spans AS MATERIALIZED (
   FROM offsets WHERE start < {L}),
 seqs AS (SELECT batch_id, seq_idx, max(stop) AS used FROM spans GROUP BY ALL)"""
 
+
 #: slots: one row per place of every sequence
 SQL_SLOTS = f"""
 grid AS (SELECT batch_id, seq_idx, unnest(range({L})) AS p FROM seqs),
@@ -74,8 +79,8 @@ slots AS (
   LEFT JOIN placed t ON g.batch_id = t.batch_id AND g.seq_idx = t.seq_idx AND g.p = t.p
   LEFT JOIN ids i ON i.doc_id = t.doc_id AND i.idx = g.p - t.start)"""
 
-SQL_LIGHT = f"WITH RECURSIVE {b.mix_sql()}, {SQL_SPANS}"
-SQL_FULL = f"WITH RECURSIVE {b.mix_sql()}, {b.SQL_IDS}, {SQL_SPANS}, {SQL_SLOTS}"
+SQL_LIGHT = f"WITH RECURSIVE {b.mix_sql()}, {spans_sql()}"
+SQL_FULL = f"WITH RECURSIVE {b.mix_sql()}, {b.SQL_IDS}, {spans_sql()}, {SQL_SLOTS}"
 
 
 def per_slot(column: str, alias: str) -> str:
@@ -87,7 +92,7 @@ def per_slot(column: str, alias: str) -> str:
 
 @query(
     "k1_next_fit",
-    f"WITH RECURSIVE {b.mix_sql()}, {SQL_NEXT_FIT} SELECT batch_id, idx, seq_idx FROM next_fit",
+    f"WITH RECURSIVE {b.mix_sql()}, {SQL_BATCHED} {SQL_NEXT_FIT} SELECT batch_id, idx, seq_idx FROM next_fit",
 )
 def next_fit(spark, sf):
     return packing.next_fit(batched(spark, sf), b.SEQ_LEN, b.DOCS_PER_SEQUENCE)
