@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-FAMILIES = ("corpus", "sequences", "preparation", "scoring")
+FAMILIES = ("corpus", "sequences", "preparation", "scoring", "runs")
 
 
 def load():
