@@ -5,7 +5,7 @@ Each role exists twice: as a DataFrame here, and as SQL common table expressions
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.functions import text as tx
 from corpusflow.functions.hashing import hash_uniform, int_div
@@ -38,6 +38,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def near(column: Column | str, digits: int = 6) -> Column:
+    """Round for comparison. Many values here are short decimals ending in a 5 just behind the compared
+    digits; a tiny shift takes them off that edge, where engines round the same value differently."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.round(value + F.lit(float(f"3e-{digits + 2}")), digits)
+
+
+def near_sql(expression: str, digits: int = 6) -> str:
+    """SQL of near."""
+    return f"round({expression} + 3e-{digits + 2}, {digits})"
+
+
 # ------------------------------------------------------------------ corpus
 
 def corpus(spark: SparkSession, sf: str) -> DataFrame:

@@ -161,8 +161,8 @@ def tokenized_pairs(spark, sf):
 @query(
     "r4_sequence_logp",
     f"""WITH {b.SQL_LINES}
-SELECT seq_id, round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 THEN logp ELSE 0.0 END), 6) AS logp,
-       round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 AND label <> 3 THEN logp ELSE 0.0 END), 6) AS logp_unpadded
+SELECT seq_id, round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 THEN logp ELSE 0.0 END) + 3e-8, 6) AS logp,
+       round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 AND label <> 3 THEN logp ELSE 0.0 END) + 3e-8, 6) AS logp_unpadded
 FROM logps GROUP BY seq_id""",
 )
 def sequence_logp(spark, sf):
@@ -170,7 +170,7 @@ def sequence_logp(spark, sf):
     plain = preference.sequence_logp(scored, 1000)
     unpadded = preference.sequence_logp(scored, 1000, exclude_padding=True).withColumnRenamed("logp", "logp_unpadded")
     both = plain.join(unpadded, "seq_id")
-    return both.select("seq_id", F.round("logp", 6).alias("logp"), F.round("logp_unpadded", 6).alias("logp_unpadded"))
+    return both.select("seq_id", b.near("logp").alias("logp"), b.near("logp_unpadded").alias("logp_unpadded"))
 
 
 _MARGIN = "(policy_chosen - policy_rejected) - (ref_chosen - ref_rejected)"
@@ -184,20 +184,20 @@ def _softplus(x: str) -> str:
 @query(
     "r5_sigmoid_loss",
     f"""WITH {b.SQL_PAIRS}, x AS (SELECT pair_id, 0.1::DOUBLE * ({_MARGIN}) AS x FROM pairs)
-SELECT pair_id, round({_softplus('x')} * 0.9 + {_softplus('-x')} * 0.1, 6) AS loss FROM x""",
+SELECT pair_id, round({_softplus('x')} * 0.9 + {_softplus('-x')} * 0.1 + 3e-8, 6) AS loss FROM x""",
 )
 def sigmoid_loss(spark, sf):
     pairs = preference.join_reference(*b.pair_logps(spark, sf))
-    return preference.preference_loss(pairs, 0.1, 0.1).select("pair_id", F.round("loss", 6).alias("loss"))
+    return preference.preference_loss(pairs, 0.1, 0.1).select("pair_id", b.near("loss").alias("loss"))
 
 
 @query(
     "r6_hinge_loss",
-    f"WITH {b.SQL_PAIRS} SELECT pair_id, round(greatest(0.0::DOUBLE, 1 - 0.1::DOUBLE * ({_MARGIN})), 6) AS loss FROM pairs",
+    f"WITH {b.SQL_PAIRS} SELECT pair_id, round(greatest(0.0::DOUBLE, 1 - 0.1::DOUBLE * ({_MARGIN})) + 3e-8, 6) AS loss FROM pairs",
 )
 def hinge_loss(spark, sf):
     pairs = preference.join_reference(*b.pair_logps(spark, sf))
-    return preference.preference_loss(pairs, loss_type="hinge").select("pair_id", F.round("loss", 6).alias("loss"))
+    return preference.preference_loss(pairs, loss_type="hinge").select("pair_id", b.near("loss").alias("loss"))
 
 
 def _metrics_sql(chosen: str, rejected: str) -> str:
@@ -205,16 +205,16 @@ def _metrics_sql(chosen: str, rejected: str) -> str:
 r AS (
   SELECT pair_id // 8 AS batch_id, 0.1::DOUBLE * ({chosen}) AS c, 0.1::DOUBLE * ({rejected}) AS r FROM pairs),
 x AS (SELECT *, c - r AS x FROM r)
-SELECT batch_id, round(avg({_softplus('x')}), 6) AS loss, round(avg(x), 6) AS reward_margin,
-       round(avg(CASE WHEN c > r THEN 1.0 ELSE 0.0 END), 6) AS reward_accuracy,
-       round(avg(c), 6) AS chosen_reward, round(avg(r), 6) AS rejected_reward
+SELECT batch_id, round(avg({_softplus('x')}) + 3e-8, 6) AS loss, round(avg(x) + 3e-8, 6) AS reward_margin,
+       round(avg(CASE WHEN c > r THEN 1.0 ELSE 0.0 END) + 3e-8, 6) AS reward_accuracy,
+       round(avg(c) + 3e-8, 6) AS chosen_reward, round(avg(r) + 3e-8, 6) AS rejected_reward
 FROM x GROUP BY batch_id"""
 
 
 def _metrics(pairs):
     batched = preference.preference_loss(pairs).withColumn("batch_id", F.floor(F.col("pair_id") / 8).cast("bigint"))
     means = preference.preference_metrics(batched)
-    return means.select("batch_id", *[F.round(c, 6).alias(c) for c in means.columns if c != "batch_id"])
+    return means.select("batch_id", *[b.near(c).alias(c) for c in means.columns if c != "batch_id"])
 
 
 @query(

