@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from corpusflow.functions.hashing import int_div
+from corpusflow.operators.ordering import ordered_position
 from corpusflow.operators.packing import IGNORE, pack
 from corpusflow.operators.selection import first_per_domain
 
@@ -55,16 +56,14 @@ def eval_batches(
     sample: DataFrame, seq_len: int, eos_id: int | None, pad_id: int, max_samples: int | None = None,
     batch_size: int = EVAL_BATCH, order: str = "doc_id", docs_per_sequence: int = 4,
 ) -> DataFrame:
-    """Pack the sampled documents of each domain in batches of four.
-
-    The sample holds a bounded number of documents per domain, so numbering them per domain is cheap.
-    """
+    """Pack the sampled documents of each domain in batches of four."""
     kept = first_per_domain(sample, max_samples, order)
-    index = F.row_number().over(Window.partitionBy("domain").orderBy(order)) - 1
-    numbered = kept.withColumn("_i", index.cast("bigint")).withColumns(
+    placed = ordered_position(kept, ["domain"], [order], "_pos")
+    at = F.col("_pos") - 1
+    numbered = placed.withColumns(
         {
-            "batch_id": F.concat_ws(":", "domain", int_div(F.col("_i"), batch_size).cast("string")),
-            "idx": (F.col("_i") % batch_size).cast("int"),
+            "batch_id": F.concat_ws(":", "domain", int_div(at, batch_size).cast("string")),
+            "idx": (at % batch_size).cast("int"),
         }
     )
     return pack(numbered, seq_len, docs_per_sequence, eos_id=eos_id, pad_id=pad_id, key=order)

@@ -41,9 +41,10 @@ CONFIG_SCHEMA = (
 
 
 def mix_config(spark: SparkSession, domains: Sequence[Domain]) -> DataFrame:
-    """The configuration as a DataFrame, one row per (domain, source)."""
+    """The configuration as a DataFrame, one row per (domain, source); domain weights sum to one."""
+    total = sum(d.weight for d in domains if d.weight > 0) or 1.0
     rows = [
-        (d.name, float(d.weight), source, float(weight), d.max_tokens, d.text_field or "text")
+        (d.name, d.weight / total, source, float(weight), d.max_tokens, d.text_field or "text")
         for d in domains
         for source, weight in d.sources
     ]

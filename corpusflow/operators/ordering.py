@@ -17,8 +17,9 @@ from corpusflow.functions.hashing import HASH_SPAN, int_div
 from corpusflow.session import materialise
 
 CHUNK = "_chunk"
-#: Target number of rows in a chunk whose bounds follow from a dense position or an arrival time.
-CHUNK_ROWS = 131_072
+#: Rows in a chunk whose bounds follow from a dense position or an arrival time. A hundred billion rows
+#: make about a hundred thousand chunk totals, a few megabytes.
+CHUNK_ROWS = 1 << 20
 #: Rows of one block in trailing frames.
 BLOCK_ROWS = 65_536
 

@@ -147,11 +147,14 @@ def labels(input_ids: Column, ends: Column, boundary_mask: str = "literal") -> C
 def pack(
     df: DataFrame, seq_len: int, docs_per_sequence: int = 4, eos_id: int | None = None, pad_id: int = 0,
     boundary_mask: str = "literal", include_mask: bool = True, key: str = "doc_id",
+    together: str | None = None,
 ) -> DataFrame:
     """One row per packed sequence from (batch_id, idx, key, ids).
 
     Columns: batch_id, seq_idx, doc_ids, input_ids, labels, position_ids, boundaries, n_valid and, unless
-    switched off, allowed_start.
+    switched off, allowed_start. ``together`` names a column that a batch determines, such as its step:
+    rows are shuffled by it, so that the batches of one value are packed by one task and can be
+    written to few files without another shuffle.
     """
     ending = F.array(F.lit(eos_id)) if eos_id is not None else F.array().cast("array<int>")
     # A document contributes at most seq_len tokens to its sequence, so only those are gathered.
@@ -159,12 +162,14 @@ def pack(
         "idx", F.col(key).alias("doc"), F.least(F.size("ids"), F.lit(seq_len)).alias("length"),
         F.slice(F.concat("ids", ending), 1, seq_len).alias("ids"),
     )
-    batches = df.groupBy("batch_id").agg(F.array_sort(F.collect_list(doc)).alias("docs"))
+    by = [together, "batch_id"] if together else ["batch_id"]
+    spread = df.repartition(together) if together else df
+    batches = spread.groupBy(*by).agg(F.array_sort(F.collect_list(doc)).alias("docs"))
     numbered = batches.withColumn(
         "seqs", sequence_numbers(F.transform("docs", lambda d: d["length"]), seq_len, docs_per_sequence)
     )
     mine = numbered.select(
-        "batch_id",
+        *by,
         F.inline(
             F.transform(
                 F.sequence(F.lit(0), F.array_max("seqs")),
@@ -175,7 +180,7 @@ def pack(
         ),
     )
     laid = mine.select(
-        "batch_id", "seq_idx", F.transform("docs", lambda d: d["doc"]).alias("doc_ids"),
+        *by, "seq_idx", F.transform("docs", lambda d: d["doc"]).alias("doc_ids"),
         cut_ends(F.transform("docs", lambda d: F.size(d["ids"])), seq_len).alias("boundaries"),
         F.slice(F.flatten(F.transform("docs", lambda d: d["ids"])), 1, seq_len).alias("_ids"),
     )
@@ -183,7 +188,7 @@ def pack(
         "input_ids", F.concat("_ids", F.array_repeat(F.lit(pad_id), seq_len - F.size("_ids")))
     )
     out = filled.select(
-        "batch_id", "seq_idx", F.slice("doc_ids", 1, F.size("boundaries")).alias("doc_ids"), "input_ids",
+        *by, "seq_idx", F.slice("doc_ids", 1, F.size("boundaries")).alias("doc_ids"), "input_ids",
         labels(F.col("input_ids"), F.col("boundaries"), boundary_mask).alias("labels"),
         position_ids(F.col("boundaries"), seq_len).alias("position_ids"), "boundaries",
         *([allowed_start(F.col("boundaries"), seq_len).alias("allowed_start")] if include_mask else []),

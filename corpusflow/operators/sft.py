@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.functions.text import chat_line, chat_text, instruction_text
+from corpusflow.operators.ordering import Running, running
 from corpusflow.operators.packing import IGNORE
 from corpusflow.operators.tokens import PAD_ID, encode, pad
 
@@ -58,6 +59,28 @@ def prepare(df: DataFrame, vocab: DataFrame, seq_len: int, pad_id: int = PAD_ID)
     return mask_labels(pad(encoded, seq_len, pad_id))
 
 
+def prepare_chats(
+    turns: DataFrame, vocab: DataFrame, seq_len: int, pad_id: int = PAD_ID, conversation: str = "conv_id",
+    turn: str = "turn", role: str = "role", content: str = "text", parts: int | None = None,
+) -> DataFrame:
+    """``prepare`` for conversations that come as one row per turn.
+
+    Every line ends in white space, so lines can be encoded on their own. A running token count tells
+    which turns reach into the first ``seq_len`` tokens; only those are gathered, however long the
+    conversation is.
+    """
+    lines = turns.select(conversation, turn, chat_line(F.col(role), F.col(content)).alias("_line"))
+    coded = encode(lines, vocab, max_length=seq_len, text="_line", out="_ids").drop("_line")
+    placed = running(
+        coded, [conversation], [turn], {"_before": Running("sum", F.size("_ids"), exclusive=True)}, parts=parts
+    )
+    listed = F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), F.col("_ids").alias("ids"))))
+    chats = placed.where(F.col("_before") < seq_len).groupBy(conversation).agg(
+        F.slice(F.flatten(F.transform(listed, lambda l: l["ids"])), 1, seq_len).alias("ids")
+    )
+    return mask_labels(pad(chats, seq_len, pad_id))
+
+
 def step_budget(df: DataFrame, batch_size: int, epochs: int, accum: int, warmup_ratio: float) -> DataFrame:
     """One row: examples, batches, total optimizer steps and warm-up steps."""
     counted = df.agg(F.count(F.lit(1)).alias("examples"))

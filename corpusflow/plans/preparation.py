@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusflow.functions import text as tx
 from corpusflow.operators import preference, sft, tokens
 from corpusflow.plans import bindings as b
 from corpusflow.plans.registry import query
@@ -72,8 +73,9 @@ SELECT conv_id, string_agg(id, ' ' ORDER BY idx) AS input_ids, string_agg(m, ' '
 FROM filled GROUP BY conv_id""",
 )
 def masked_labels(spark, sf):
-    chats = sft.chat_template(b.table(spark, sf, "conversations"))
-    ready = sft.prepare(chats, tokens.build_vocab(chats, b.VOCAB_SIZE), b.SEQ_LEN)
+    turns = b.table(spark, sf, "conversations")
+    lines = turns.select(tx.chat_line(F.col("role"), F.col("text")).alias("text"))
+    ready = sft.prepare_chats(turns, tokens.build_vocab(lines, b.VOCAB_SIZE), b.SEQ_LEN)
     return ready.select("conv_id", joined("input_ids"), joined("attention_mask"), joined("labels"))
 
 

@@ -8,7 +8,7 @@ from corpusflow.operators import packing, tokens
 from corpusflow.plans import bindings as b
 from corpusflow.plans.registry import query
 from corpusflow.session import materialise, scratch_path
-from corpusflow.sources.packed import read_packed, write_packed
+from corpusflow.sources.packed import read_packed, step_slice, write_packed
 
 STEPS_PER_BUCKET = 4
 ACCUM = 2
@@ -21,8 +21,9 @@ def batched(spark, sf) -> DataFrame:
 
 def packed(spark, sf, **options) -> DataFrame:
     docs = batched(spark, sf).join(b.encoded(spark, sf), "doc_id")
+    slices = docs.withColumn("slice", step_slice(F.col("batch_id"), ACCUM, STEPS_PER_BUCKET))
     return packing.pack(
-        docs, b.SEQ_LEN, b.DOCS_PER_SEQUENCE, eos_id=tokens.EOS_ID, pad_id=tokens.PAD_ID, **options
+        slices, b.SEQ_LEN, b.DOCS_PER_SEQUENCE, eos_id=tokens.EOS_ID, pad_id=tokens.PAD_ID, together="slice", **options
     )
 
 

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.functions.hashing import int_div
 
 STEPS_PER_BUCKET = 1000
+STEPS_PER_SLICE = 20
+
+
+def step_slice(batch_id: Column, accum: int, steps: int = STEPS_PER_SLICE) -> Column:
+    """The slice of steps a batch belongs to: pack with this column ``together`` before writing."""
+    return int_div(batch_id, accum * steps)
 
 
 def write_packed(packed: DataFrame, path: str, steps_per_bucket: int = STEPS_PER_BUCKET) -> None:
     """Write packed sequences, which carry ``step``, in folders of consecutive steps.
 
-    Range-partitioning by position writes few, ordered files per folder, however many tasks packed them.
+    Sequences are wide, so they are not shuffled again: packed ``together`` by a slice of steps, every
+    task holds whole slices and writes them in order.
     """
     bucketed = packed.withColumn("step_bucket", int_div(F.col("step"), steps_per_bucket))
-    bucketed.repartitionByRange("step", "batch_id", "seq_idx").write.partitionBy("step_bucket").parquet(path)
+    ordered = bucketed.sortWithinPartitions("step_bucket", "step", "batch_id", "seq_idx")
+    ordered.write.partitionBy("step_bucket").parquet(path)
 
 
 def read_packed(
