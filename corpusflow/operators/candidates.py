@@ -17,7 +17,7 @@ ORDER = ["_down", TOKEN]
 _WORK = ("_z", "_down", "_peak", "_e", CHUNK)
 
 
-def _along(df: DataFrame, outs: dict[str, Running], parts: int | None = None) -> DataFrame:
+def _along(df: DataFrame, outs: dict[str, Running]) -> DataFrame:
     return running(df, [QUERY], ORDER, outs, chunk=F.col(CHUNK), stage=False)
 
 

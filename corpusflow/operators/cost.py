@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusflow.functions.format import INF, fixed, grouped
+from corpusflow.operators.joins import spread_join
 from corpusflow.operators.ordering import CHUNK, Running, range_chunks, row_count, running, trailing
 
 # USD per hour by accelerator, and the rate of those not listed.
@@ -49,7 +50,7 @@ def cumulative(log: DataFrame, runs: DataFrame, order: Sequence[str], group: Seq
     """
     steps = F.coalesce(F.col("steps"), F.lit(1)) if "steps" in log.columns else F.lit(1)
     known = F.coalesce(F.col("tokens"), steps * F.col("tokens_per_step"))
-    joined = log.join(runs, "run").withColumns({"tokens": known, "_steps": steps.cast("bigint"), "_us": micros()})
+    joined = spread_join(log, runs, "run", order).withColumns({"tokens": known, "_steps": steps.cast("bigint"), "_us": micros()})
     totals = running(
         joined, group, order,
         {

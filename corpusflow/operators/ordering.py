@@ -65,6 +65,12 @@ def chunk_by_hash(df: DataFrame, bits: Column) -> Column:
     return F.floor(bits / F.lit(HASH_SPAN / slices)).cast("bigint")
 
 
+def _present(df: DataFrame, group: Sequence[str]) -> dict[str, Column]:
+    """The group columns, with an error where one is null: totals are carried over by plain equality,
+    which keeps the rows in the partitions where their windows ran."""
+    return {g: F.coalesce(g, F.raise_error(F.lit(f"{g} is null")).cast(df.schema[g].dataType)) for g in group}
+
+
 def range_chunks(df: DataFrame, keys: Sequence[Column | str], parts: int | None = None) -> DataFrame:
     """Range-partition by the keys and keep the partition number as the chunk, written down.
 
@@ -86,20 +92,20 @@ def running(
 ) -> DataFrame:
     """Add running aggregates over ``order`` within ``group``; ``order`` must be a total order.
 
-    ``chunk`` may name a column expression that never decreases along the order. Then no range
-    sampling is needed; ``stage=False`` additionally skips writing the rows down, which suits
-    inputs that are cheap to compute twice.
+    Group columns must not be null. ``chunk`` may name a column expression that never decreases along
+    the order. Then no range sampling is needed; ``stage=False`` additionally skips writing the rows
+    down, which suits inputs that are cheap to compute twice and whose groups were checked before.
     """
     group = list(group)
     order = list(order)
     values = {f"_v_{out}": spec.value for out, spec in outs.items()}
     if chunk is None:
-        staged = range_chunks(df.withColumns(values), group + order, parts)
+        staged = range_chunks(df.withColumns(values).withColumns(_present(df, group)), group + order, parts)
     else:
         # Values first: they may read the columns that the results replace.
         staged = df.withColumns({**values, CHUNK: chunk})
         if stage:
-            staged = materialise(staged, "chunks")
+            staged = materialise(staged.withColumns(_present(df, group)), "chunks")
 
     inside = Window.partitionBy(*group, CHUNK).orderBy(*order)
     local = staged.withColumns({f"_l_{out}": s.local(f"_v_{out}", inside) for out, s in outs.items()})
@@ -117,7 +123,7 @@ def running(
     ).where(F.col("_chunks") > 1)
     match = F.lit(True)
     for i, k in enumerate([*group, CHUNK]):
-        match = match & F.col(f"_k{i}").eqNullSafe(F.col(k))
+        match = match & (F.col(f"_k{i}") == F.col(k))
     joined = local.join(carried, match, "left")
     return joined.select(
         *[F.col(c) for c in df.columns if c not in outs],

@@ -10,6 +10,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusflow.operators.joins import spread_join
+
 PLAN = ("base_lr", "warmup_steps", "total_steps", "decay_ratio", "min_lr_ratio")
 
 
@@ -62,7 +64,7 @@ def cosine_factor(step: Column) -> Column:
 
 
 def _planned(log: DataFrame, runs: DataFrame) -> DataFrame:
-    return log.join(runs.select("run", *PLAN), "run")
+    return spread_join(log, runs.select("run", *PLAN), "run", ["step"])
 
 
 def with_wsd(log: DataFrame, runs: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 MIN_TOKENS = 100
+#: Most sampled keys that may be broadcast.
+BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -46,8 +48,8 @@ def head_sample(
         .where((F.col("_rank") <= F.col("_n")) & ((F.col("_rank") - 1) % F.col("_k") == 0))
         .select(domain, order, (F.col("_rank") - 1).alias("row_index"))
     )
-    # At most num_samples / every keys per configured domain.
-    return df.join(F.broadcast(chosen), [domain, order])
+    size = sum(s.num_samples // s.every + 1 for s in samples.values())
+    return df.join(F.broadcast(chosen) if size <= BROADCAST_KEYS else chosen, [domain, order])
 
 
 def cadence(df: DataFrame, every: int, step: str = "step", skip_zero: bool = False) -> DataFrame:

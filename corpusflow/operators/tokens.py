@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusflow.functions.text import words
+from corpusflow.functions.text import SPACES, words
 from corpusflow.operators.ordering import ordered_position
 from corpusflow.session import materialise
 
@@ -32,9 +32,9 @@ def build_vocab(df: DataFrame, size: int, with_pad: bool = True, text: str = "te
         raise ValueError(f"vocabulary size must be in ({len(SPECIALS)}, {MAX_VOCAB}], got {size}")
     spark = df.sparkSession
     first = len(SPECIALS)
-    counts = df.select(F.explode(words(F.col(text))).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    # Dropping empty pieces after the explode keeps the filter in generated code.
+    pieces = df.select(F.explode(F.split(F.col(text), SPACES)).alias("token")).where(F.col("token") != "")
+    counts = pieces.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     ranked = ordered_position(counts.withColumn("_down", -F.col("n")), [], ["_down", "token"], "rank")
     common = ranked.where(F.col("rank") <= size - first).select(
         "token", "n", (F.col("rank") + (first - 1)).cast("int").alias("id")

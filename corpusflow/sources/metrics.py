@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpusflow.operators.joins import spread_join
 from corpusflow.operators.ordering import ordered_position
 
 BUILT_IN = ("run", "step", "timestamp", "elapsed_seconds")
@@ -31,7 +32,7 @@ def log_entries(df: DataFrame, order: Sequence[str], ts: str = "ts", run: str =
         "timestamp": micros / 1e6,
         "elapsed_seconds": (micros - F.col("_start")) / 1e6,
     }
-    joined = counted.join(starts, run)
+    joined = spread_join(counted, starts, run, [ts])
     return joined.select(
         run, "step", *[v.alias(k) for k, v in built_in.items() if k not in metrics], *metrics
     )

@@ -4,7 +4,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusflow.operators.ordering import Running, chunk_by_hash, ordered_position, row_count, running, trailing
+from corpusflow.operators.joins import spread_join
+from corpusflow.operators.ordering import (
+    CHUNK, Running, chunk_by_hash, ordered_position, range_chunks, row_count, running, trailing,
+)
 from corpusflow.functions.hashing import hash_bits, int_div
 
 
@@ -56,10 +59,26 @@ def test_running_with_chunks_from_the_order(spark, rows, stage):
     assert {(r.g, r.k): (r.pos, r.upto, r.before, r.low) for r in got} == want
 
 
-def test_null_groups_are_a_group(spark):
+def test_null_groups_are_an_error(spark):
     df = spark.createDataFrame([(None, i, 1) for i in range(50)], "g string, k bigint, v bigint")
-    got = ordered_position(df, ["g"], ["k"], chunk=int_div(F.col("k"), 7))
-    assert sorted((r.k, r.pos) for r in got.collect()) == [(i, i + 1) for i in range(50)]
+    for chunk in (None, int_div(F.col("k"), 7)):
+        with pytest.raises(Exception, match="g is null"):
+            ordered_position(df, ["g"], ["k"], chunk=chunk).collect()
+
+
+def test_carrying_totals_moves_no_rows(spark, rows):
+    """The rows are shuffled once for the window; chained scans over the same chunks stay in place."""
+    chunked = range_chunks(frame(spark, rows), ["g", "k"], 4)
+    once = running(chunked, ["g"], ["k"], {"pos": row_count()}, chunk=F.col(CHUNK), stage=False)
+    twice = running(once, ["g"], ["k"], {"low": Running("min", F.col("v"))}, chunk=F.col(CHUNK), stage=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = twice._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "coalesce(g" not in plan
+    left = plan.split("SortMergeJoin")[1]
+    assert "SortMergeJoin" in plan and "Exchange" not in left.split("Window")[0]
 
 
 def test_hash_chunks_follow_the_hash_order(spark, rows):
@@ -93,3 +112,13 @@ def test_row_data_never_meets_an_unpartitioned_window(spark, rows):
     assert len(single) <= 1
     with pytest.raises(ValueError):
         trailing(placed, [], "pos", (-1, 1), {"m": F.avg("v")})
+
+
+def test_spread_join_equals_a_join(spark, rows):
+    facts = frame(spark, rows)
+    dim = spark.createDataFrame([("hot", 1), ("g1", 2), ("other", 3)], "g string, x int")
+    for how in ("inner", "left"):
+        got = spread_join(facts, dim, "g", ["k"], how, salts=3)
+        assert sorted(map(str, got.collect())) == sorted(map(str, facts.join(dim, "g", how).collect()))
+    with pytest.raises(ValueError):
+        spread_join(facts, dim, "g", ["k"], "full")
