@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from corpusflow.session import materialise
+
 MIN_TOKENS = 100
 #: Most sampled keys that may be broadcast.
 BROADCAST_KEYS = 100_000
@@ -28,28 +30,35 @@ def longer_than(df: DataFrame, min_tokens: int = MIN_TOKENS, n_tokens: str = "n_
     return df.where(F.col(n_tokens) > min_tokens)
 
 
-def head_sample(
-    df: DataFrame, samples: Mapping[str, HeadSample] = DEFAULT_SAMPLES, order: str = "doc_id", domain: str = "domain"
-) -> DataFrame:
-    """Systematic head sample per domain; adds ``row_index``, the 0-based index in the domain.
-
-    The index is found on the two key columns; the constant limit on it lets every task keep only the
-    head of each domain before the shuffle. The few chosen keys are then matched to the full rows.
-    """
-    spark = df.sparkSession
-    plan = spark.createDataFrame(
+def heads(df: DataFrame, samples: Mapping[str, HeadSample], order: str, domain: str) -> DataFrame:
+    """(domain, order, row_index) of the sampled rows."""
+    plan = df.sparkSession.createDataFrame(
         [(d, s.num_samples, s.every) for d, s in samples.items()], f"{domain} string, _n int, _k int"
     )
     most = max(s.num_samples for s in samples.values())
     rank = F.row_number().over(Window.partitionBy(domain).orderBy(order))
-    heads = df.select(domain, order).withColumn("_rank", rank).where(F.col("_rank") <= most)
-    chosen = (
-        heads.join(F.broadcast(plan), domain)
+    first = df.select(domain, order).withColumn("_rank", rank).where(F.col("_rank") <= most)
+    return (
+        first.join(F.broadcast(plan), domain)
         .where((F.col("_rank") <= F.col("_n")) & ((F.col("_rank") - 1) % F.col("_k") == 0))
         .select(domain, order, (F.col("_rank") - 1).alias("row_index"))
     )
+
+
+def head_sample(
+    df: DataFrame, samples: Mapping[str, HeadSample] = DEFAULT_SAMPLES, order: str = "doc_id", domain: str = "domain"
+) -> DataFrame:
+    """Systematic head sample per domain; adds ``row_index``, the 0-based index in the domain.
+
+    The index is found on the two key columns; the constant limit on it lets every task keep only the
+    head of each domain before the shuffle. The few chosen keys are then matched to the full rows and
+    the sample is written down: a filter on a later, costly expression would otherwise be pushed below
+    the match and run on the whole corpus.
+    """
+    chosen = heads(df, samples, order, domain)
     size = sum(s.num_samples // s.every + 1 for s in samples.values())
-    return df.join(F.broadcast(chosen) if size <= BROADCAST_KEYS else chosen, [domain, order])
+    matched = df.join(F.broadcast(chosen) if size <= BROADCAST_KEYS else chosen, [domain, order])
+    return materialise(matched, "sample")
 
 
 def cadence(df: DataFrame, every: int, step: str = "step", skip_zero: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ the token (encode), or an array of tokens addressed by id (decode). Both work in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions.text import SPACES, words
 from corpusflow.operators.ordering import ordered_position
@@ -22,6 +22,19 @@ SPECIALS = (UNK, BOS, EOS, PAD)
 MAX_VOCAB = 1_000_000
 
 
+def _frequent(counts: DataFrame, wanted: int) -> DataFrame:
+    """The tokens that can be among the ``wanted`` most frequent: those whose count has enough digits.
+
+    The binary lengths of the counts make at most 64 groups. Their sizes tell from which length on there
+    are enough tokens, so the long tail is neither sorted nor written.
+    """
+    length = F.length(F.bin("n"))
+    sizes = counts.groupBy(length.alias("length")).agg(F.count(F.lit(1)).alias("tokens"))
+    above = F.sum("tokens").over(Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, 0))
+    least = sizes.withColumn("above", above).where(F.col("above") >= wanted).agg(F.max("length")).scalar()
+    return counts.where(length >= F.coalesce(least, F.lit(0)))
+
+
 def build_vocab(df: DataFrame, size: int, with_pad: bool = True, text: str = "text") -> DataFrame:
     """The most frequent whitespace tokens as (token, n, id), special tokens first.
 
@@ -35,7 +48,9 @@ def build_vocab(df: DataFrame, size: int, with_pad: bool = True, text: str = "te
     # Dropping empty pieces after the explode keeps the filter in generated code.
     pieces = df.select(F.explode(F.split(F.col(text), SPACES)).alias("token")).where(F.col("token") != "")
     counts = pieces.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = ordered_position(counts.withColumn("_down", -F.col("n")), [], ["_down", "token"], "rank")
+    ranked = ordered_position(
+        _frequent(counts, size - first).withColumn("_down", -F.col("n")), [], ["_down", "token"], "rank"
+    )
     common = ranked.where(F.col("rank") <= size - first).select(
         "token", "n", (F.col("rank") + (first - 1)).cast("int").alias("id")
     )

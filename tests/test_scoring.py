@@ -67,7 +67,7 @@ def test_head_sample(spark):
     samples = {"web": selection.HeadSample(100, 25), "code": selection.HeadSample(1000, 90)}
     got = {(r.domain, r.doc_id, r.row_index) for r in selection.head_sample(df, samples).collect()}
     assert got == {("web", 2 * i + 1, i) for i in (0, 25, 50, 75)} | {("code", 2 * i, i) for i in (0, 90, 180)}
-    plan = selection.head_sample(df, samples)._jdf.queryExecution().executedPlan().toString()
+    plan = selection.heads(df, samples, "doc_id", "domain")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert selection.first_per_domain(df, 3, "doc_id").count() == 6
     assert selection.first_per_domain(df, 0, "doc_id").count() == 400
