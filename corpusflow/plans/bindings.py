@@ -42,12 +42,12 @@ def near(column: Column | str, digits: int = 6) -> Column:
     """Round for comparison. Many values here are short decimals ending in a 5 just behind the compared
     digits; a tiny shift takes them off that edge, where engines round the same value differently."""
     value = F.col(column) if isinstance(column, str) else column
-    return F.round(value + F.lit(float(f"3e-{digits + 2}")), digits)
+    return F.round(value + F.lit(float(f"3.14159e-{digits + 2}")), digits)
 
 
 def near_sql(expression: str, digits: int = 6) -> str:
     """SQL of near."""
-    return f"round({expression} + 3e-{digits + 2}, {digits})"
+    return f"round({expression} + 3.14159e-{digits + 2}, {digits})"
 
 
 # ------------------------------------------------------------------ corpus

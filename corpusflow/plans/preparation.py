@@ -163,8 +163,8 @@ def tokenized_pairs(spark, sf):
 @query(
     "r4_sequence_logp",
     f"""WITH {b.SQL_LINES}
-SELECT seq_id, round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 THEN logp ELSE 0.0 END) + 3e-8, 6) AS logp,
-       round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 AND label <> 3 THEN logp ELSE 0.0 END) + 3e-8, 6) AS logp_unpadded
+SELECT seq_id, round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 THEN logp ELSE 0.0 END) + 3.14159e-8, 6) AS logp,
+       round(sum(CASE WHEN pos > 0 AND label <> -100 AND label <> 1000 AND label <> 3 THEN logp ELSE 0.0 END) + 3.14159e-8, 6) AS logp_unpadded
 FROM logps GROUP BY seq_id""",
 )
 def sequence_logp(spark, sf):
@@ -186,7 +186,7 @@ def _softplus(x: str) -> str:
 @query(
     "r5_sigmoid_loss",
     f"""WITH {b.SQL_PAIRS}, x AS (SELECT pair_id, 0.1::DOUBLE * ({_MARGIN}) AS x FROM pairs)
-SELECT pair_id, round({_softplus('x')} * 0.9 + {_softplus('-x')} * 0.1 + 3e-8, 6) AS loss FROM x""",
+SELECT pair_id, round({_softplus('x')} * 0.9 + {_softplus('-x')} * 0.1 + 3.14159e-8, 6) AS loss FROM x""",
 )
 def sigmoid_loss(spark, sf):
     pairs = preference.join_reference(*b.pair_logps(spark, sf))
@@ -195,7 +195,7 @@ def sigmoid_loss(spark, sf):
 
 @query(
     "r6_hinge_loss",
-    f"WITH {b.SQL_PAIRS} SELECT pair_id, round(greatest(0.0::DOUBLE, 1 - 0.1::DOUBLE * ({_MARGIN})) + 3e-8, 6) AS loss FROM pairs",
+    f"WITH {b.SQL_PAIRS} SELECT pair_id, round(greatest(0.0::DOUBLE, 1 - 0.1::DOUBLE * ({_MARGIN})) + 3.14159e-8, 6) AS loss FROM pairs",
 )
 def hinge_loss(spark, sf):
     pairs = preference.join_reference(*b.pair_logps(spark, sf))
@@ -207,9 +207,9 @@ def _metrics_sql(chosen: str, rejected: str) -> str:
 r AS (
   SELECT pair_id // 8 AS batch_id, 0.1::DOUBLE * ({chosen}) AS c, 0.1::DOUBLE * ({rejected}) AS r FROM pairs),
 x AS (SELECT *, c - r AS x FROM r)
-SELECT batch_id, round(avg({_softplus('x')}) + 3e-8, 6) AS loss, round(avg(x) + 3e-8, 6) AS reward_margin,
-       round(avg(CASE WHEN c > r THEN 1.0 ELSE 0.0 END) + 3e-8, 6) AS reward_accuracy,
-       round(avg(c) + 3e-8, 6) AS chosen_reward, round(avg(r) + 3e-8, 6) AS rejected_reward
+SELECT batch_id, round(avg({_softplus('x')}) + 3.14159e-8, 6) AS loss, round(avg(x) + 3.14159e-8, 6) AS reward_margin,
+       round(avg(CASE WHEN c > r THEN 1.0 ELSE 0.0 END) + 3.14159e-8, 6) AS reward_accuracy,
+       round(avg(c) + 3.14159e-8, 6) AS chosen_reward, round(avg(r) + 3.14159e-8, 6) AS rejected_reward
 FROM x GROUP BY batch_id"""
 
 

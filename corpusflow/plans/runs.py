@@ -25,8 +25,11 @@ def events(spark, sf):
     """events as a metric log without steps; some losses and gradients are not finite."""
     e = b.table(spark, sf, "events")
     inf, nan = F.lit(float("inf")), F.lit(float("nan"))
-    loss = F.when(F.col("event_id") % 997 == 5, nan).when(F.col("event_id") % 1499 == 7, inf).otherwise(F.col("value"))
-    grad = F.when(F.col("event_id") % 1201 == 3, nan).otherwise(F.col("value") * 2)
+    # The values have two decimals, so that one may be exactly twice the mean of others; a little of the
+    # key keeps such ties, which depend on the order of summation, out of the comparison.
+    value = F.col("value") + (F.col("event_id") % 1009) * 1e-7
+    loss = F.when(F.col("event_id") % 997 == 5, nan).when(F.col("event_id") % 1499 == 7, inf).otherwise(value)
+    grad = F.when(F.col("event_id") % 1201 == 3, nan).otherwise(value * 2)
     return e.select(
         F.col("event_type").alias("run"), F.col("ts").cast("timestamp").alias("ts"), "event_id",
         loss.alias("loss"), grad.alias("grad_norm"),
@@ -46,8 +49,9 @@ def long_log(spark, sf):
 SQL_LOG = """
 log AS (
   SELECT event_type AS run, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS step, ts,
-         CASE WHEN event_id % 997 = 5 THEN 'nan'::DOUBLE WHEN event_id % 1499 = 7 THEN 'inf'::DOUBLE ELSE value END AS loss,
-         CASE WHEN event_id % 1201 = 3 THEN 'nan'::DOUBLE ELSE value * 2 END AS grad_norm
+         CASE WHEN event_id % 997 = 5 THEN 'nan'::DOUBLE WHEN event_id % 1499 = 7 THEN 'inf'::DOUBLE
+              ELSE value + (event_id % 1009) * 1e-7::DOUBLE END AS loss,
+         CASE WHEN event_id % 1201 = 3 THEN 'nan'::DOUBLE ELSE (value + (event_id % 1009) * 1e-7::DOUBLE) * 2 END AS grad_norm
   FROM events),
 long AS (
   SELECT run, step, 'loss' AS name, loss AS value FROM log UNION ALL SELECT run, step, 'grad_norm', grad_norm FROM log)"""
@@ -62,9 +66,9 @@ def _rounded(df, *columns, digits=6):
 @query(
     "s5_append_metrics",
     f"""WITH {SQL_LOG}
-SELECT run, step, round(epoch_us(ts) / 1e6 + 3e-8, 6) AS timestamp,
-       round((epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6 + 3e-8, 6) AS elapsed_seconds,
-       round(loss + 3e-8, 6) AS loss
+SELECT run, step, round(epoch_us(ts) / 1e6 + 3.14159e-8, 6) AS timestamp,
+       round((epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6 + 3.14159e-8, 6) AS elapsed_seconds,
+       round(loss + 3.14159e-8, 6) AS loss
 FROM log QUALIFY isfinite(loss)""",
 )
 def append_metrics(spark, sf):
@@ -79,7 +83,7 @@ def append_metrics(spark, sf):
 @query(
     "s6_read_metrics",
     f"""WITH {SQL_LOG}
-SELECT run, step, name, CASE WHEN isfinite(value) THEN round(value + 3e-8, 6) END AS value,
+SELECT run, step, name, CASE WHEN isfinite(value) THEN round(value + 3.14159e-8, 6) END AS value,
        CASE WHEN isnan(value) THEN 'nan' WHEN isinf(value) THEN 'inf' ELSE 'number' END AS kind
 FROM long""",
 )
@@ -109,7 +113,7 @@ def _tracked(spark, sf):
 @query(
     "w1_rolling_mean",
     f"""WITH {SQL_LOG}
-SELECT run, name, step, round(avg(value) OVER (PARTITION BY run, name ORDER BY step ROWS 99 PRECEDING) + 3e-8, 6) AS rolling_mean
+SELECT run, name, step, round(avg(value) OVER (PARTITION BY run, name ORDER BY step ROWS 99 PRECEDING) + 3.14159e-8, 6) AS rolling_mean
 FROM long {_TRACKED}""",
 )
 def rolling_mean(spark, sf):
@@ -120,7 +124,7 @@ def rolling_mean(spark, sf):
 @query(
     "w2_latest",
     f"""WITH {SQL_LOG}
-SELECT run, name, round(arg_max(value, step) + 3e-8, 6) AS value, max(step) AS step FROM long {_TRACKED} GROUP BY run, name""",
+SELECT run, name, round(arg_max(value, step) + 3.14159e-8, 6) AS value, max(step) AS step FROM long {_TRACKED} GROUP BY run, name""",
 )
 def latest(spark, sf):
     return _rounded(monitoring.latest(_tracked(spark, sf)), "value")
@@ -129,7 +133,7 @@ def latest(spark, sf):
 @query(
     "w3_current_means",
     f"""WITH {SQL_LOG}
-SELECT run, round(avg(value) FILTER (name = 'loss') + 3e-8, 6) AS loss, round(avg(value) FILTER (name = 'grad_norm') + 3e-8, 6) AS grad_norm
+SELECT run, round(avg(value) FILTER (name = 'loss') + 3.14159e-8, 6) AS loss, round(avg(value) FILTER (name = 'grad_norm') + 3.14159e-8, 6) AS grad_norm
 FROM (SELECT *, row_number() OVER (PARTITION BY run, name ORDER BY step DESC) AS r FROM long {_TRACKED})
 WHERE r <= 100 GROUP BY run""",
 )
@@ -146,7 +150,7 @@ seg AS (
             OVER (PARTITION BY run, name ORDER BY step ROWS UNBOUNDED PRECEDING) AS segment
   FROM long {_TRACKED})
 SELECT run, name, step, CAST(segment AS BIGINT) AS segment,
-       round(avg(value) OVER (PARTITION BY run, name, segment ORDER BY step ROWS 99 PRECEDING) + 3e-8, 6) AS rolling_mean
+       round(avg(value) OVER (PARTITION BY run, name, segment ORDER BY step ROWS 99 PRECEDING) + 3.14159e-8, 6) AS rolling_mean
 FROM seg""",
 )
 def reset(spark, sf):
@@ -183,7 +187,7 @@ nonfinite AS (
 loss_spike AS (
   SELECT run, step, 'loss_spike' AS rule, 'warning' AS severity, 'loss_spike' AS category,
          'Loss spike detected: ' || format('{{:.4f}}', loss) || ' vs rolling avg' AS message,
-         round(loss_avg * 2 + 3e-8, 6) AS threshold
+         round(loss_avg * 2 + 3.14159e-8, 6) AS threshold
   FROM kept WHERE n_prior >= 10 AND loss > loss_avg * 2),
 grad_high AS (
   SELECT run, step, 'grad_high' AS rule, 'warning' AS severity, 'gradient' AS category,
@@ -192,7 +196,7 @@ grad_high AS (
 grad_spike AS (
   SELECT run, step, 'grad_spike' AS rule, 'warning' AS severity, 'gradient' AS category,
          'Gradient spike: ' || format('{{:.2f}}', grad_norm) || ' vs rolling avg' AS message,
-         round(grad_avg * 5 + 3e-8, 6) AS threshold
+         round(grad_avg * 5 + 3.14159e-8, 6) AS threshold
   FROM kept WHERE n_prior >= 10 AND NOT isnan(grad_norm) AND NOT isnan(grad_avg) AND grad_norm > grad_avg * 5),
 no_improvement AS (
   SELECT run, step, 'no_improvement' AS rule, 'warning' AS severity, 'loss_spike' AS category,
@@ -248,9 +252,9 @@ s AS (
   SELECT run, step, avg(loss) OVER w AS a, min(loss) OVER w AS b, max(loss) OVER w AS c, avg(grad_norm) OVER w AS d,
          max(grad_norm) OVER w AS e
   FROM log WHERE isfinite(loss) WINDOW w AS (PARTITION BY run ORDER BY step ROWS 99 PRECEDING))
-SELECT run, step, round(a + 3e-8, 6) AS loss_rolling_avg, b AS loss_rolling_min, c AS loss_rolling_max,
-       CASE WHEN isfinite(d) THEN round(d + 3e-8, 6) END AS grad_norm_rolling_avg,
-       CASE WHEN isfinite(e) THEN e END AS grad_norm_rolling_max
+SELECT run, step, round(a + 3.14159e-8, 6) AS loss_rolling_avg, b AS loss_rolling_min, c AS loss_rolling_max,
+       CASE WHEN isfinite(d) THEN round(d + 3.14159e-8, 6) END AS grad_norm_rolling_avg,
+       CASE WHEN isfinite(e) THEN round(e + 3.14159e-8, 6) END AS grad_norm_rolling_max
 FROM s""",
 )
 def rolling_stats(spark, sf):
@@ -323,7 +327,7 @@ wsd AS (
   FROM planned)"""
 
 
-@query("l1_wsd_rate", f"{_PLANS} SELECT run, step, round(factor * 3e-4::DOUBLE + 3e-12, 10) AS expected_lr FROM wsd")
+@query("l1_wsd_rate", f"{_PLANS} SELECT run, step, round(factor * 3e-4::DOUBLE + 3.14159e-12, 10) AS expected_lr FROM wsd")
 def wsd_rate(spark, sf):
     planned = schedules.with_wsd(metric_log(spark, sf), run_plans(spark, sf))
     return planned.select("run", "step", b.near("expected_lr", 10).alias("expected_lr"))
@@ -332,8 +336,8 @@ def wsd_rate(spark, sf):
 @query(
     "l2_phases",
     f"""{_PLANS}
-SELECT run, phase, count(*) AS steps, round(avg(loss) + 3e-8, 6) AS avg_loss, round(max(factor) * 3e-4::DOUBLE + 3e-12, 10) AS max_lr,
-       round(max(least(1.0, step / greatest(1, warmup))) + 3e-8, 6) AS warmup_progress, round(max(step / total) + 3e-8, 6) AS overall_progress
+SELECT run, phase, count(*) AS steps, round(avg(loss) + 3.14159e-8, 6) AS avg_loss, round(max(factor) * 3e-4::DOUBLE + 3.14159e-12, 10) AS max_lr,
+       round(max(least(1.0, step / greatest(1, warmup))) + 3.14159e-8, 6) AS warmup_progress, round(max(step / total) + 3.14159e-8, 6) AS overall_progress
 FROM wsd WHERE isfinite(loss) GROUP BY run, phase""",
 )
 def phases(spark, sf):
@@ -347,7 +351,7 @@ def phases(spark, sf):
     "l3_cosine_rate",
     f"""{_PLANS}
 SELECT run, step, round(3e-4::DOUBLE * CASE WHEN step < warmup THEN step / greatest(1, warmup)
-         ELSE 0.1::DOUBLE + 0.9::DOUBLE * (1 + cos(pi() * ((step - warmup) / greatest(1, total - warmup)))) / 2 END + 3e-12, 10) AS expected_lr
+         ELSE 0.1::DOUBLE + 0.9::DOUBLE * (1 + cos(pi() * ((step - warmup) / greatest(1, total - warmup)))) / 2 END + 3.14159e-12, 10) AS expected_lr
 FROM planned""",
 )
 def cosine_rate(spark, sf):
@@ -358,7 +362,7 @@ def cosine_rate(spark, sf):
 @query(
     "l5_two_base_rates",
     f"""{_PLANS}
-SELECT run, step, param_group, round(factor * rate + 3e-12, 10) AS expected_lr
+SELECT run, step, param_group, round(factor * rate + 3.14159e-12, 10) AS expected_lr
 FROM wsd, (VALUES ('matrix', 0.02::DOUBLE), ('other', 3e-4::DOUBLE)) g(param_group, rate)""",
 )
 def two_base_rates(spark, sf):
@@ -465,8 +469,8 @@ def throughput(spark, sf):
     return _select_numbers(_progress(spark, sf), *_C3, digits=6)
 
 
-_C4 = f"""SELECT run, event_id, CASE WHEN isinf(tokens_per_dollar) THEN NULL ELSE round(tokens_per_dollar + 3e-8, 6) END AS tokens_per_dollar,
-isinf(tokens_per_dollar) AS free, round(cost_so_far_usd + 3e-8, 6) AS cost_so_far_usd FROM done"""
+_C4 = f"""SELECT run, event_id, CASE WHEN isinf(tokens_per_dollar) THEN NULL ELSE round(tokens_per_dollar + 3.14159e-8, 6) END AS tokens_per_dollar,
+isinf(tokens_per_dollar) AS free, round(cost_so_far_usd + 3.14159e-8, 6) AS cost_so_far_usd FROM done"""
 
 
 def _or_null(name, digits):
@@ -483,34 +487,34 @@ def cost_so_far(spark, sf):
 
 @query(
     "c5_progress",
-    f"""{_STEPS} SELECT run, event_id, round(progress_fraction + 3e-14, 12) AS progress_fraction, round(progress_percent + 3e-8, 6) AS progress_percent,
+    f"""{_STEPS} SELECT run, event_id, round(progress_fraction + 3.14159e-12, 10) AS progress_fraction, round(progress_percent + 3.14159e-8, 6) AS progress_percent,
 tokens_remaining FROM done""",
 )
 def progress(spark, sf):
     return _progress(spark, sf).select(
-        "run", "event_id", b.near("progress_fraction", 12).alias("progress_fraction"),
+        "run", "event_id", b.near("progress_fraction", 10).alias("progress_fraction"),
         b.near("progress_percent").alias("progress_percent"), "tokens_remaining",
     )
 
 
 @query(
     "c6_projection",
-    f"""{_STEPS} SELECT run, event_id, CASE WHEN isinf(eta_seconds) THEN NULL ELSE round(eta_seconds + 3e-8, 6) END AS eta_seconds,
-round(estimated_total_cost_usd + 3e-8, 6) AS estimated_total_cost_usd,
-round(estimated_remaining_cost_usd + 3e-8, 6) AS estimated_remaining_cost_usd FROM done""",
+    f"""{_STEPS} SELECT run, event_id, CASE WHEN isinf(eta_seconds) THEN NULL ELSE round(eta_seconds + 3.14159e-6, 4) END AS eta_seconds,
+round(estimated_total_cost_usd + 3.14159e-8, 6) AS estimated_total_cost_usd,
+round(estimated_remaining_cost_usd + 3.14159e-8, 6) AS estimated_remaining_cost_usd FROM done""",
 )
 def projection(spark, sf):
     return _progress(spark, sf).select(
-        "run", "event_id", _or_null("eta_seconds", 6), b.near(F.col("estimated_total_cost_usd")).alias("estimated_total_cost_usd"),
+        "run", "event_id", _or_null("eta_seconds", 4), b.near(F.col("estimated_total_cost_usd")).alias("estimated_total_cost_usd"),
         b.near(F.col("estimated_remaining_cost_usd")).alias("estimated_remaining_cost_usd"),
     )
 
 
 @query(
     "c7_statistics",
-    f"""{_STEPS} SELECT run, event_id, tokens_processed, tokens_remaining, round(progress_percent + 3e-8, 6) AS progress_percent,
-round(tokens_per_second + 3e-8, 6) AS tokens_per_second, round(elapsed_hours + 3e-8, 6) AS elapsed_hours,
-round(cost_so_far_usd + 3e-8, 6) AS cost_so_far_usd FROM done""",
+    f"""{_STEPS} SELECT run, event_id, tokens_processed, tokens_remaining, round(progress_percent + 3.14159e-8, 6) AS progress_percent,
+round(tokens_per_second + 3.14159e-8, 6) AS tokens_per_second, round(elapsed_hours + 3.14159e-8, 6) AS elapsed_hours,
+round(cost_so_far_usd + 3.14159e-8, 6) AS cost_so_far_usd FROM done""",
 )
 def statistics(spark, sf):
     record = cost.stats_record(_progress(spark, sf)).select("run", "event_id", "stats")
@@ -534,8 +538,8 @@ p(gpu_type, listed) AS (
 h AS (
   SELECT run, total_tokens, total_tokens / tps / 3600 AS hours, CAST(coalesce(listed, 2.5) AS DOUBLE) AS rate
   FROM s LEFT JOIN p ON s.gpu_type = p.gpu_type)
-SELECT run, round(hours + 3e-8, 6) AS total_hours, round(hours / 24 + 3e-8, 6) AS total_days, round(hours * rate + 3e-8, 6) AS total_cost_usd,
-       round(total_tokens / (hours * rate) + 3e-6, 4) AS tokens_per_dollar
+SELECT run, round(hours + 3.14159e-8, 6) AS total_hours, round(hours / 24 + 3.14159e-8, 6) AS total_days, round(hours * rate + 3.14159e-8, 6) AS total_cost_usd,
+       round(total_tokens / (hours * rate) + 3.14159e-6, 4) AS tokens_per_dollar
 FROM h""",
 )
 def estimate(spark, sf):
@@ -558,7 +562,7 @@ logged AS (
          (elapsed_seconds - coalesce(lag(elapsed_seconds) OVER w, 0)) AS gap,
          tokens_processed - coalesce(lag(tokens_processed) OVER w, 0) AS done_tokens
   FROM cum WHERE (steps_completed - 1) % 5 = 0 WINDOW w AS (PARTITION BY run ORDER BY steps_completed))
-SELECT run, step, round(greatest(gap, 0.001) + 3e-8, 6) AS interval_seconds, round({amount} / greatest(gap, 0.001) + 3e-6, 4) AS tokens_per_sec
+SELECT run, step, round(greatest(gap, 0.001) + 3.14159e-8, 6) AS interval_seconds, round({amount} / greatest(gap, 0.001) + 3.14159e-6, 4) AS tokens_per_sec
 FROM logged"""
 
 

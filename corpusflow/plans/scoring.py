@@ -65,7 +65,7 @@ def prompt_rewards(spark, sf):
 @query(
     "v7_trailing_reward",
     f"""{_PROMPTS}
-SELECT prompt_id, round(avg(avg_reward) OVER (ORDER BY prompt_id ROWS 99 PRECEDING) + 3e-8, 6) AS avg_reward_recent FROM prompts""",
+SELECT prompt_id, round(avg(avg_reward) OVER (ORDER BY prompt_id ROWS 99 PRECEDING) + 3.14159e-8, 6) AS avg_reward_recent FROM prompts""",
 )
 def trailing_reward(spark, sf):
     recent = rewards.trailing_reward(rewards.prompt_rewards(_rewarded(spark, sf)))
@@ -77,7 +77,7 @@ def positive_weights(spark, sf):
     return rewards.positive_weights(_rewarded(spark, sf)).select("response_id", "weight")
 
 
-@query("v9_overall_reward", f"{_PROMPTS} SELECT round(coalesce(avg(avg_reward), 0.0) + 3e-8, 6) AS avg_reward FROM prompts")
+@query("v9_overall_reward", f"{_PROMPTS} SELECT round(coalesce(avg(avg_reward), 0.0) + 3.14159e-8, 6) AS avg_reward FROM prompts")
 def overall_reward(spark, sf):
     overall = rewards.overall_reward(rewards.prompt_rewards(_rewarded(spark, sf)))
     return overall.select(b.near("avg_reward").alias("avg_reward"))
@@ -109,18 +109,18 @@ def _domains(spark, sf):
     return evaluation.domain_loss(evaluation.batch_loss(b.token_logps(spark, sf)))
 
 
-@query("e1_batch_loss", f"{_LOSSES} SELECT domain, batch_id, round(loss + 3e-8, 6) AS loss, n_labels FROM batches")
+@query("e1_batch_loss", f"{_LOSSES} SELECT domain, batch_id, round(loss + 3.14159e-8, 6) AS loss, n_labels FROM batches")
 def batch_loss(spark, sf):
     return evaluation.batch_loss(b.token_logps(spark, sf)).withColumn("loss", b.near("loss"))
 
 
-@query("e2_domain_loss", f"{_DOMAINS} SELECT domain, n_labels, round(loss + 3e-8, 6) AS loss FROM domains WHERE domain <> '*'")
+@query("e2_domain_loss", f"{_DOMAINS} SELECT domain, n_labels, round(loss + 3.14159e-8, 6) AS loss FROM domains WHERE domain <> '*'")
 def domain_loss(spark, sf):
     losses = _domains(spark, sf).where(F.col("domain") != evaluation.OVERALL)
     return losses.select("domain", "n_labels", b.near("loss").alias("loss"))
 
 
-@query("e3_perplexity", f"{_DOMAINS} SELECT domain, round(exp(loss) + 3e-8, 6) AS ppl FROM domains WHERE domain <> '*'")
+@query("e3_perplexity", f"{_DOMAINS} SELECT domain, round(exp(loss) + 3.14159e-8, 6) AS ppl FROM domains WHERE domain <> '*'")
 def perplexity(spark, sf):
     losses = _domains(spark, sf).where(F.col("domain") != evaluation.OVERALL)
     return losses.select("domain", b.near("ppl").alias("ppl"))
@@ -128,7 +128,7 @@ def perplexity(spark, sf):
 
 @query(
     "e4_overall",
-    f"{_DOMAINS} SELECT domain, n_labels, round(loss + 3e-8, 6) AS loss, round(exp(loss) + 3e-8, 6) AS ppl FROM domains",
+    f"{_DOMAINS} SELECT domain, n_labels, round(loss + 3.14159e-8, 6) AS loss, round(exp(loss) + 3.14159e-8, 6) AS ppl FROM domains",
 )
 def overall(spark, sf):
     return _domains(spark, sf).withColumns({"loss": b.near("loss"), "ppl": b.near("ppl")})
@@ -168,9 +168,9 @@ def eval_batches(spark, sf):
 @query(
     "e7_result_metrics",
     f"""{_DOMAINS}
-SELECT CASE WHEN domain = '*' THEN '' ELSE domain || '_' END || 'val_loss' AS name, round(loss + 3e-8, 6) AS value FROM domains
+SELECT CASE WHEN domain = '*' THEN '' ELSE domain || '_' END || 'val_loss' AS name, round(loss + 3.14159e-8, 6) AS value FROM domains
 UNION ALL
-SELECT CASE WHEN domain = '*' THEN '' ELSE domain || '_' END || 'val_ppl', round(exp(loss) + 3e-8, 6) FROM domains""",
+SELECT CASE WHEN domain = '*' THEN '' ELSE domain || '_' END || 'val_ppl', round(exp(loss) + 3.14159e-8, 6) FROM domains""",
 )
 def result_metrics(spark, sf):
     return evaluation.result_metrics(_domains(spark, sf)).withColumn("value", b.near("value"))
@@ -186,7 +186,7 @@ soft AS (
 
 @query(
     "g1_softmax",
-    f"{_CAND}, {_SOFT} SELECT query_id, token_id, round(e / sum(e) OVER (PARTITION BY query_id) + 3e-8, 6) AS prob FROM soft",
+    f"{_CAND}, {_SOFT} SELECT query_id, token_id, round(e / sum(e) OVER (PARTITION BY query_id) + 3.14159e-8, 6) AS prob FROM soft",
 )
 def softmax(spark, sf):
     probs = candidates.softmax(b.candidates(spark, sf), 0.7)
@@ -228,7 +228,7 @@ kept AS (
   SELECT query_id, token_id, e / sum(e) OVER (PARTITION BY query_id) AS prob FROM k WHERE before / mass <= 0.8)"""
 
 
-@query("g3_truncate", f"{_TRUNCATED} SELECT query_id, token_id, round(prob + 3e-8, 6) AS prob FROM kept")
+@query("g3_truncate", f"{_TRUNCATED} SELECT query_id, token_id, round(prob + 3.14159e-8, 6) AS prob FROM kept")
 def truncate(spark, sf):
     kept = candidates.truncate(b.candidates(spark, sf), 0.7, 5, 0.8)
     return kept.select("query_id", "token_id", b.near("prob").alias("prob"))
