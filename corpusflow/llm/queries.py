@@ -6,11 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusflow.llm import simhash, toxicity
+from corpusflow.llm import decontaminate, pfair, quality, simhash, toxicity
 from corpusflow.llm.tables import table
 
 Build = Callable[[SparkSession, str], DataFrame]
 
+#: Target shares of the sources: one to four parts by the number of the source, one for all others.
+SHARES = {f"src{i}": 1 + i % 4 for i in range(20)}
+
+
+def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, votes and quality of every document."""
+    return quality.weak_supervision(table(spark, sf_dir, "documents"))
+
+
+def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in a mix of the sources by target shares."""
+    return pfair.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), SHARES)
+
+
+def op5_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
 
 def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
@@ -23,8 +41,11 @@ def op6_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Build] = {
+    "op2_weak_supervision": op2_weak_supervision,
+    "op3_pfair_mix": op3_pfair_mix,
     "op4_simhash_anchors": op4_simhash_anchors,
+    "op5_cgk_decontamination": op5_cgk_decontamination,
     "op6_toxicity_nbsvm": op6_toxicity_nbsvm,
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {"op3_pfair_mix": pfair.mix_sql("documents", SHARES)}
