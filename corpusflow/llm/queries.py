@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, pfair, quality, simhash, toxicity
+from corpusflow.llm import decontaminate, lines, pfair, quality, simhash, toxicity
 from corpusflow.llm.tables import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,12 @@ Build = Callable[[SparkSession, str], DataFrame]
 SHARES = {f"src{i}": 1 + i % 4 for i in range(20)}
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many of them repeat others, and a digest of what is left."""
+    cut = lines.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op2_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, votes and quality of every document."""
     return quality.weak_supervision(table(spark, sf_dir, "documents"))
@@ -41,6 +47,7 @@ def op6_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Build] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_weak_supervision": op2_weak_supervision,
     "op3_pfair_mix": op3_pfair_mix,
     "op4_simhash_anchors": op4_simhash_anchors,
