@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, lines, pfair, quality, simhash, toxicity
+from corpusflow.llm import decontaminate, lines, pfair, pii, quality, simhash, toxicity
 from corpusflow.llm.tables import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op6_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of every document, and its text with surrogates in their place."""
+    return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus key")
+
+
 QUERIES: dict[str, Build] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_weak_supervision": op2_weak_supervision,
@@ -53,6 +58,7 @@ QUERIES: dict[str, Build] = {
     "op4_simhash_anchors": op4_simhash_anchors,
     "op5_cgk_decontamination": op5_cgk_decontamination,
     "op6_toxicity_nbsvm": op6_toxicity_nbsvm,
+    "op8_pii_surrogates": op8_pii_surrogates,
 }
 
 CHECKS: dict[str, str] = {"op3_pfair_mix": pfair.mix_sql("documents", SHARES)}
