@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, lines, pfair, pii, quality, simhash, toxicity
+from corpusflow.llm import decontaminate, lines, pfair, pii, quality, simhash, toxicity, warc
 from corpusflow.llm.tables import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus key")
 
 
+def op9_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archive of all pages says of each page."""
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Build] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_weak_supervision": op2_weak_supervision,
@@ -59,6 +64,17 @@ QUERIES: dict[str, Build] = {
     "op5_cgk_decontamination": op5_cgk_decontamination,
     "op6_toxicity_nbsvm": op6_toxicity_nbsvm,
     "op8_pii_surrogates": op8_pii_surrogates,
+    "op9_warc_chain": op9_warc_chain,
 }
 
-CHECKS: dict[str, str] = {"op3_pfair_mix": pfair.mix_sql("documents", SHARES)}
+OP9_SQL = """
+WITH sized AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM sized WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT s.page_id, s.payload_bytes, s.payload_digest,
+    CASE WHEN f.first IS NOT NULL AND s.page_id IS DISTINCT FROM f.first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN s.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
+FROM sized s LEFT JOIN firsts f ON f.payload_digest = s.payload_digest AND s.payload_bytes >= 100"""
+
+CHECKS: dict[str, str] = {"op3_pfair_mix": pfair.mix_sql("documents", SHARES), "op9_warc_chain": OP9_SQL}
