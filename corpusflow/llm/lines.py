@@ -48,7 +48,7 @@ def _fingerprint() -> Column:
     return out
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, row, text): the id with a null one first of all, and a hash that tells apart texts with the same id."""
     text = F.col(text_col).cast("string")
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
@@ -95,16 +95,8 @@ def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame
     return found.join(classes, "node", "left").select("id", "row", "pos", F.coalesce("component", "node").alias("group"))
 
 
-def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, min_words: int = 5) -> DataFrame:
-    """All rows of ``docs`` with the repeated lines cut out of the text, and ``n_lines`` and ``n_removed``.
-
-    Of every group of lines with an edit similarity of ``similarity`` or more, directly or over others, the
-    first in (id, text hash, line) order stays. Lines of fewer than ``min_words`` words stay. Rows that repeat
-    both id and text are one document and lose the same lines; null ids come first. A null text stays null, a
-    text that loses all lines becomes empty. Other columns are passed on; ``n_lines`` and ``n_removed`` are
-    replaced if there. An empty table stays empty.
-    """
-    groups = line_groups(_rows(docs, id_col, text_col), similarity, min_words)
+def cut_repeats(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the lines of ``groups`` (id, row, pos, group) that are not the first of their group."""
     place = F.struct("id", "row", "pos")
     first = groups.groupBy("group").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     removed = groups.join(first, "group").where(place != F.col("first")).groupBy("id", "row").agg(
@@ -126,3 +118,15 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("n_removed"),
     )
+
+
+def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, min_words: int = 5) -> DataFrame:
+    """All rows of ``docs`` with the repeated lines cut out of the text, and ``n_lines`` and ``n_removed``.
+
+    Of every group of lines with an edit similarity of ``similarity`` or more, directly or over others, the
+    first in (id, text hash, line) order stays. Lines of fewer than ``min_words`` words stay. Rows that repeat
+    both id and text are one document and lose the same lines; null ids come first. A null text stays null, a
+    text that loses all lines becomes empty. Other columns are passed on; ``n_lines`` and ``n_removed`` are
+    replaced if there. An empty table stays empty.
+    """
+    return cut_repeats(docs, line_groups(document_rows(docs, id_col, text_col), similarity, min_words), id_col, text_col)

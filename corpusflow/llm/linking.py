@@ -27,10 +27,10 @@ def _grouped(members: DataFrame) -> DataFrame:
     def leader(number: int) -> Column:
         return F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), F.col("node").alias("n")))["n"]
 
-    buckets = members.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*[leader(k) for k in range(LEADERS)])).alias("leaders")
-    )
-    return materialise(members.join(buckets.where("n > 1"), "bucket"), "members")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    kept = materialise(members.join(shared, "bucket"), "members")
+    leaders = kept.groupBy("bucket").agg(F.array_distinct(F.array(*[leader(k) for k in range(LEADERS)])).alias("leaders"))
+    return materialise(kept.join(leaders, "bucket"), "grouped")
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -58,7 +58,8 @@ def linked_classes(members: DataFrame, verify: Verify) -> DataFrame:
     rest = materialise(rest, "rest")
     outside = rest.where(F.col("class") != F.col("most")).select("bucket", F.col("node").alias("a"), F.col("class").alias("_ca"))
     others = rest.select("bucket", F.col("node").alias("b"), F.col("class").alias("_cb"))
-    late = materialise(verify(_pairs(outside.join(others, "bucket").where(F.col("_ca") != F.col("_cb")))), "links")
-    if late.isEmpty():
+    open_pairs = materialise(_pairs(outside.join(others, "bucket").where(F.col("_ca") != F.col("_cb"))), "open")
+    if open_pairs.isEmpty():
         return classes
+    late = materialise(verify(open_pairs), "links")
     return components(edges.unionByName(late))

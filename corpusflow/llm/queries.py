@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, lines, pfair, pii, quality, simhash, toxicity, warc
+from corpusflow.llm import decontaminate, lines, paragraphs, pfair, pii, quality, simhash, suffixes, toxicity, warc
 from corpusflow.llm.tables import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,12 @@ def op6_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs of every document, how many of them repeat others, and a digest of what is left."""
+    cut = paragraphs.dedupe_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities of every document, and its text with surrogates in their place."""
     return pii.replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"), key="corpus key")
@@ -56,6 +62,11 @@ def op9_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that an earlier document holds in strings of 50 bytes."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=50).drop("kept")
+
+
 QUERIES: dict[str, Build] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_weak_supervision": op2_weak_supervision,
@@ -63,8 +74,10 @@ QUERIES: dict[str, Build] = {
     "op4_simhash_anchors": op4_simhash_anchors,
     "op5_cgk_decontamination": op5_cgk_decontamination,
     "op6_toxicity_nbsvm": op6_toxicity_nbsvm,
+    "op7_paragraph_minhash": op7_paragraph_minhash,
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_warc_chain": op9_warc_chain,
+    "op10_suffix_repeats": op10_suffix_repeats,
 }
 
 OP9_SQL = """
