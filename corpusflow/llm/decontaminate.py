@@ -191,12 +191,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, columns: list[str] | No
     """
     columns = ["doc_id"] if columns is None else columns
     found = docs.select(
-        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)], F.col(text_col).cast("string").alias("_text"),
+        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(columns) if c != text_col], F.col(text_col).cast("string").alias("_text"),
         F.array().cast("array<bigint>").alias("_items"), F.array().cast("array<double>").alias("_near"),
     )
     for ids, texts in blocks(benchmark, block_chars):
         found = _pass(found, ids, texts, similarity, tables)
     return found.select(
-        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)], (F.size("_items") > 0).alias("contaminated"),
+        *[F.col("_text" if c == text_col else f"_c{i}").alias(c) for i, c in enumerate(columns)], (F.size("_items") > 0).alias("contaminated"),
         F.col("_items").alias("item_ids"), F.col("_near").alias("similarities"),
     )

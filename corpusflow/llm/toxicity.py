@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusflow.llm.textbytes import mix, raw, slices
 
@@ -142,19 +142,34 @@ def margins(model: Model, column: pa.Array, scratch: np.ndarray) -> list[float]:
     return out
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) of every row; null and empty texts get the score of a text without n-grams."""
+def scored(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with the score in the column ``out``; null and empty texts get that of a text without n-grams."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scratch = np.zeros(1 << SLOT_BITS, dtype=np.int32)
         for batch in batches:
-            for part in slices(batch, "text"):
-                margin = np.clip(margins(model, part.column("text"), scratch), -40, 40)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(1 / (1 + np.exp(-margin)))], ["id", "score"])
+            for part in slices(batch, text_col):
+                margin = np.clip(margins(model, part.column(text_col), scratch), -40, 40)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(1 / (1 + np.exp(-margin)))], [*part.schema.names, out])
+
+    kept = docs.drop(out)
+    return kept.mapInArrow(scan, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, score) of every row."""
+    narrow = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    return scored(narrow, model, "_text").select(id_col, "score")
+
+
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 2500) -> Model:
+    """The model of the labels whose crc32(doc_id as text) mod 5 is not 0."""
+    known = labels.select("doc_id", F.col("toxic").alias("label")).where(~held_out(F.col("doc_id")))
+    return fit(docs, known, max_rows=max_rows)
+
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return narrow.mapInArrow(scan, f"id {kind}, score double").select(F.col("id").alias(id_col), "score")
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 2500) -> DataFrame:
@@ -164,9 +179,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 2500) -> DataFr
     of one document are joined as they are, so a repeated label counts again. ``held_out`` is false for a
     null id.
     """
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(False))
-    known = labels.select("doc_id", F.col("toxic").alias("label")).where(~held & F.col("label").isNotNull())
-    model = fit(docs, known, max_rows=max_rows)
-    return score(docs, model).select(
-        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return score(docs, learn(docs, labels, max_rows)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
