@@ -19,6 +19,8 @@ BLOCKS, BLOCK_BITS = 4, 16
 #: Lines whose fingerprints differ in more bits are not compared by edit distance: at an edit similarity of
 #: 0.8 words differ by a fifth, which flips about twelve bits.
 MAX_BITS = 14
+#: Letters of the words that make up the fingerprint, and how many of them a line needs for that.
+LONG_WORD, LEAST_LONG = 5, 3
 LANES = 32
 _LANE = (1 << 32) + 1
 
@@ -27,6 +29,12 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
+def _features(words: Column) -> Column:
+    """The longer words, or all words of a line that has few: short words are the same in most lines."""
+    longer = F.filter(words, lambda word: F.length(word) >= LONG_WORD)
+    return F.when(F.size(longer) >= LEAST_LONG, longer).otherwise(words)
+
+
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -59,11 +67,12 @@ def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame
     lines = rows.select("id", "row", F.posexplode(_lines(F.col("text"))).alias("pos", "line")).select(
         "id", "row", "pos", normalised(F.col("line")).alias("norm")
     )
-    worded = lines.select("id", "row", "pos", F.unhex(F.md5("norm")).alias("node"), F.explode(F.split("norm", " ")).alias("word"))
+    words = lines.select("id", "row", "pos", F.unhex(F.md5("norm")).alias("node"), F.split("norm", " ").alias("words"))
+    worded = words.where(F.size("words") >= min_words).select("id", "row", "pos", "node", F.explode(_features(F.col("words"))).alias("word"))
     summed = worded.select("id", "row", "pos", "node", F.xxhash64("word").alias("h")).groupBy("id", "row", "pos", "node").agg(
         F.count(F.lit(1)).alias("n"), *_bit_counts()
     )
-    found = summed.where(F.col("n") >= min_words).select("id", "row", "pos", "node", _fingerprint().alias("fp"))
+    found = summed.select("id", "row", "pos", "node", _fingerprint().alias("fp"))
     found = materialise(found, "lines")
     firsts = materialise(found.groupBy("node", "fp").agg(F.min("id").alias("id")), "nodes")
 
