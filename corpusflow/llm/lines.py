@@ -1,11 +1,9 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
 Lines are normalised (lower case, runs of other characters than letters and digits become one space).
-Lines that are equal then are one node. Each node has a 64-bit SimHash of its words; two nodes are
-compared if one of four 16-bit blocks of their fingerprints is equal, and linked if their edit
-similarity reaches the threshold. Of each connected group the first occurrence stays.
-
-Words are summed up bit by bit before the shuffle, as 32 longs that hold the counts of two bits each.
+Lines that are equal then (by a 64-bit hash) are one node. Each node has a 64-bit SimHash of its words; two
+nodes are compared if one of four 16-bit blocks of their fingerprints is equal, and linked if their edit
+similarity in words reaches the threshold. Of each connected group the first occurrence stays.
 """
 
 from __future__ import annotations
@@ -21,8 +19,10 @@ BLOCKS, BLOCK_BITS = 4, 16
 MAX_BITS = 14
 #: Letters of the words that make up the fingerprint, and how many of them a line needs for that.
 LONG_WORD, LEAST_LONG = 5, 3
-LANES = 32
-_LANE = (1 << 32) + 1
+#: Longs that count the words with a bit, four bits in each. Only past 65535 words do counts run over, which
+#: can hide a near copy of such a line; equal lines are found by their hash.
+LANES = 16
+_LANE = sum(1 << (16 * k) for k in range(4))
 
 
 def normalised(line: Column) -> Column:
@@ -40,22 +40,29 @@ def _lines(text: Column) -> Column:
 
 
 def _bit_counts() -> list[Column]:
-    """Per lane the words that have bit k set in the low, and bit k + 32 in the high half of a long."""
+    """Per long the words that have the bits k, k + 16, k + 32 and k + 48, summed up before the shuffle."""
     return [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANE))).alias(f"s{k}") for k in range(LANES)]
 
 
 def _fingerprint() -> Column:
-    """Bit set where more than half of the words have it."""
+    """Bits that more than half of the words have."""
     out = F.lit(0).cast("bigint")
     for k in range(LANES):
-        low = F.col(f"s{k}").bitwiseAND(F.lit((1 << 32) - 1)) * 2 > F.col("n")
-        high = F.shiftrightunsigned(f"s{k}", 32) * 2 > F.col("n")
-        out = out.bitwiseOR(F.when(low, F.lit(1 << k)).otherwise(F.lit(0).cast("bigint")))
-        bit = (1 << (k + 32)) if k < 31 else -(1 << 63)
-        out = out.bitwiseOR(F.when(high, F.lit(bit)).otherwise(F.lit(0).cast("bigint")))
+        for lane in range(4):
+            bit = k + 16 * lane
+            count = F.shiftrightunsigned(f"s{k}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
+            value = F.lit(1 << bit if bit < 63 else -(1 << 63)).cast("bigint")
+            out = out.bitwiseOR(F.when(count * 2 > F.col("n"), value).otherwise(F.lit(0).cast("bigint")))
     return out
 
 
+def symbols(words: Column) -> Column:
+    """The words as a text of one character each, so that edit distances count words. Of the 55 040 characters
+    two different words share one about once in as many pairs."""
+    code = F.transform(words, lambda word: F.lpad(F.hex(F.lit(0x100) + F.pmod(F.xxhash64(word), F.lit(0xD700))), 4, "0"))
+    return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
+
+
 def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, row, text): the id with a null one first of all, and a hash that tells apart texts with the same id."""
     text = F.col(text_col).cast("string")
@@ -65,16 +72,14 @@ def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """(id, row, pos, group) of the lines of ``rows`` (id, row, text) that have ``min_words`` words or more."""
     lines = rows.select("id", "row", F.posexplode(_lines(F.col("text"))).alias("pos", "line")).select(
-        "id", "row", "pos", normalised(F.col("line")).alias("norm")
-    )
-    words = lines.select("id", "row", "pos", F.unhex(F.md5("norm")).alias("node"), F.split("norm", " ").alias("words"))
-    worded = words.where(F.size("words") >= min_words).select("id", "row", "pos", "node", F.explode(_features(F.col("words"))).alias("word"))
-    summed = worded.select("id", "row", "pos", "node", F.xxhash64("word").alias("h")).groupBy("id", "row", "pos", "node").agg(
+        "id", "row", "pos", F.split(normalised(F.col("line")), " ").alias("words")
+    ).where(F.size("words") >= min_words).withColumn("node", F.xxhash64(F.array_join("words", " ")))
+    hashed = lines.select("id", "row", "pos", "node", F.explode(_features(F.col("words"))).alias("word"))
+    summed = hashed.select("id", "row", "pos", "node", F.xxhash64("word").alias("h")).groupBy("id", "row", "pos", "node").agg(
         F.count(F.lit(1)).alias("n"), *_bit_counts()
     )
-    found = summed.select("id", "row", "pos", "node", _fingerprint().alias("fp"))
-    found = materialise(found, "lines")
-    firsts = materialise(found.groupBy("node", "fp").agg(F.min("id").alias("id")), "nodes")
+    found = materialise(summed.select("id", "row", "pos", "node", _fingerprint().alias("fp")), "lines")
+    firsts = materialise(found.groupBy("node").agg(F.min("fp").alias("fp")), "nodes")
 
     def block(k: int) -> Column:
         return F.shiftrightunsigned("fp", BLOCK_BITS * k).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) + F.lit(k << BLOCK_BITS)
@@ -86,14 +91,11 @@ def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame
         two = firsts.select(F.col("node").alias("b"), F.col("fp").alias("fb"))
         close = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= MAX_BITS
         near = materialise(pairs.join(one, "a").join(two, "b").where(close).select("a", "b"), "near")
-        wanted = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-        # The text of a node is read from the first document that holds it.
-        holders = firsts.join(wanted, "node", "left_semi").select("id").distinct()
-        held = rows.join(holders, "id", "left_semi").select(F.explode(_lines(F.col("text"))).alias("line"))
-        held = held.select(normalised(F.col("line")).alias("norm")).withColumn("node", F.unhex(F.md5("norm")))
-        held = materialise(held.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
-        both = near.join(held.select(F.col("node").alias("a"), F.col("norm").alias("ta")), "a").join(
-            held.select(F.col("node").alias("b"), F.col("norm").alias("tb")), "b"
+        wanted = materialise(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "wanted")
+        held = lines.join(wanted, "node", "left_semi").select("node", symbols(F.col("words")).alias("symbols"))
+        held = materialise(held.dropDuplicates(["node"]), "symbols")
+        both = near.join(held.select(F.col("node").alias("a"), F.col("symbols").alias("ta")), "a").join(
+            held.select(F.col("node").alias("b"), F.col("symbols").alias("tb")), "b"
         )
         longest, shortest = F.greatest(F.length("ta"), F.length("tb")), F.least(F.length("ta"), F.length("tb"))
         most = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
@@ -132,7 +134,7 @@ def cut_repeats(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
 def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, min_words: int = 5) -> DataFrame:
     """All rows of ``docs`` with the repeated lines cut out of the text, and ``n_lines`` and ``n_removed``.
 
-    Of every group of lines with an edit similarity of ``similarity`` or more, directly or over others, the
+    Of every group of lines with an edit similarity in words of ``similarity`` or more, directly or over others, the
     first in (id, text hash, line) order stays. Lines of fewer than ``min_words`` words stay. Rows that repeat
     both id and text are one document and lose the same lines; null ids come first. A null text stays null, a
     text that loses all lines becomes empty. Other columns are passed on; ``n_lines`` and ``n_removed`` are

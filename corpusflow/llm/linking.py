@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusflow.llm.graph import components
 from corpusflow.session import materialise
 
-LEADERS = 3
+LEADERS = 2
 
 Verify = Callable[[DataFrame], DataFrame]
 

@@ -203,7 +203,7 @@ def _context_scan(length: int, ranges: int):
         order = np.lexsort((ids, same))
         start = np.append(True, same[order][1:] != same[order][:-1]) if len(order) else np.zeros(0, bool)
         head = order[np.flatnonzero(start)[np.cumsum(start) - 1]] if len(order) else order
-        later = (ids[order] > ids[head]) & (context[order] == context[head]).all(axis=1)
+        later = (ids[order] > ids[head]) & (context[order] == context[head]).all(axis=1) & (spans[order, 1:] == spans[head, 1:]).all(axis=1)
         done = np.zeros(len(ids), bool)
         done[order] = later
         target = (key >> np.uint64(40)).astype(_I64) * ranges >> 24
@@ -319,6 +319,13 @@ def _cover_range(length: int):
     return cover
 
 
+def _heads(string: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries sorted by string and id, and for each the first entry of its string."""
+    by = np.lexsort((ids, string))
+    fresh = np.append(True, string[by][1:] != string[by][:-1])
+    return by, by[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+
+
 def repeated_windows(context: np.ndarray, key: np.ndarray, ids: np.ndarray, spans: np.ndarray, length: int) -> np.ndarray:
     """For each context and distance s: does the window that begins s bytes before the anchor stand at a smaller id?"""
     left, n = length - GRAM, len(key)
@@ -341,16 +348,16 @@ def repeated_windows(context: np.ndarray, key: np.ndarray, ids: np.ndarray, span
         some = order[has[order]]
         if len(some) < 2:
             continue
-        string = mix(run[has[order]].astype(np.uint64)) ^ towards[some]
-        by = np.lexsort((ids[some], string))
-        fresh = np.append(True, string[by][1:] != string[by][:-1])
-        head = some[by[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]]
-        mine = some[by]
-        later = ids[mine] > ids[head]
-        mine, head = mine[later], head[later]
+        with np.errstate(over="ignore"):
+            string = mix(mix(run[has[order]].astype(np.uint64)) * np.uint64(3) + towards[some])
         columns = slice(left - s, left - s + length)
-        if not (context[mine, columns] == context[head, columns]).all():
-            raise ValueError("two strings share their hashes; choose another BASE")
+        windows = context[some, columns]
+        by, head = _heads(string, ids[some])
+        if not (windows[by] == windows[head]).all():
+            # Different strings share a hash: tell them apart by their bytes.
+            _, string = np.unique(np.ascontiguousarray(windows).view(f"V{length}").ravel(), return_inverse=True)
+            by, head = _heads(string, ids[some])
+        mine = some[by[ids[some][by] > ids[some][head]]]
         covered[mine, s] = True
     return covered
 
