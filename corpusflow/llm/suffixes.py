@@ -26,9 +26,11 @@ from corpusflow.llm.textbytes import BASE, mix, prefix_hashes, raw, slices, span
 
 GRAM = 16
 #: Bytes of text per range of hashes.
-RANGE_BYTES = 16 << 20
-#: Bytes of text whose anchors are grouped in one go before they are sent.
-GROUP_BYTES = 8 << 20
+RANGE_BYTES = 4 << 20
+#: Bytes of text whose anchors are found and grouped in one go.
+GROUP_BYTES = 1 << 20
+#: Contexts sorted in one go, and the rest of the last key.
+SORTED = 1 << 15
 _I64 = np.int64
 
 
@@ -42,27 +44,37 @@ def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
     return out
 
 
-def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of one text: place, k-gram hash, and the least and greatest distance to the starts of their windows.
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Anchors of texts that stand one after the other: number of the text, place, k-gram hash, and the least
+    and greatest distance to the starts of the anchor's windows.
 
-    A window of ``length`` bytes belongs to the leftmost least k-gram in it.
+    A window of ``length`` bytes lies inside one text and belongs to the leftmost least k-gram in it.
     """
+    none = np.zeros(0, _I64)
     if len(data) < length:
-        none = np.zeros(0, _I64)
-        return none, none.astype(np.uint64), none, none
+        return none, none, none.astype(np.uint64), none, none
     sums, inverse = prefix_hashes(data)
     begin = np.arange(len(data) - GRAM + 1)
-    grams = span_hashes(sums, inverse, begin, begin + GRAM)
+    grams = np.maximum(span_hashes(sums, inverse, begin, begin + GRAM), np.uint64(1))
     width = length - GRAM + 1
     least = sliding(grams, width, np.minimum)
-    # The leftmost place of the least value: places do not step back from one window to the next.
+    inside = np.zeros(len(least) + 1, np.int32)
+    runs = np.flatnonzero(np.diff(offsets) >= length)
+    inside[offsets[runs]] += 1
+    np.subtract.at(inside, offsets[runs + 1] - length + 1, 1)
+    valid = np.cumsum(inside)[:-1] > 0
+    window = np.flatnonzero(valid)
+    if not len(window):
+        return none, none, none.astype(np.uint64), none, none
+    least[~valid] = 0
     chosen = np.flatnonzero(_selected(grams, least, width))
-    window = np.arange(len(least))
-    where = _leftmost(grams, least, chosen, window, width)
+    # The leftmost place of the least value: places do not step back from one window to the next.
+    where = _leftmost(grams, least[window], chosen, window)
     fresh = np.flatnonzero(np.append(True, where[1:] != where[:-1]))
     place = where[fresh]
-    first, last = window[fresh], np.append(window[fresh[1:]] - 1, window[-1])
-    return place, grams[place], place - last, place - first
+    first, last = window[fresh], window[np.append(fresh[1:] - 1, len(window) - 1)]
+    text = np.searchsorted(offsets, place, side="right") - 1
+    return text, place - offsets[text], grams[place], place - last, place - first
 
 
 def _selected(grams: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
@@ -71,7 +83,7 @@ def _selected(grams: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
     return sliding(padded, width, np.maximum) == grams
 
 
-def _leftmost(grams, least, chosen, window, width) -> np.ndarray:
+def _leftmost(grams, least, chosen, window) -> np.ndarray:
     at = np.searchsorted(chosen, window)
     while True:
         wrong = np.flatnonzero(grams[chosen[np.minimum(at, len(chosen) - 1)]] != least)
@@ -106,12 +118,10 @@ def _flag_scan(length: int, ranges: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", GROUP_BYTES):
-                found = [(i, r, *anchors(t, length)[:2]) for i, r, t in _texts(part)]
-                sizes = [len(f[2]) for f in found]
-                keys = np.concatenate([f[3] for f in found]) if found else np.zeros(0, np.uint64)
-                places = np.concatenate([f[2] for f in found]).astype(np.int32) if found else np.zeros(0, np.int32)
-                ids = np.repeat(np.array([f[0] for f in found], _I64), sizes)
-                rows = np.repeat(np.array([f[1] for f in found], _I64), sizes)
+                data, offsets = raw(part.column("text"))
+                text, places, keys, _, _ = anchors(data, offsets, length)
+                ids, rows = part.column("id").to_numpy()[text], part.column("row").fill_null(0).to_numpy()[text]
+                places = places.astype(np.int32)
                 yield _by_range(keys, ids, rows, places, *_repeats(keys, ids), ranges)
 
     return scan
@@ -182,20 +192,19 @@ def _context_scan(length: int, ranges: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", GROUP_BYTES):
-                found = []
-                for (i, r, text), blobs in zip(_texts(part), part.column("flags")):
-                    flagged = np.unique(np.concatenate([np.frombuffer(b.as_buffer(), np.int32) for b in blobs.values]))
-                    place, key, near, far = anchors(text, length)
-                    on = np.isin(place, flagged)
-                    place, key, near, far = place[on], key[on], near[on], far[on]
-                    framed = np.concatenate([np.zeros(left, np.uint8), text, np.zeros(length, np.uint8)])
-                    context = framed[place[:, None] + np.arange(left + length)]
-                    # What lies outside the anchor's windows is blanked, so that equal windows make equal contexts.
-                    column = np.arange(left + length)
-                    context[(column < left - far[:, None]) | (column >= left - near[:, None] + length)] = 0
-                    n = len(place)
-                    found.append((context, key, np.full(n, i), np.full(n, r), np.stack([place, near, far], 1).astype(np.int32)))
-                context, key, ids, rows, spans = (np.concatenate(c) for c in zip(*found))
+                data, offsets = raw(part.column("text"))
+                text, place, key, near, far = anchors(data, offsets, length)
+                flags = part.column("flags")
+                flagged = [np.frombuffer(b.as_buffer(), np.int32).astype(_I64) + (k << 32) for k, blobs in enumerate(flags) for b in blobs.values]
+                on = np.isin((text << 32) + place, np.concatenate(flagged)) if flagged else np.zeros(len(text), bool)
+                text, place, key, near, far = text[on], place[on], key[on], near[on], far[on]
+                framed = np.concatenate([np.zeros(left, np.uint8), data, np.zeros(length, np.uint8)])
+                column = np.arange(left + length, dtype=np.int32)
+                context = framed[(offsets[text] + place)[:, None] + column]
+                # What lies outside the anchor's windows is blanked, so that equal windows make equal contexts.
+                context[(column < left - far[:, None]) | (column >= left - near[:, None] + length)] = 0
+                ids, rows = part.column("id").to_numpy()[text], part.column("row").fill_null(0).to_numpy()[text]
+                spans = np.stack([place, near, far], 1).astype(np.int32)
                 yield from _send(context, key, ids, rows, spans, length, ranges)
 
     def _send(context, key, ids, rows, spans, length, ranges) -> Iterator[pa.RecordBatch]:
@@ -303,7 +312,7 @@ def _cover_range(length: int):
         twice[order[1:][equal]] = True
         twice[order[:-1][equal]] = True
         context, key, ids, rows, spans = (x[twice] for x in (context, key, ids, rows, spans))
-        covered = repeated_windows(context, key, ids, spans, length)
+        covered = _in_parts(context, key, ids, spans, length)
         edge = np.zeros((len(covered), 1), bool)
         change = np.diff(np.concatenate([edge, covered, edge], axis=1).astype(np.int8), axis=1)
         at, first = np.nonzero(change == 1)
@@ -319,6 +328,21 @@ def _cover_range(length: int):
     return cover
 
 
+def _in_parts(context: np.ndarray, key: np.ndarray, ids: np.ndarray, spans: np.ndarray, length: int) -> np.ndarray:
+    """:func:`repeated_windows` for some keys after the others, so that hashes of few contexts are held at a time."""
+    covered = np.zeros((len(key), length - GRAM + 1), bool)
+    order = np.argsort(key, kind="stable")
+    starts = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1])) if len(key) else []
+    begin = 0
+    while begin < len(key):
+        next_key = np.searchsorted(starts, begin + SORTED)
+        end = int(starts[next_key]) if next_key < len(starts) else len(key)
+        some = order[begin:end]
+        covered[some] = repeated_windows(context[some], key[some], ids[some], spans[some], length)
+        begin = end
+    return covered
+
+
 def _heads(string: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries sorted by string and id, and for each the first entry of its string."""
     by = np.lexsort((ids, string))
