@@ -100,6 +100,6 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         for k in range(width):
             part = np.zeros(len(words), dtype=np.uint64)
-            part[: len(words) - k] = words[k:]
+            part[: max(len(words) - k, 0)] = words[k:]
             out = mix(out * np.uint64(3) + part)
     return out
