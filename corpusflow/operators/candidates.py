@@ -22,10 +22,13 @@ def _along(df: DataFrame, outs: dict[str, Running]) -> DataFrame:
 
 
 def ranked(df: DataFrame, temperature: float = 1.0, parts: int | None = None) -> DataFrame:
-    """Adds rank, e (probability relative to the best), before and mass (sums of e)."""
+    """Adds rank, e (probability relative to the best), before and mass (sums of e).
+
+    Candidates without a logit are left out.
+    """
     if temperature <= 0:
         raise ValueError("temperature must be positive")
-    scaled = df.withColumn("_z", F.col(LOGIT) / F.lit(float(temperature))).withColumn("_down", -F.col("_z"))
+    scaled = df.where(F.col(LOGIT).isNotNull()).withColumn("_z", F.col(LOGIT) / F.lit(float(temperature))).withColumn("_down", -F.col("_z"))
     chunked = range_chunks(scaled, [QUERY, *ORDER], parts)
     peaked = _along(chunked, {"_peak": Running("max", F.col("_z"), whole=True)})
     weighed = peaked.withColumn("_e", F.exp(F.col("_z") - F.col("_peak")))

@@ -134,17 +134,18 @@ def pad(df: DataFrame, length: int, pad_id: int = PAD_ID, ids: str = "ids") -> D
 def decode(
     df: DataFrame, vocab: DataFrame, skip_special: bool = True, ids: str = "ids", out: str = "text"
 ) -> DataFrame:
-    """Text of the ids, tokens joined by one space."""
+    """Text of the ids, tokens joined by one space; an id that the vocabulary does not have gives ``<unk>``."""
     _slot_count(vocab)
-    listed = F.array_sort(F.collect_list(F.struct("id", "token")))
-    ordered = vocab.groupBy("id").agg(F.min("token").alias("token")).agg(
-        F.transform(listed, lambda e: e["token"]).alias("tokens")
-    )
+    last = vocab.agg(F.max("id")).scalar()
+    named = vocab.groupBy("id").agg(F.min("token").alias("token"))
+    # Ids may have gaps: without a pad token of its own the vocabulary has no id 3.
+    every = vocab.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), last)).alias("id")).join(named, "id", "left")
+    listed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("token", F.lit(UNK)).alias("token"))))
+    ordered = every.agg(F.transform(listed, lambda e: e["token"]).alias("tokens"))
     kept = F.filter(F.col(ids), lambda i: i >= len(SPECIALS)) if skip_special else F.col(ids)
-    named = df.withColumn("_tokens", ordered.scalar())
-    return named.withColumn(
-        out, F.array_join(F.transform(kept, lambda i: F.try_element_at(F.col("_tokens"), i + 1)), " ")
-    ).drop("_tokens")
+    looked_up = df.withColumn("_tokens", ordered.scalar())
+    find = lambda i: F.coalesce(F.try_element_at(F.col("_tokens"), i + 1), F.lit(UNK))
+    return looked_up.withColumn(out, F.array_join(F.transform(kept, find), " ")).drop("_tokens")
 
 
 def token_totals(df: DataFrame, by: str, ids: str = "ids") -> DataFrame:

@@ -64,7 +64,8 @@ def _open(spark: SparkSession, source: Source, text_field: str | None) -> DataFr
 def scan_domains(
     spark: SparkSession, sources: Sequence[Source], on_missing: str = "fail", text_field: str | None = None
 ) -> DataFrame:
-    """All sources as one frame. ``on_missing='skip'`` warns about a source that does not open."""
+    """All sources as one frame. ``on_missing='skip'`` warns about a source whose path is missing; other faults
+    of a source, such as an unknown key column, are errors."""
     if on_missing not in ("fail", "skip"):
         raise ValueError(f"on_missing must be fail or skip, got {on_missing}")
     frames = []
@@ -72,7 +73,7 @@ def scan_domains(
         try:
             frames.append(_open(spark, source, text_field))
         except AnalysisException as error:
-            if on_missing == "fail":
+            if on_missing == "fail" or error.getCondition() != "PATH_NOT_FOUND":
                 raise
             warnings.warn(f"skipping source {source.name}: {error.getCondition()}", stacklevel=2)
     if not frames:

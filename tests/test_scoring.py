@@ -134,3 +134,8 @@ def test_sampling_follows_the_probabilities(spark):
     ).withColumn("prob", F.element_at(F.array(F.lit(0.6), F.lit(0.3), F.lit(0.1)), F.col("token_id") + 1))
     counts = {r.token_id: r["count"] for r in candidates.sample(df, 42).groupBy("token_id").count().collect()}
     assert abs(counts[0] - 1800) < 120 and abs(counts[1] - 900) < 120 and abs(counts[2] - 300) < 80
+
+
+def test_candidates_without_a_logit_are_left_out(spark):
+    rows = spark.createDataFrame([(1, 1, 2.0), (1, 2, None), (1, 3, 1.0), (1, 4, 0.0)], "query_id long, token_id long, logit double")
+    assert sorted(r[1] for r in candidates.top_k(rows, 2).collect()) == [1, 3]

@@ -106,3 +106,9 @@ def test_entry(spark):
 
     rows = __spark_entry__.entry(spark).collect()
     assert {r.domain for r in rows} <= {"web", "code", "math"} and sum(r.share for r in rows) == pytest.approx(1.0)
+
+
+def test_skip_does_not_hide_an_unknown_key(spark, sf):
+    source = domains.Source("web", "docs", f"{sf}/documents.parquet", key=("no_such_key",))
+    with pytest.raises(AnalysisException):
+        domains.scan_domains(spark, [source], on_missing="skip").count()

@@ -140,3 +140,12 @@ def test_sequence_logp(spark):
     df = spark.createDataFrame(rows, "seq_id int, pos int, label int, logp double")
     assert preference.sequence_logp(df, 100).collect()[0].logp == -9.0
     assert preference.sequence_logp(df, 100, exclude_padding=True).collect()[0].logp == -1.0
+
+
+def test_decode_without_pad_and_unknown_ids(spark):
+    docs = spark.createDataFrame([(1, "a a a b b c")], "doc_id long, text string")
+    vocab = tokens.build_vocab(docs, 10, with_pad=False)
+    coded = tokens.encode(docs, vocab)
+    assert tokens.decode(coded, vocab).first().text == "a a a b b c"
+    odd = spark.createDataFrame([([4, 99, 5],)], "ids array<int>")
+    assert tokens.decode(odd, vocab).first().text == "a <unk> b"
