@@ -1,27 +1,32 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
 Lines are normalised (lower case, runs of other characters than letters and digits become one space).
-Lines that are equal then (by a 64-bit hash) are one node. Each node has a 64-bit SimHash of its words; two
-nodes are compared if one of four 16-bit blocks of their fingerprints is equal, and linked if their edit
-similarity in words reaches the threshold. Of each connected group the first occurrence stays.
+Lines that are equal then (by a 64-bit hash) are one node. Each node has a 70-bit SimHash of its longer words,
+cut into five 14-bit blocks. Nodes that agree in two blocks share a bucket, so that by the pigeonhole principle
+every two fingerprints within three bits meet, and more distant ones often; a key of two blocks has 28 bits, which
+keeps chance meetings rare; raise ``BLOCK_BITS`` with the corpus, to 16 at most. Nodes of a bucket are linked if their edit similarity in words
+reaches the threshold. Of each connected group the first occurrence stays.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusflow.llm.linking import linked_classes
+from corpusflow.llm.linking import linked_classes, shared_members
 from corpusflow.session import materialise
 
-BLOCKS, BLOCK_BITS = 4, 16
-#: Lines whose fingerprints differ in more bits are not compared by edit distance: at an edit similarity of
-#: 0.8 words differ by a fifth, which flips about twelve bits.
-MAX_BITS = 14
+BLOCKS, EQUAL_BLOCKS, BLOCK_BITS = 5, 2, 14
 #: Letters of the words that make up the fingerprint, and how many of them a line needs for that.
-LONG_WORD, LEAST_LONG = 5, 3
-#: Longs that count the words with a bit, four bits in each. Only past 65535 words do counts run over, which
-#: can hide a near copy of such a line; equal lines are found by their hash.
-LANES = 16
+LONG_WORD, LEAST_LONG = 7, 5
+#: Bits of the filter that keeps texts without a candidate or without a cut out of shuffles. Its size is fixed (a
+#: row for every 64 bits); with more keys than bits it lets all texts pass, which costs a shuffle and changes no result.
+FILTER_BITS = 1 << 22
+#: Longs that count the words with a bit, four bits in each: 16 for the 64 bits of one hash, the others for bits
+#: of another. Only past 65535 words do counts run over, which can hide a near copy of such a line; equal lines are
+#: found by their hash.
+COUNTERS = [("h", k) for k in range(16)] + [("g", k) for k in range(-(-BLOCKS * BLOCK_BITS // 4) - 16)]
 _LANE = sum(1 << (16 * k) for k in range(4))
 
 
@@ -40,19 +45,17 @@ def _lines(text: Column) -> Column:
 
 
 def _bit_counts() -> list[Column]:
-    """Per long the words that have the bits k, k + 16, k + 32 and k + 48, summed up before the shuffle."""
-    return [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(_LANE))).alias(f"s{k}") for k in range(LANES)]
+    """Per long the words that have the bits k, k + 16, k + 32 and k + 48 of a hash, summed up before the shuffle."""
+    return [F.sum(F.shiftrightunsigned(name, k).bitwiseAND(F.lit(_LANE))).alias(f"s{i}") for i, (name, k) in enumerate(COUNTERS)]
 
 
-def _fingerprint() -> Column:
-    """Bits that more than half of the words have."""
+def _block(number: int) -> Column:
+    """The bits of one block of the fingerprint: those that more than half of the words have."""
     out = F.lit(0).cast("bigint")
-    for k in range(LANES):
-        for lane in range(4):
-            bit = k + 16 * lane
-            count = F.shiftrightunsigned(f"s{k}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            value = F.lit(1 << bit if bit < 63 else -(1 << 63)).cast("bigint")
-            out = out.bitwiseOR(F.when(count * 2 > F.col("n"), value).otherwise(F.lit(0).cast("bigint")))
+    for bit in range(BLOCK_BITS):
+        counter, lane = divmod(number * BLOCK_BITS + bit, 4)
+        count = F.shiftrightunsigned(f"s{counter}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
+        out = out.bitwiseOR(F.when(count * 2 > F.col("n"), F.lit(1 << bit)).otherwise(F.lit(0)))
     return out
 
 
@@ -69,34 +72,52 @@ def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
 
 
+def _keys() -> list[Column]:
+    """Per choice of blocks a number made of them and of the choice."""
+    choices = list(itertools.combinations(range(BLOCKS), EQUAL_BLOCKS))
+    return [
+        F.shiftleft(f"b{a}", BLOCK_BITS).bitwiseOR(F.col(f"b{b}")) + F.lit(n << 2 * BLOCK_BITS) for n, (a, b) in enumerate(choices)
+    ]
+
+
+def _passing(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """``rows`` with ``_maybe``: true for all whose key is in ``wanted`` and for few others (a Bloom filter with one hash)."""
+
+    def bit(of: Column) -> Column:
+        return F.pmod(F.xxhash64(of, F.lit(1)), F.lit(FILTER_BITS))
+
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit(wanted_key) % 64).cast("int"))
+    cells = wanted.select(F.shiftright(bit(wanted_key), 6).cast("int").alias("_cell"), one.alias("_bit"))
+    # One row per 64 bits at most, whatever the number of keys.
+    cells = cells.groupBy("_cell").agg(F.bit_or("_bit").alias("_bits"))
+    placed = rows.withColumn("_cell", F.shiftright(bit(key), 6).cast("int")).join(F.broadcast(cells), "_cell", "left")
+    held = F.coalesce(F.getbit("_bits", (bit(key) % 64).cast("int")) == 1, F.lit(False))
+    return placed.withColumn("_maybe", held).drop("_cell", "_bits")
+
+
 def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """(id, row, pos, group) of the lines of ``rows`` (id, row, text) that have ``min_words`` words or more."""
-    lines = rows.select("id", "row", F.posexplode(_lines(F.col("text"))).alias("pos", "line")).select(
-        "id", "row", "pos", F.split(normalised(F.col("line")), " ").alias("words")
-    ).where(F.size("words") >= min_words).withColumn("node", F.xxhash64(F.array_join("words", " ")))
-    hashed = lines.select("id", "row", "pos", "node", F.explode(_features(F.col("words"))).alias("word"))
-    summed = hashed.select("id", "row", "pos", "node", F.xxhash64("word").alias("h")).groupBy("id", "row", "pos", "node").agg(
+    cut = rows.select("id", "row", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    lines = cut.select("id", "row", "pos", normalised(F.col("line")).alias("line")).where(F.size(F.split("line", " ")) >= min_words)
+    lines = lines.withColumn("node", F.xxhash64("line"))
+    hashed = lines.select("id", "row", "pos", "node", F.explode(_features(F.split("line", " "))).alias("word"))
+    summed = hashed.select("id", "row", "pos", "node", F.xxhash64("word").alias("h"), F.xxhash64("word", F.lit(2)).alias("g")).groupBy("id", "row", "pos", "node").agg(
         F.count(F.lit(1)).alias("n"), *_bit_counts()
     )
-    found = materialise(summed.select("id", "row", "pos", "node", _fingerprint().alias("fp")), "lines")
-    firsts = materialise(found.groupBy("node").agg(F.min("fp").alias("fp")), "nodes")
-
-    def block(k: int) -> Column:
-        return F.shiftrightunsigned("fp", BLOCK_BITS * k).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) + F.lit(k << BLOCK_BITS)
-
-    members = firsts.select(F.explode(F.array(*[block(k) for k in range(BLOCKS)])).alias("bucket"), "node")
+    blocks = [f"b{k}" for k in range(BLOCKS)]
+    found = materialise(summed.select("id", "row", "pos", "node", *[_block(k).cast("int").alias(b) for k, b in enumerate(blocks)]), "lines")
+    # All lines of a node have the same words and thus the same blocks.
+    firsts = materialise(found.groupBy("node").agg(*[F.min(b).cast("bigint").alias(b) for b in blocks]), "nodes")
+    members = shared_members(firsts.select(F.explode(F.array(*_keys())).alias("bucket"), "node"))
+    wanted = materialise(members.select("node").distinct(), "wanted")
+    maybe = _passing(lines.select("node", "line"), F.col("node"), wanted, F.col("node")).where("_maybe")
+    texts = maybe.select("node", "line").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    texts = materialise(texts.select("node", symbols(F.split("line", " ")).alias("symbols")), "symbols")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = firsts.select(F.col("node").alias("a"), F.col("fp").alias("fa"))
-        two = firsts.select(F.col("node").alias("b"), F.col("fp").alias("fb"))
-        close = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= MAX_BITS
-        near = materialise(pairs.join(one, "a").join(two, "b").where(close).select("a", "b"), "near")
-        wanted = materialise(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "wanted")
-        held = lines.join(wanted, "node", "left_semi").select("node", symbols(F.col("words")).alias("symbols"))
-        held = materialise(held.dropDuplicates(["node"]), "symbols")
-        both = near.join(held.select(F.col("node").alias("a"), F.col("symbols").alias("ta")), "a").join(
-            held.select(F.col("node").alias("b"), F.col("symbols").alias("tb")), "b"
-        )
+        one = texts.select(F.col("node").alias("a"), F.col("symbols").alias("ta"))
+        two = texts.select(F.col("node").alias("b"), F.col("symbols").alias("tb"))
+        both = pairs.join(one, "a").join(two, "b")
         longest, shortest = F.greatest(F.length("ta"), F.length("tb")), F.least(F.length("ta"), F.length("tb"))
         most = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
         # Lengths differ by no more than the edits; beyond the limit the distance is -1.
@@ -113,19 +134,30 @@ def cut_repeats(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
     removed = groups.join(first, "group").where(place != F.col("first")).groupBy("id", "row").agg(
         F.array_sort(F.collect_set("pos")).alias("_removed")
     )
-    named = docs.drop("n_lines", "n_removed").withColumns({"_id": F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))), "_row": F.xxhash64(F.col(text_col).cast("string"))})
-    joined = named.join(removed.select(F.col("id").alias("_id"), F.col("row").alias("_row"), "_removed"), ["_id", "_row"], "left")
+    removed = materialise(removed.select(F.col("id").alias("_id"), F.col("row").alias("_row"), "_removed"), "removed")
+    # The rows travel as one struct, so that no column of theirs can clash with those used here.
+    passed = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    named = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in passed]).alias("_doc"),
+        F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-(1 << 63))).alias("_id"),
+        F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_row"),
+    )
+    placed = _passing(named, F.col("_id"), removed, F.col("_id"))
+    none = F.lit(None).cast("array<int>").alias("_removed")
+    met = placed.where("_maybe").join(removed, ["_id", "_row"], "left")
+    joined = met.select(*named.columns, "_removed").union(placed.where(~F.col("_maybe")).select(*named.columns, none))
 
     def run(p: Column, i: Column) -> Column:
         before = F.coalesce(F.get("_removed", i - 1), F.lit(-1))
         return F.concat(F.array_repeat(F.lit(False), p - before - 1), F.array(F.lit(True)))
 
     flags = F.flatten(F.transform("_removed", run))
-    text = F.col(text_col).cast("string")
+    doc = F.col("_doc")
+    text = doc[text_col].cast("string")
     joined = joined.withColumn("_flags", flags)
     kept = F.array_join(F.filter(_lines(text), lambda line, i: ~F.coalesce(F.get("_flags", i), F.lit(False))), "\n")
     return joined.select(
-        *[F.when(F.col("_flags").isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_lines", "n_removed")],
+        *[F.when(F.col("_flags").isNull(), text).otherwise(kept).alias(c) if c == text_col else doc[c].alias(c) for c in passed],
         F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("n_removed"),
     )

@@ -21,14 +21,18 @@ LEADERS = 2
 Verify = Callable[[DataFrame], DataFrame]
 
 
-def _grouped(members: DataFrame) -> DataFrame:
-    """Members of buckets of two and more, with their bucket's leaders."""
+def shared_members(members: DataFrame) -> DataFrame:
+    """Members (bucket, node, n) of buckets of two and more, written down."""
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return materialise(members.join(shared, "bucket"), "members")
+
+
+def _grouped(kept: DataFrame) -> DataFrame:
+    """Members with their bucket's leaders."""
 
     def leader(number: int) -> Column:
         return F.min(F.struct(F.xxhash64("node", F.lit(number)).alias("h"), F.col("node").alias("n")))["n"]
 
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    kept = materialise(members.join(shared, "bucket"), "members")
     leaders = kept.groupBy("bucket").agg(F.array_distinct(F.array(*[leader(k) for k in range(LEADERS)])).alias("leaders"))
     return materialise(kept.join(leaders, "bucket"), "grouped")
 
@@ -40,10 +44,10 @@ def _pairs(rows: DataFrame) -> DataFrame:
 def linked_classes(members: DataFrame, verify: Verify) -> DataFrame:
     """(node, component) of all nodes with a link.
 
-    ``members`` has distinct rows (bucket, node); ``verify`` keeps those of the pairs (a, b) that
-    are linked. Buckets and nodes must not be null.
+    ``members`` has distinct rows (bucket, node), or is what ``shared_members`` made of them; ``verify``
+    keeps those of the pairs (a, b) that are linked. Buckets and nodes must not be null.
     """
-    grouped = _grouped(members)
+    grouped = _grouped(members if "n" in members.columns else shared_members(members))
     leaders = grouped.select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
     edges = materialise(verify(_pairs(leaders)), "links")
     classes = components(edges)
