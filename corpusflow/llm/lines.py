@@ -18,7 +18,8 @@ from corpusflow.llm.linking import linked_classes, shared_members
 from corpusflow.session import materialise
 
 BLOCKS, EQUAL_BLOCKS, BLOCK_BITS = 5, 2, 14
-#: Letters of the words that make up the fingerprint, and how many of them a line needs for that.
+#: Letters of the words that make up the fingerprint, and how many of them a line needs for that. Short words are
+#: the same in most lines; a line with few long words takes all.
 LONG_WORD, LEAST_LONG = 7, 5
 #: Bits of the filter that keeps texts without a candidate or without a cut out of shuffles. Its size is fixed (a
 #: row for every 64 bits); with more keys than bits it lets all texts pass, which costs a shuffle and changes no result.
@@ -34,12 +35,6 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def _features(words: Column) -> Column:
-    """The longer words, or all words of a line that has few: short words are the same in most lines."""
-    longer = F.filter(words, lambda word: F.length(word) >= LONG_WORD)
-    return F.when(F.size(longer) >= LEAST_LONG, longer).otherwise(words)
-
-
 def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
@@ -97,11 +92,15 @@ def _passing(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column
 
 def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """(id, row, pos, group) of the lines of ``rows`` (id, row, text) that have ``min_words`` words or more."""
-    cut = rows.select("id", "row", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    lines = cut.select("id", "row", "pos", normalised(F.col("line")).alias("line")).where(F.size(F.split("line", " ")) >= min_words)
-    lines = lines.withColumn("node", F.xxhash64("line"))
-    hashed = lines.select("id", "row", "pos", "node", F.explode(_features(F.split("line", " "))).alias("word"))
-    summed = hashed.select("id", "row", "pos", "node", F.xxhash64("word").alias("h"), F.xxhash64("word", F.lit(2)).alias("g")).groupBy("id", "row", "pos", "node").agg(
+    # Outer explodes and no filter on the words: Spark would work them out once more for a filter that it pushes down.
+    cut = rows.select("id", "row", F.posexplode_outer(_lines(F.col("text"))).alias("pos", "line"))
+    lines = cut.select("id", "row", "pos", normalised(F.col("line")).alias("line")).withColumn("node", F.xxhash64("line"))
+    words = lines.select("id", "row", "pos", "node", F.split("line", " ").alias("words"))
+    words = words.withColumn("longer", F.filter("words", lambda word: F.length(word) >= LONG_WORD))
+    feature = F.when(F.size("words") >= min_words, F.when(F.size("longer") >= LEAST_LONG, F.col("longer")).otherwise(F.col("words")))
+    hashed = words.select("id", "row", "pos", "node", F.explode_outer(feature).alias("word")).where("word is not null")
+    hashes = [F.xxhash64("word").alias("h"), F.xxhash64("word", F.lit(2)).alias("g")]
+    summed = hashed.select("id", "row", "pos", "node", *hashes).groupBy("id", "row", "pos", "node").agg(
         F.count(F.lit(1)).alias("n"), *_bit_counts()
     )
     blocks = [f"b{k}" for k in range(BLOCKS)]
