@@ -42,10 +42,8 @@ def tokenize_pairs(df: DataFrame, vocab: DataFrame, seq_len: int, pad_id: int =
     return out
 
 
-def sequence_logp(
-    df: DataFrame, vocab_size: int, exclude_padding: bool = False, pad_id: int = PAD_ID, seq: str = "seq_id"
-) -> DataFrame:
-    """Sum of the log-probabilities of the labels of each sequence, from (seq, pos, label, logp).
+def summed_logp(vocab_size: int, exclude_padding: bool = False, pad_id: int = PAD_ID) -> Column:
+    """Sum of the log-probabilities of the labels, for an aggregation of (pos, label, logp) rows.
 
     The first position is never predicted. Labels -100 and ``vocab_size`` do not count; padding does,
     unless it is excluded.
@@ -53,7 +51,14 @@ def sequence_logp(
     counts = (F.col("pos") > 0) & (F.col("label") != IGNORE) & (F.col("label") != vocab_size)
     if exclude_padding:
         counts = counts & (F.col("label") != pad_id)
-    return df.groupBy(seq).agg(F.sum(F.when(counts, F.col("logp")).otherwise(F.lit(0.0))).alias("logp"))
+    return F.sum(F.when(counts, F.col("logp")).otherwise(F.lit(0.0)))
+
+
+def sequence_logp(
+    df: DataFrame, vocab_size: int, exclude_padding: bool = False, pad_id: int = PAD_ID, seq: str = "seq_id"
+) -> DataFrame:
+    """``summed_logp`` of each sequence, from (seq, pos, label, logp)."""
+    return df.groupBy(seq).agg(summed_logp(vocab_size, exclude_padding, pad_id).alias("logp"))
 
 
 def neg_log_sigmoid(x: Column) -> Column:

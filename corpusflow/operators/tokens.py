@@ -106,7 +106,10 @@ def encode(
     slots = _slot_count(vocab)
     looked_up = df.withColumn("_slots", _token_slots(vocab, slots).scalar())
     find = lambda w: F.coalesce(F.try_element_at(F.col("_slots")[_slot(w, slots)], w), F.lit(UNK_ID))
-    encoded = looked_up.withColumn(out, F.transform(words(F.coalesce(F.col(text), F.lit(""))), find)).drop("_slots")
+    found = words(F.coalesce(F.col(text), F.lit("")))
+    # Words beyond the cut are not looked up.
+    found = F.slice(found, 1, max_length) if max_length else found
+    encoded = looked_up.withColumn(out, F.transform(found, find)).drop("_slots")
     if add_bos or add_eos:
         parts = [F.array(F.lit(BOS_ID))] * add_bos + [F.col(out)] + [F.array(F.lit(EOS_ID))] * add_eos
         encoded = encoded.withColumn(out, F.concat(*parts))

@@ -79,9 +79,9 @@ def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.build_vocab(corpus(spark, sf).select("text"), VOCAB_SIZE)
 
 
-def encoded(spark: SparkSession, sf: str) -> DataFrame:
-    """(doc_id, ids) without special tokens."""
-    return tokens.encode(corpus(spark, sf), vocabulary(spark, sf)).select("doc_id", "ids")
+def encoded(spark: SparkSession, sf: str, max_length: int | None = None) -> DataFrame:
+    """(doc_id, ids) without special tokens, cut to ``max_length`` where one is given."""
+    return tokens.encode(corpus(spark, sf), vocabulary(spark, sf), max_length).select("doc_id", "ids")
 
 
 def hb(salt: str, *keys: str) -> str:

@@ -169,9 +169,10 @@ FROM logps GROUP BY seq_id""",
 )
 def sequence_logp(spark, sf):
     scored = b.token_logps(spark, sf)
-    plain = preference.sequence_logp(scored, 1000)
-    unpadded = preference.sequence_logp(scored, 1000, exclude_padding=True).withColumnRenamed("logp", "logp_unpadded")
-    both = plain.join(unpadded, "seq_id")
+    both = scored.groupBy("seq_id").agg(
+        preference.summed_logp(1000).alias("logp"),
+        preference.summed_logp(1000, exclude_padding=True).alias("logp_unpadded"),
+    )
     return both.select("seq_id", b.near("logp").alias("logp"), b.near("logp_unpadded").alias("logp_unpadded"))
 
 

@@ -20,7 +20,8 @@ def batched(spark, sf) -> DataFrame:
 
 
 def packed(spark, sf, **options) -> DataFrame:
-    docs = batched(spark, sf).join(b.encoded(spark, sf), "doc_id")
+    # No document fills more than one sequence, so nothing beyond it has to be looked up or moved.
+    docs = batched(spark, sf).join(b.encoded(spark, sf, b.SEQ_LEN), "doc_id")
     slices = docs.withColumn("slice", step_slice(F.col("batch_id"), ACCUM, STEPS_PER_BUCKET))
     return packing.pack(
         slices, b.SEQ_LEN, b.DOCS_PER_SEQUENCE, eos_id=tokens.EOS_ID, pad_id=tokens.PAD_ID, together="slice", **options
