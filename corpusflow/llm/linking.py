@@ -4,7 +4,8 @@ A bucket may hold a third of all members. Every member is first compared with a
 bucket; the links found join the members into classes. Pairs inside a class need no comparison,
 because only connectivity is asked for. In each bucket the class with the most members is set
 aside, and only members outside it are compared with the others. A bucket of near copies thus
-costs rows in proportion to its members, and no link between two classes is lost.
+costs rows in proportion to its members, and no link between two classes is lost. A cheap necessary
+condition can stand in the joins that make pairs, so that only pairs that meet it are ever written.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from corpusflow.session import materialise
 LEADERS = 2
 
 Verify = Callable[[DataFrame], DataFrame]
+Fits = Callable[[Column, Column], Column]
 
 
 def shared_members(members: DataFrame) -> DataFrame:
@@ -41,15 +43,27 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
 
 
-def linked_classes(members: DataFrame, verify: Verify) -> DataFrame:
+def linked_classes(members: DataFrame, verify: Verify, fits: Fits | None = None, facts: DataFrame | None = None) -> DataFrame:
     """(node, component) of all nodes with a link.
 
     ``members`` has distinct rows (bucket, node), or is what ``shared_members`` made of them; ``verify``
-    keeps those of the pairs (a, b) that are linked. Buckets and nodes must not be null.
+    keeps those of the pairs (a, b) that are linked. ``fits`` of two facts is true for every linked pair; ``facts``
+    has one row (node, fact) per member, else the node is its own fact. Buckets and nodes must not be null.
     """
+
+    def fact(of: str) -> DataFrame:
+        return facts.select(F.col("node").alias(of), F.col("fact").alias(f"_f{of}"))
+
+    def fitting(pairs: DataFrame) -> DataFrame:
+        if fits is None:
+            return pairs
+        if facts is None:
+            return pairs.where(fits(F.col("a"), F.col("b")))
+        return pairs.join(fact("a"), "a").join(fact("b"), "b").where(fits(F.col("_fa"), F.col("_fb"))).select("a", "b")
+
     grouped = _grouped(members if "n" in members.columns else shared_members(members))
     leaders = grouped.select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
-    edges = materialise(verify(_pairs(leaders)), "links")
+    edges = materialise(verify(fitting(_pairs(leaders))), "links")
     classes = components(edges)
     placed = grouped.where("n > 2").join(classes, "node", "left").select(
         "bucket", "node", "leaders", F.coalesce("component", "node").alias("class")
@@ -62,7 +76,15 @@ def linked_classes(members: DataFrame, verify: Verify) -> DataFrame:
     rest = materialise(rest, "rest")
     outside = rest.where(F.col("class") != F.col("most")).select("bucket", F.col("node").alias("a"), F.col("class").alias("_ca"))
     others = rest.select("bucket", F.col("node").alias("b"), F.col("class").alias("_cb"))
-    open_pairs = materialise(_pairs(outside.join(others, "bucket").where(F.col("_ca") != F.col("_cb"))), "open")
+    met = F.col("_ca") != F.col("_cb")
+    if fits is not None and facts is not None:
+        # Facts ride along, so that the condition is part of the join and pairs that miss it are never rows.
+        outside, others = outside.join(fact("a"), "a"), others.join(fact("b"), "b")
+        met = met & fits(F.col("_fa"), F.col("_fb"))
+    elif fits is not None:
+        met = met & fits(F.col("a"), F.col("b"))
+    outside = outside.withColumnRenamed("bucket", "_bucket")
+    open_pairs = materialise(_pairs(outside.join(others, (F.col("_bucket") == F.col("bucket")) & met)), "open")
     if open_pairs.isEmpty():
         return classes
     late = materialise(verify(open_pairs), "links")

@@ -1,8 +1,10 @@
 """Substring deduplication by paragraphs: MinHash bands, exact Jaccard similarity, components.
 
 A paragraph is a line of the text. Its MinHash signature over five-word shingles is cut into bands;
-paragraphs that are equal in one band collide and are verified by the Jaccard similarity of
-their shingle sets. The number of bands follows from the recall asked for at the threshold. Of each
+paragraphs that are equal in one band collide. A set of shingles is also drawn as a bitmap in which every shingle
+flips one bit: two bitmaps differ in no more bits than the sets differ in shingles, so that pairs which differ
+too much are left out while they are joined, without losing any that reaches the threshold. The others are
+verified by the Jaccard similarity of their shingle sets. The number of bands follows from the recall asked for at the threshold. Of each
 connected group the first paragraph stays.
 """
 
@@ -15,15 +17,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusflow.llm.linking import linked_classes
+from corpusflow.llm.linking import linked_classes, shared_members
 from corpusflow.llm.lines import document_rows, cut_repeats
 from corpusflow.llm.textbytes import mix, raw, shingle_hashes, slices, word_hashes, word_spans
 from corpusflow.session import materialise
 
 WIDTH = 5
 ROWS = 4
+#: Longs of a paragraph's bitmap.
+BITMAP = 4
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -90,6 +94,35 @@ def _bands(shingles: np.ndarray, begin: np.ndarray, bands: int) -> np.ndarray:
     return out
 
 
+def _facts(shingles: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Per paragraph the number of different shingles, and the longs of a bitmap in which each of them flips one bit."""
+    out = np.zeros((len(begin) - 1, 1 + BITMAP), dtype=np.uint64)
+    if not len(out):
+        return out
+    owner = np.repeat(np.arange(len(out)), np.diff(begin))
+    order = np.lexsort((shingles, owner))
+    shingles, owner = shingles[order], owner[order]
+    fresh = np.ones(len(owner), dtype=bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (shingles[1:] != shingles[:-1])
+    shingles, owner = mix(shingles[fresh]), owner[fresh]
+    first = np.searchsorted(owner, np.arange(len(out)))
+    out[:, 0] = np.diff(np.append(first, len(owner)))
+    place = shingles % np.uint64(64 * BITMAP)
+    flip = np.uint64(1) << (place % np.uint64(64))
+    for k in range(BITMAP):
+        out[:, 1 + k] = np.bitwise_xor.reduceat(np.where(place // np.uint64(64) == k, flip, np.uint64(0)), first)
+    return out
+
+
+def can_reach(similarity: float, a: Column, b: Column) -> Column:
+    """Whether two sets of these facts can have this Jaccard similarity: it bounds by how many shingles they differ."""
+    differ = F.bit_count(a[1].bitwiseXOR(b[1]))
+    for k in range(1, BITMAP):
+        differ = differ + F.bit_count(a[1 + k].bitwiseXOR(b[1 + k]))
+    apart = F.greatest(differ.cast("bigint"), F.abs(a[0] - b[0]))
+    return apart * (1 + similarity) <= (a[0] + b[0]) * (1 - similarity) + 1e-6
+
+
 def paragraph_groups(rows: DataFrame, similarity: float, recall: float, min_words: int) -> DataFrame:
     """(id, row, pos, group) of the paragraphs of ``rows`` (id, row, text)."""
     bands = band_count(similarity, recall)
@@ -103,7 +136,8 @@ def paragraph_groups(rows: DataFrame, similarity: float, recall: float, min_word
                 yield pa.RecordBatch.from_arrays([
                     pc.take(part.column("id"), at), pc.take(part.column("row"), at), pa.array(line, pa.int32()),
                     pa.array(nodes, pa.binary()), pa.array(list(keys), pa.list_(pa.int64())),
-                ], ["id", "row", "pos", "node", "keys"])
+                    pa.array(list(_facts(shingles, begin).view(np.int64)), pa.list_(pa.int64())),
+                ], ["id", "row", "pos", "node", "keys", "fact"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,9 +146,11 @@ def paragraph_groups(rows: DataFrame, similarity: float, recall: float, min_word
                 found = [np.unique(shingles[s:e].view(np.int64)) for s, e in zip(begin[:-1], begin[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    found = materialise(rows.mapInArrow(scan, "id bigint, row bigint, pos int, node binary, keys array<bigint>"), "paragraphs")
+    found = materialise(rows.mapInArrow(scan, "id bigint, row bigint, pos int, node binary, keys array<bigint>, fact array<bigint>"), "paragraphs")
     holders = materialise(found.groupBy("node").agg(F.min("id").alias("id")), "nodes")
-    members = found.select("node", F.explode("keys").alias("bucket")).distinct()
+    members = shared_members(found.select("node", F.explode("keys").alias("bucket")).distinct())
+    met = members.select("node").distinct()
+    facts = materialise(found.select("node", "fact").join(met, "node", "left_semi").dropDuplicates(["node"]), "facts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = materialise(pairs, "pairs")
@@ -130,7 +166,7 @@ def paragraph_groups(rows: DataFrame, similarity: float, recall: float, min_word
         common = F.size(F.array_intersect("sa", "sb"))
         return both.where(fitting).where(common >= similarity * (F.size("sa") + F.size("sb") - common) - 1e-9).select("a", "b")
 
-    classes = linked_classes(members, verify)
+    classes = linked_classes(members, verify, lambda a, b: can_reach(similarity, a, b), facts)
     return found.join(classes, "node", "left").select("id", "row", "pos", F.coalesce("component", "node").alias("group"))
 
 

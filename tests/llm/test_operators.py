@@ -363,3 +363,21 @@ def test_broken_chain_is_refused():
 def test_every_operator_is_registered():
     assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert set(CHECKS) <= set(QUERIES) and sum(SHARES.values()) == 50
+
+
+def test_bitmaps_keep_every_pair_at_the_threshold(spark):
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets, rows = [], []
+    for k in range(60):
+        size = int(draw.integers(1, 400))
+        shingles = np.concatenate([base[:size], draw.integers(0, 1 << 63, k % 20, dtype=np.uint64), base[: k % 3]])
+        sets.append(set(shingles.tolist()))
+        fact = paragraphs._facts(shingles, np.array([0, len(shingles)])).view(np.int64)[0]
+        assert fact[0] == len(sets[-1])
+        rows.append((k, fact.tolist()))
+    facts = spark.createDataFrame(rows, "k int, f array<bigint>")
+    pairs = facts.selectExpr("k a", "f fa").crossJoin(facts.selectExpr("k b", "f fb"))
+    kept = {(r.a, r.b) for r in pairs.where(paragraphs.can_reach(0.8, F.col("fa"), F.col("fb"))).select("a", "b").collect()}
+    linked = {(a, b) for a in range(60) for b in range(60) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert linked <= kept and len(kept) < 1800
