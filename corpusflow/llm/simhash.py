@@ -103,10 +103,11 @@ def near_duplicates(
     prints = materialise(fingerprints(docs, id_col, text_col, width), "prints")
     firsts = prints.groupBy(F.col("fp").alias("node")).agg(F.min("id").alias("first"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    def near(a: Column, b: Column) -> Column:
+        return F.bit_count(a.bitwiseXOR(b)) <= distance
 
-    classes = linked_classes(covered(firsts), verify)
+    # The condition is exact: pairs that meet it are links.
+    classes = linked_classes(covered(firsts), lambda pairs: pairs, near)
     placed = firsts.join(classes, "node", "left").select("node", "first", F.coalesce("component", "node").alias("class"))
     smallest = placed.groupBy("class").agg(F.min("first").alias("component_id"))
     by_print = placed.join(smallest, "class").select(F.col("node").alias("fp"), "component_id")
