@@ -1,12 +1,14 @@
 """Temperature, top-k, nucleus and sampling over a table of scored candidates per query.
 
-Candidates are ranked by (logit descending, token). A query may have any number of candidates: they
-are ranked in range chunks, so that the largest query does not have to fit into one task.
+Candidates are ranked by (logit descending, token); those without a logit are left out. A query may have
+any number of candidates. With top-k the limit on the rank cuts each query in the map tasks, so that a
+window of a query holds the k best of every task at most, and their ties. Softmax alone needs two sums per query.
+A nucleus without top-k ranks in range chunks, so that the largest query does not have to fit into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions.hashing import hash_uniform
 from corpusflow.operators.ordering import CHUNK, Running, range_chunks, row_count, running
@@ -21,14 +23,18 @@ def _along(df: DataFrame, outs: dict[str, Running]) -> DataFrame:
     return running(df, [QUERY], ORDER, outs, chunk=F.col(CHUNK), stage=False)
 
 
+def _scaled(df: DataFrame, temperature: float) -> DataFrame:
+    if temperature <= 0:
+        raise ValueError("temperature must be positive")
+    return df.where(F.col(LOGIT).isNotNull()).withColumn("_z", F.col(LOGIT) / F.lit(float(temperature)))
+
+
 def ranked(df: DataFrame, temperature: float = 1.0, parts: int | None = None) -> DataFrame:
     """Adds rank, e (probability relative to the best), before and mass (sums of e).
 
     Candidates without a logit are left out.
     """
-    if temperature <= 0:
-        raise ValueError("temperature must be positive")
-    scaled = df.where(F.col(LOGIT).isNotNull()).withColumn("_z", F.col(LOGIT) / F.lit(float(temperature))).withColumn("_down", -F.col("_z"))
+    scaled = _scaled(df, temperature).withColumn("_down", -F.col("_z"))
     chunked = range_chunks(scaled, [QUERY, *ORDER], parts)
     peaked = _along(chunked, {"_peak": Running("max", F.col("_z"), whole=True)})
     weighed = peaked.withColumn("_e", F.exp(F.col("_z") - F.col("_peak")))
@@ -46,23 +52,23 @@ def _clean(df: DataFrame) -> DataFrame:
     return df.drop(*_WORK, "before", "mass", "rank")
 
 
-def softmax(df: DataFrame, temperature: float = 1.0, parts: int | None = None) -> DataFrame:
+def softmax(df: DataFrame, temperature: float = 1.0) -> DataFrame:
     """Adds ``prob``, the softmax of the tempered logits of each query."""
-    return _clean(ranked(df, temperature, parts).withColumn("prob", F.col("_e") / F.col("mass")))
+    scaled = _scaled(df, temperature)
+    weighed = scaled.join(scaled.groupBy(QUERY).agg(F.max("_z").alias("_peak")), QUERY).withColumn("_e", F.exp(F.col("_z") - F.col("_peak")))
+    masses = weighed.groupBy(QUERY).agg(F.sum("_e").alias("mass"))
+    return _clean(weighed.join(masses, QUERY).withColumn("prob", F.col("_e") / F.col("mass")))
 
 
-def _keep_top_k(rows: DataFrame, k: int) -> DataFrame:
-    # The k-th best score of a query; queries with fewer candidates keep all of them.
-    kth = _along(rows, {"_kth": Running("min", F.when(F.col("rank") <= k, F.col("_z")), whole=True)})
-    kept = kth.where(F.col("_z") >= F.col("_kth")).drop("_kth", "mass")
-    return _along(kept, {"mass": Running("sum", F.col("_e"), whole=True)})
+def _best(scaled: DataFrame, k: int) -> DataFrame:
+    """Candidates not below the k-th best of their query. Their number is k per query, and ties with the k-th."""
+    by_score = Window.partitionBy(QUERY).orderBy(F.desc("_z"))
+    return scaled.withColumn("rank", F.rank().over(by_score)).where(F.col("rank") <= k).drop("rank")
 
 
-def top_k(df: DataFrame, k: int, parts: int | None = None) -> DataFrame:
+def top_k(df: DataFrame, k: int) -> DataFrame:
     """Candidates not below the k-th best of their query, ties kept; off for k <= 0."""
-    if k <= 0:
-        return df
-    return _clean(_keep_top_k(materialise(ranked(df, 1.0, parts), "ranked"), k))
+    return df if k <= 0 else _clean(_best(_scaled(df, 1.0), k))
 
 
 def top_p(df: DataFrame, p: float, parts: int | None = None) -> DataFrame:
@@ -73,16 +79,31 @@ def top_p(df: DataFrame, p: float, parts: int | None = None) -> DataFrame:
     return _clean(rows.where((F.col("rank") == 1) | (F.col("before") / F.col("mass") <= p)))
 
 
+def _ranked_best(df: DataFrame, temperature: float, k: int) -> DataFrame:
+    """What ``ranked`` adds, for the k best of each query and their ties alone, by plain windows over them."""
+    whole = Window.partitionBy(QUERY)
+    ordered = whole.orderBy(F.desc("_z"), TOKEN)
+    best = _best(_scaled(df, temperature), k)
+    weighed = best.withColumn("_e", F.exp(F.col("_z") - F.max("_z").over(whole)))
+    before = F.sum("_e").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    return weighed.withColumns({
+        "rank": F.row_number().over(ordered), "before": F.coalesce(before, F.lit(0.0)), "mass": F.sum("_e").over(whole),
+    })
+
+
 def truncate(
     df: DataFrame, temperature: float = 1.0, k: int = 50, p: float = 0.9, parts: int | None = None
 ) -> DataFrame:
     """Temperature, then top-k, then nucleus on the renormalised rest; adds the final ``prob``."""
-    rows = materialise(ranked(df, temperature, parts), "ranked")
-    if k > 0:
-        rows = _keep_top_k(rows, k)
+    if k <= 0 and p >= 1:
+        return softmax(df, temperature)
+    rows = _ranked_best(df, temperature, k) if k > 0 else materialise(ranked(df, temperature, parts), "ranked")
     if p < 1:
         rows = rows.where((F.col("rank") == 1) | (F.col("before") / F.col("mass") <= p)).drop("mass")
-        rows = _along(rows, {"mass": Running("sum", F.col("_e"), whole=True)})
+        if k > 0:
+            rows = rows.withColumn("mass", F.sum("_e").over(Window.partitionBy(QUERY)))
+        else:
+            rows = _along(rows, {"mass": Running("sum", F.col("_e"), whole=True)})
     return _clean(rows.withColumn("prob", F.col("_e") / F.col("mass")))
 
 

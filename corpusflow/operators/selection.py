@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from corpusflow.session import materialise
 
 MIN_TOKENS = 100
-#: Most sampled keys that may be broadcast.
-BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -56,9 +54,7 @@ def head_sample(
     the match and run on the whole corpus.
     """
     chosen = heads(df, samples, order, domain)
-    size = sum(s.num_samples // s.every + 1 for s in samples.values())
-    matched = df.join(F.broadcast(chosen) if size <= BROADCAST_KEYS else chosen, [domain, order])
-    return materialise(matched, "sample")
+    return materialise(df.join(chosen, [domain, order]), "sample")
 
 
 def cadence(df: DataFrame, every: int, step: str = "step", skip_zero: bool = False) -> DataFrame:

@@ -26,6 +26,8 @@ STATE_SCHEMA = (
     "losses array<double>, grads array<double>, lowest double, seen bigint, best_at bigint, last_step bigint, "
     "late_rows bigint"
 )
+#: Files of a micro-batch, unless the caller says otherwise.
+MAX_FILES = 100
 NEW_RUN = ([], [], float("inf"), 0, 0, -1, 0)
 
 
@@ -79,17 +81,25 @@ def monitor_stream(log: DataFrame, params: StabilityParams = StabilityParams())
     return followed.select("run", "step", "late_rows", F.inline(F.filter(rules, lambda a: a.isNotNull())))
 
 
-def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """A growing folder of JSON lines. ``max_files`` bounds a micro-batch and with it a run's share of it."""
+def read_log_stream(spark: SparkSession, path: str, max_files: int = MAX_FILES) -> DataFrame:
+    """A growing folder of JSON lines. ``max_files`` bounds a micro-batch and with it a run's share of it;
+    further files wait for the next one."""
     reader = spark.readStream.schema(LOG_SCHEMA).option("allowNonNumericNumbers", True)
-    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).json(path)
+    return reader.option("maxFilesPerTrigger", max_files).json(path)
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, format: str = "parquet") -> StreamingQuery:
-    """Append a stream (alerts, or log rows as ``json``) to a folder: everything there is now, then stop."""
+def write_stream(
+    df: DataFrame, path: str, checkpoint: str, format: str = "parquet", interval: str | None = None
+) -> StreamingQuery:
+    """Append a stream (alerts, or log rows as ``json``) to a folder.
+
+    Everything there is now, then stop; with an ``interval`` ("10 seconds") the query stays live and
+    looks for new rows that often.
+    """
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         df.writeStream.format(format).outputMode("append").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 

@@ -139,3 +139,9 @@ def test_sampling_follows_the_probabilities(spark):
 def test_candidates_without_a_logit_are_left_out(spark):
     rows = spark.createDataFrame([(1, 1, 2.0), (1, 2, None), (1, 3, 1.0), (1, 4, 0.0)], "query_id long, token_id long, logit double")
     assert sorted(r[1] for r in candidates.top_k(rows, 2).collect()) == [1, 3]
+
+
+def test_the_limit_on_candidates_stands_before_the_shuffle(spark, scored):
+    plan = candidates.top_k(scored[1], 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange hashpartitioning")
