@@ -15,9 +15,14 @@ HASH_SPAN = float(1 << HASH_BITS)
 GAP_SCALE = 65536
 
 
+def _given(key: Column) -> Column:
+    return F.coalesce(key, F.raise_error(F.lit("a key to hash is null")).cast("string"))
+
+
 def hash_bits(seed: int, salt: str, *keys: Column) -> Column:
-    """A uniform integer in [0, 2^48) from seed, salt and key columns."""
-    text = F.concat_ws(":", F.lit(str(seed)), F.lit(salt), *[k.cast("string") for k in keys])
+    """A uniform integer in [0, 2^48) from seed, salt and key columns. A null key is an error, as two keys could
+    not be told apart without it."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit(salt), *[_given(k.cast("string")) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")
 
 

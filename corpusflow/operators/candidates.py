@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions.hashing import hash_uniform
-from corpusflow.operators.ordering import CHUNK, Running, range_chunks, row_count, running
+from corpusflow.operators.ordering import CHUNK, Running, present, range_chunks, row_count, running
 from corpusflow.session import materialise
 
 QUERY, TOKEN, LOGIT = "query_id", "token_id", "logit"
@@ -26,7 +26,7 @@ def _along(df: DataFrame, outs: dict[str, Running]) -> DataFrame:
 def _scaled(df: DataFrame, temperature: float) -> DataFrame:
     if temperature <= 0:
         raise ValueError("temperature must be positive")
-    return df.where(F.col(LOGIT).isNotNull()).withColumn("_z", F.col(LOGIT) / F.lit(float(temperature)))
+    return df.where(F.col(LOGIT).isNotNull()).withColumns(present(df, [QUERY])).withColumn("_z", F.col(LOGIT) / F.lit(float(temperature)))
 
 
 def ranked(df: DataFrame, temperature: float = 1.0, parts: int | None = None) -> DataFrame:

@@ -65,7 +65,7 @@ def chunk_by_hash(df: DataFrame, bits: Column) -> Column:
     return F.floor(bits / F.lit(HASH_SPAN / slices)).cast("bigint")
 
 
-def _present(df: DataFrame, group: Sequence[str]) -> dict[str, Column]:
+def present(df: DataFrame, group: Sequence[str]) -> dict[str, Column]:
     """The group columns, with an error where one is null: totals are carried over by plain equality,
     which keeps the rows in the partitions where their windows ran."""
     return {g: F.coalesce(g, F.raise_error(F.lit(f"{g} is null")).cast(df.schema[g].dataType)) for g in group}
@@ -100,12 +100,12 @@ def running(
     order = list(order)
     values = {f"_v_{out}": spec.value for out, spec in outs.items()}
     if chunk is None:
-        staged = range_chunks(df.withColumns(values).withColumns(_present(df, group)), group + order, parts)
+        staged = range_chunks(df.withColumns(values).withColumns(present(df, group)), group + order, parts)
     else:
         # Values first: they may read the columns that the results replace.
         staged = df.withColumns({**values, CHUNK: chunk})
         if stage:
-            staged = materialise(staged.withColumns(_present(df, group)), "chunks")
+            staged = materialise(staged.withColumns(present(df, group)), "chunks")
 
     inside = Window.partitionBy(*group, CHUNK).orderBy(*order)
     local = staged.withColumns({f"_l_{out}": s.local(f"_v_{out}", inside) for out, s in outs.items()})

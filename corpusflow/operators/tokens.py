@@ -18,8 +18,9 @@ UNK, BOS, EOS, PAD = "<unk>", "<s>", "</s>", "<pad>"
 UNK_ID, BOS_ID, EOS_ID, PAD_ID = 0, 1, 2, 3
 SPECIALS = (UNK, BOS, EOS, PAD)
 
-#: Largest vocabulary that may travel with the tasks.
+#: Defaults of the bounds on a vocabulary that travels with the tasks: entries, and bytes of its tokens.
 MAX_VOCAB = 1_000_000
+MAX_VOCAB_BYTES = 64 << 20
 
 
 def _frequent(counts: DataFrame, wanted: int) -> DataFrame:
@@ -39,10 +40,10 @@ def build_vocab(df: DataFrame, size: int, with_pad: bool = True, text: str = "te
     """The most frequent whitespace tokens as (token, n, id), special tokens first.
 
     Ids follow (count descending, token). Without a pad token of its own, ``<pad>`` gets the id of
-    the end token.
+    the end token. A vocabulary may have any size; ``encode`` and ``decode`` bound the one they carry.
     """
-    if not len(SPECIALS) < size <= MAX_VOCAB:
-        raise ValueError(f"vocabulary size must be in ({len(SPECIALS)}, {MAX_VOCAB}], got {size}")
+    if size <= len(SPECIALS):
+        raise ValueError(f"vocabulary size must be more than {len(SPECIALS)}, got {size}")
     spark = df.sparkSession
     first = len(SPECIALS)
     # Dropping empty pieces after the explode keeps the filter in generated code.
@@ -76,7 +77,7 @@ def _slot(token: Column, slots: int) -> Column:
 
 
 def _token_slots(vocab: DataFrame, slots: int) -> DataFrame:
-    """One row: array of ``slots`` maps token -> id. Holds at most MAX_VOCAB entries by construction."""
+    """One row: array of ``slots`` maps token -> id. Its size was checked before."""
     filled = vocab.where(F.col("id") >= len(SPECIALS)).groupBy(_slot(F.col("token"), slots).alias("slot")).agg(
         F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("ids")
     )
@@ -88,22 +89,26 @@ def _token_slots(vocab: DataFrame, slots: int) -> DataFrame:
     )
 
 
-def _slot_count(vocab: DataFrame) -> int:
-    size = vocab.count()
-    if size > MAX_VOCAB:
-        raise ValueError(f"the vocabulary has {size} entries, more than {MAX_VOCAB}")
-    return max(1, size // 4)
+def checked_size(vocab: DataFrame, max_entries: int, max_bytes: int) -> int:
+    """Entries of a vocabulary that is small enough to travel with the tasks; one that is not raises an error."""
+    size, held = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token")), F.lit(0))).first()
+    if size > max_entries:
+        raise ValueError(f"the vocabulary has {size} entries, more than {max_entries}")
+    if held > max_bytes:
+        raise ValueError(f"the tokens of the vocabulary take {held} bytes, more than {max_bytes}")
+    return size
 
 
 def encode(
     df: DataFrame, vocab: DataFrame, max_length: int | None = None, add_bos: bool = False, add_eos: bool = False,
-    text: str = "text", out: str = "ids",
+    text: str = "text", out: str = "ids", max_entries: int = MAX_VOCAB, max_bytes: int = MAX_VOCAB_BYTES,
 ) -> DataFrame:
     """Token ids of ``text`` in column ``out``; unknown tokens get id 0.
 
-    Special tokens are added first, then the whole is cut to ``max_length`` (None or 0 keeps all).
+    Special tokens are added first, then the whole is cut to ``max_length`` (None or 0 keeps all). The
+    vocabulary travels as one value; more entries than ``max_entries`` or token bytes than ``max_bytes`` are an error.
     """
-    slots = _slot_count(vocab)
+    slots = max(1, checked_size(vocab, max_entries, max_bytes) // 4)
     looked_up = df.withColumn("_slots", _token_slots(vocab, slots).scalar())
     find = lambda w: F.coalesce(F.try_element_at(F.col("_slots")[_slot(w, slots)], w), F.lit(UNK_ID))
     found = words(F.coalesce(F.col(text), F.lit("")))
@@ -135,10 +140,12 @@ def pad(df: DataFrame, length: int, pad_id: int = PAD_ID, ids: str = "ids") -> D
 
 
 def decode(
-    df: DataFrame, vocab: DataFrame, skip_special: bool = True, ids: str = "ids", out: str = "text"
+    df: DataFrame, vocab: DataFrame, skip_special: bool = True, ids: str = "ids", out: str = "text",
+    max_entries: int = MAX_VOCAB, max_bytes: int = MAX_VOCAB_BYTES,
 ) -> DataFrame:
-    """Text of the ids, tokens joined by one space; an id that the vocabulary does not have gives ``<unk>``."""
-    _slot_count(vocab)
+    """Text of the ids, tokens joined by one space; an id that the vocabulary does not have gives ``<unk>``.
+    The bounds are those of ``encode``."""
+    checked_size(vocab, max_entries, max_bytes)
     last = vocab.agg(F.max("id")).scalar()
     named = vocab.groupBy("id").agg(F.min("token").alias("token"))
     # Ids may have gaps: without a pad token of its own the vocabulary has no id 3.

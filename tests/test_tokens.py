@@ -149,3 +149,12 @@ def test_decode_without_pad_and_unknown_ids(spark):
     assert tokens.decode(coded, vocab).first().text == "a a a b b c"
     odd = spark.createDataFrame([([4, 99, 5],)], "ids array<int>")
     assert tokens.decode(odd, vocab).first().text == "a <unk> b"
+
+
+def test_a_vocabulary_beyond_its_bounds_is_refused(spark):
+    docs = spark.createDataFrame([(1, "a a a b b c")], "doc_id long, text string")
+    vocab = tokens.build_vocab(docs, 7)
+    assert tokens.encode(docs, vocab, max_entries=7).first().ids == [4, 4, 4, 5, 5, 6]
+    for bound in ({"max_entries": 6}, {"max_bytes": 10}):
+        with pytest.raises(ValueError):
+            tokens.encode(docs, vocab, **bound)
