@@ -1,34 +1,30 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
 Lines are normalised (lower case, runs of other characters than letters and digits become one space).
-Lines that are equal then (by a 64-bit hash) are one node. Each node has a 70-bit SimHash of its longer words,
-cut into five 14-bit blocks. Nodes that agree in two blocks share a bucket, so that by the pigeonhole principle
-every two fingerprints within three bits meet, and more distant ones often; a key of two blocks has 28 bits, which
-keeps chance meetings rare; raise ``BLOCK_BITS`` with the corpus, to 16 at most. Nodes of a bucket are linked if their edit similarity in words
-reaches the threshold. Of each connected group the first occurrence stays.
+Lines that are equal then (by a 64-bit hash) are one node. Two lines within the edit similarity in words share most
+of their words, so each node has MinHash minima of its set of words, in three columns of ``ORDER``; a key is one minimum
+of each column, chosen so that two of the ``ORDER`` squared keys have at most one minimum in common. Nodes that agree
+in a key share a bucket and are linked if their edit similarity in words reaches the threshold. Of each connected
+group the first occurrence stays.
 """
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.llm.linking import linked_classes, shared_members
 from corpusflow.session import materialise
 
-BLOCKS, EQUAL_BLOCKS, BLOCK_BITS = 5, 2, 14
-#: Letters of the words that make up the fingerprint, and how many of them a line needs for that. Short words are
-#: the same in most lines; a line with few long words takes all.
-LONG_WORD, LEAST_LONG = 7, 5
+#: Minima in each of the three columns that keys are made of. Two sets of words with the
+#: Jaccard similarity j share a key with a chance of about 1 - (1 - j^3)^(ORDER^2).
+ORDER = 5
+#: Letters of the words that minima are taken of, and how many of them a line needs for that. Short words are the same
+#: in most lines and would make chance meetings. A line with few longer words has minima of all its words; one that an
+#: edit could move across the bound has both kinds.
+LONG_WORD, LEAST_LONG = 4, 10
 #: Bits of the filter that keeps texts without a candidate or without a cut out of shuffles. Its size is fixed (a
 #: row for every 64 bits); with more keys than bits it lets all texts pass, which costs a shuffle and changes no result.
 FILTER_BITS = 1 << 22
-#: Longs that count the words with a bit, four bits in each: 16 for the 64 bits of one hash, the others for bits
-#: of another. Only past 65535 words do counts run over, which can hide a near copy of such a line; equal lines are
-#: found by their hash.
-COUNTERS = [("h", k) for k in range(16)] + [("g", k) for k in range(-(-BLOCKS * BLOCK_BITS // 4) - 16)]
-_LANE = sum(1 << (16 * k) for k in range(4))
 
 
 def normalised(line: Column) -> Column:
@@ -39,21 +35,6 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _bit_counts() -> list[Column]:
-    """Per long the words that have the bits k, k + 16, k + 32 and k + 48 of a hash, summed up before the shuffle."""
-    return [F.sum(F.shiftrightunsigned(name, k).bitwiseAND(F.lit(_LANE))).alias(f"s{i}") for i, (name, k) in enumerate(COUNTERS)]
-
-
-def _block(number: int) -> Column:
-    """The bits of one block of the fingerprint: those that more than half of the words have."""
-    out = F.lit(0).cast("bigint")
-    for bit in range(BLOCK_BITS):
-        counter, lane = divmod(number * BLOCK_BITS + bit, 4)
-        count = F.shiftrightunsigned(f"s{counter}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
-        out = out.bitwiseOR(F.when(count * 2 > F.col("n"), F.lit(1 << bit)).otherwise(F.lit(0)))
-    return out
-
-
 def symbols(words: Column) -> Column:
     """The words as a text of one character each, so that edit distances count words. Of the 55 040 characters
     two different words share one about once in as many pairs."""
@@ -67,12 +48,23 @@ def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
 
 
+def _minima(rows: DataFrame, hashes: str) -> DataFrame:
+    """``rows`` with 3 * ORDER minima m0, m1, ... of an array of hashes. Each mixed array gives two: its least and its greatest."""
+    wanted, mixed = 3 * ORDER, -(-3 * ORDER // 2)
+    kept = [c for c in rows.columns if c != hashes]
+
+    def mix(number: int) -> Column:
+        return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(number)))
+
+    spread = rows.select(*kept, *[mix(k).alias(f"_x{k}") for k in range(mixed)])
+    least = [F.hash((F.array_max if k % 2 else F.array_min)(f"_x{k // 2}")) for k in range(wanted)]
+    return spread.select(*kept, *[F.when(F.size(f"_x{k // 2}") > 0, m).alias(f"m{k}") for k, m in enumerate(least)])
+
+
 def _keys() -> list[Column]:
-    """Per choice of blocks a number made of them and of the choice."""
-    choices = list(itertools.combinations(range(BLOCKS), EQUAL_BLOCKS))
-    return [
-        F.shiftleft(f"b{a}", BLOCK_BITS).bitwiseOR(F.col(f"b{b}")) + F.lit(n << 2 * BLOCK_BITS) for n, (a, b) in enumerate(choices)
-    ]
+    """Per choice of one minimum from each column a hash of them, the choice and the kind; two choices share one minimum at most."""
+    choices = [(a, ORDER + b, 2 * ORDER + (a + b) % ORDER) for a in range(ORDER) for b in range(ORDER)]
+    return [F.xxhash64(F.lit(n), "kind", *[F.col(f"m{k}") for k in choice]) for n, choice in enumerate(choices)]
 
 
 def _passing(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
@@ -97,16 +89,17 @@ def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame
     lines = cut.select("id", "row", "pos", normalised(F.col("line")).alias("line")).withColumn("node", F.xxhash64("line"))
     words = lines.select("id", "row", "pos", "node", F.split("line", " ").alias("words"))
     words = words.withColumn("longer", F.filter("words", lambda word: F.length(word) >= LONG_WORD))
-    feature = F.when(F.size("words") >= min_words, F.when(F.size("longer") >= LEAST_LONG, F.col("longer")).otherwise(F.col("words")))
-    hashed = words.select("id", "row", "pos", "node", F.explode_outer(feature).alias("word")).where("word is not null")
-    hashes = [F.xxhash64("word").alias("h"), F.xxhash64("word", F.lit(2)).alias("g")]
-    summed = hashed.select("id", "row", "pos", "node", *hashes).groupBy("id", "row", "pos", "node").agg(
-        F.count(F.lit(1)).alias("n"), *_bit_counts()
-    )
-    blocks = [f"b{k}" for k in range(BLOCKS)]
-    found = materialise(summed.select("id", "row", "pos", "node", *[_block(k).cast("int").alias(b) for k, b in enumerate(blocks)]), "lines")
-    # All lines of a node have the same words and thus the same blocks.
-    firsts = materialise(found.groupBy("node").agg(*[F.min(b).cast("bigint").alias(b) for b in blocks]), "nodes")
+    count, longer = F.size("words"), F.size("longer")
+    # The similarity lets no more words change than the line with the edits has, times what it allows.
+    few = longer < LEAST_LONG + F.ceil(count * (1 / max(similarity, 0.01) - 1))
+    features = [F.when((count >= min_words) & few, F.col("words")), F.when((count >= min_words) & (longer >= LEAST_LONG), F.col("longer"))]
+    chosen = words.select("id", "row", "pos", "node", few.alias("few"), F.posexplode_outer(F.array(*features)).alias("kind", "feature"))
+    hashed = chosen.select("id", "row", "pos", "node", "few", "kind", F.transform("feature", lambda word: F.xxhash64(word)).alias("hashes"))
+    sketched = materialise(_minima(hashed, "hashes"), "lines").where("m0 is not null")
+    # All lines of a node have the same words and thus the same minima.
+    firsts = sketched.groupBy("node", "kind").agg(*[F.min(f"m{k}").alias(f"m{k}") for k in range(3 * ORDER)])
+    firsts = materialise(firsts, "nodes")
+    found = sketched.where((F.col("kind") == 0) | ~F.col("few")).select("id", "row", "pos", "node")
     members = shared_members(firsts.select(F.explode(F.array(*_keys())).alias("bucket"), "node"))
     wanted = materialise(members.select("node").distinct(), "wanted")
     maybe = _passing(lines.select("node", "line"), F.col("node"), wanted, F.col("node")).where("_maybe")
