@@ -6,7 +6,9 @@ that agree in most steps, so edit distance becomes Hamming distance. Here bit j
 random bit of step j. A walk starts at every word of every text and is compared with the walks of the
 benchmark items through repeated samples of steps: equal words at all steps of a sample make a candidate.
 Items are sorted into classes by length, and a class samples only steps that stay inside its items, so
-the compared windows have the size of the item. Candidates are verified by exact word edit distance.
+the compared windows have the size of the item. Walks meet near texts with a chance only. So that none is missed,
+each item is also cut into one run of words more than it may have edits: one of these stands unchanged in every text
+that holds the item. Candidates of both kinds are verified by exact word edit distance.
 
 The benchmark travels to the tasks in blocks of bounded bytes, each a pass over the texts; there is no
 shuffle of texts.
@@ -22,13 +24,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from corpusflow.llm.textbytes import mix, raw, slices, word_hashes, word_spans
+from corpusflow.llm.textbytes import mix, raw, shingle_hashes, slices, word_hashes, word_spans
 
 STEPS = 64
 #: Steps that the samples of a class use, by the least number of words of its items.
 CLASSES = ((40, 64), (20, 32), (10, 16), (1, 4))
 SAMPLE = 3
 LOOKUP_BITS = 16
+#: Bits of the lookup of unchanged runs, of which there are many more.
+RUN_BITS = 20
 SLICE = 1 << 19
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
@@ -79,6 +83,11 @@ def walk_keys(padded_words: np.ndarray, places: np.ndarray, sampled: list[list[l
     return keys
 
 
+def allowed(lengths: np.ndarray, similarity: float) -> np.ndarray:
+    """Most edits of items with these numbers of words."""
+    return np.minimum(np.floor((1 - similarity) * lengths + 1e-9).astype(np.int64), np.maximum(lengths - 1, 0))
+
+
 class Block:
     """The walks of some benchmark items, ready for lookup."""
 
@@ -101,6 +110,73 @@ class Block:
                 lookup[(key >> np.uint64(64 - LOOKUP_BITS)).astype(np.int64)] = True
                 self.index[c, t] = (lookup, key[order], items[order])
 
+        self.runs = self._runs()
+
+    def _runs(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By number of words: lookup, and sorted hashes, items and places in the item of the runs that items are cut into."""
+        items = np.flatnonzero(self.lengths > 0)
+        parts = allowed(self.lengths[items], self.similarity) + 1
+        item = np.repeat(items, parts)
+        number = np.arange(len(item)) - np.repeat(np.cumsum(parts) - parts, parts)
+        length, of = self.lengths[item], np.repeat(parts, parts)
+        begin, end = number * length // of, (number + 1) * length // of
+        out = {}
+        for width in np.unique(end - begin).tolist():
+            which = np.flatnonzero(end - begin == width)
+            key = mix(shingle_hashes(self.words, width)[self.begins[item[which]] + begin[which]])
+            order = np.argsort(key, kind="stable")
+            lookup = np.zeros(1 << RUN_BITS, dtype=bool)
+            lookup[(key >> np.uint64(64 - RUN_BITS)).astype(np.int64)] = True
+            out[width] = lookup, key[order], item[which][order], begin[which][order]
+        return out
+
+    def run_candidates(self, words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct (text, first word that may belong to the item, item), of all texts that hold a run of the item."""
+        found = []
+        for width, (lookup, known, items, begins) in self.runs.items():
+            if len(words) < width:
+                continue
+            key = mix(shingle_hashes(words, width)[: len(words) - width + 1])
+            inside = owner[: len(key)] == owner[width - 1 :]
+            hit = np.flatnonzero(inside & lookup[(key >> np.uint64(64 - RUN_BITS)).astype(np.int64)])
+            low, high = np.searchsorted(known, key[hit], "left"), np.searchsorted(known, key[hit], "right")
+            times = high - low
+            at = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            start, item = np.repeat(hit, times), items[at]
+            found.append((owner[start], start - begins[at] - allowed(self.lengths[item], self.similarity), item))
+        if not found:
+            return (np.zeros(0, np.int64),) * 3
+        text, start, item = (np.concatenate(part) for part in zip(*found))
+        order = np.lexsort((item, start, text))
+        text, start, item = text[order], start[order], item[order]
+        fresh = np.ones(len(text), dtype=bool)
+        fresh[1:] = (text[1:] != text[:-1]) | (start[1:] != start[:-1]) | (item[1:] != item[:-1])
+        return text[fresh], start[fresh], item[fresh]
+
+    def run_distances(self, words: np.ndarray, owner: np.ndarray, text: np.ndarray, start: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Least word edit distance between the item and a run of the text's words not before the start."""
+        out = np.zeros(len(start), dtype=np.int64)
+        first, stop = np.searchsorted(owner, text, side="left"), np.searchsorted(owner, text, side="right")
+        for length in np.unique(self.lengths[item]).tolist():
+            which = np.flatnonzero(self.lengths[item] == length)
+            reach = length + 3 * int(allowed(np.array([length]), self.similarity)[0])
+            columns = np.arange(reach + 1)
+            most = max(1, (1 << 20) // (reach + 1))
+            for k in range(0, len(which), most):
+                some = which[k : k + most]
+                at = start[some][:, None] + np.arange(reach)
+                inside = (at >= first[some][:, None]) & (at < stop[some][:, None])
+                window = np.where(inside, words[np.clip(at, 0, len(words) - 1)], np.uint64(0))
+                row = np.zeros((len(some), reach + 1), dtype=np.int32)
+                for i in range(length):
+                    word = self.words[self.begins[item[some]] + i][:, None]
+                    new = np.empty_like(row)
+                    new[:, 0] = i + 1
+                    new[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (window != word))
+                    row = np.minimum.accumulate(new - columns, axis=1) + columns
+                out[some] = row.min(axis=1)
+        return out
+
     def candidates(self, words: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (word where a window starts, item) pairs that share a sample."""
         spread, places = padded(words, owner, n)
@@ -145,9 +221,12 @@ class Block:
         """(number of the text, item id, similarity) of every verified window."""
         words, owner = words_of(column)
         start, item = self.candidates(words, owner, len(column))
-        near = 1 - self.distances(words, owner, start, item) / np.maximum(self.lengths[item], 1)
+        text, begin, other = self.run_candidates(words, owner)
+        apart = np.concatenate([self.distances(words, owner, start, item), self.run_distances(words, owner, text, begin, other)])
+        text, item = np.concatenate([owner[start], text]), np.concatenate([item, other])
+        near = 1 - apart / np.maximum(self.lengths[item], 1)
         kept = near >= self.similarity - 1e-12
-        return owner[start[kept]], self.ids[item[kept]], near[kept]
+        return text[kept], self.ids[item[kept]], near[kept]
 
 
 def blocks(benchmark: DataFrame, limit: int) -> Iterator[tuple[list[int], list[str]]]:
@@ -187,7 +266,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, columns: list[str] | No
     An item is found in a text if the edit distance in words between the item and some run of the text's
     words is at most (1 - similarity) times the item's words. Words are lower-cased; ASCII punctuation
     separates them. Items and texts without words, and null ones, match nothing. A repeated item id
-    is reported once, with the best similarity. Rows keep their number; an empty benchmark finds nothing.
+    is reported once, with the best similarity. No item at a similarity above zero is missed. Rows keep their number; an empty benchmark finds nothing.
     """
     columns = ["doc_id"] if columns is None else columns
     found = docs.select(

@@ -397,3 +397,31 @@ def test_bitmaps_keep_every_pair_at_the_threshold(spark):
     kept = {(r.a, r.b) for r in pairs.where(paragraphs.can_reach(0.8, F.col("fa"), F.col("fb"))).select("a", "b").collect()}
     linked = {(a, b) for a in range(60) for b in range(60) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     assert linked <= kept and len(kept) < 1800
+
+
+def test_changed_items_are_all_found():
+    """Items of every length with as many edits as the similarity allows, in the middle of a text, and none that is further away."""
+    draw = random.Random(31)
+    vocabulary = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(3000)]
+    texts, items, held = [], [], []
+    for words in [1, 2, 3, 4, 5, 6, 9, 12, 25, 45, 70] * 20:
+        item = draw.sample(vocabulary, words)
+        changed, edits = item[:], words // 5
+        for at in draw.sample(range(words), edits):
+            changed[at] = "x" + changed[at]
+        if edits and draw.random() < 0.5:
+            gone = changed.index(next(w for w in changed if w[0] == "x"))
+            changed = changed[:gone] + changed[gone + 1 :]
+        items.append(" ".join(item))
+        texts.append(" ".join([f"a{len(texts)}", *changed, "after"]))
+        held.append((words, edits))
+    block = decontaminate.Block(list(range(len(items))), items, 0.8, 12)
+    text, item, near = block.search(decontaminate.pa.array(texts))
+    best = {}
+    for t, i, s in zip(text.tolist(), item.tolist(), near.tolist()):
+        best[t, i] = max(s, best.get((t, i), 0))
+    assert all(best.get((k, k), 0) >= 1 - edits / words - 1e-9 for k, (words, edits) in enumerate(held))
+    hand = lambda t, i: min(edit(items[i].split(), texts[t].split()[a:b]) for a in range(len(texts[t].split())) for b in range(a, len(texts[t].split()) + 1))
+    for (t, i), s in draw.sample(sorted(best.items()), 12):
+        if held[i][0] < 13 and held[t][0] < 13:
+            assert abs(s - (1 - hand(t, i) / held[i][0])) < 1e-9
