@@ -22,6 +22,8 @@ ORDER = 5
 #: in most lines and would make chance meetings. A line with few longer words has minima of all its words; one that an
 #: edit could move across the bound has both kinds.
 LONG_WORD, LEAST_LONG = 4, 10
+#: Longs of a line's bitmap of words.
+BITMAP = 4
 #: Bits of the filter that keeps texts without a candidate or without a cut out of shuffles. Its size is fixed (a
 #: row for every 64 bits); with more keys than bits it lets all texts pass, which costs a shuffle and changes no result.
 FILTER_BITS = 1 << 22
@@ -82,6 +84,27 @@ def _passing(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column
     return placed.withColumn("_maybe", held).drop("_cell", "_bits")
 
 
+def can_be_near(similarity: float, a: Column, b: Column) -> Column:
+    """Whether two lines of these facts can have this edit similarity. A word, and so a bit of the bitmap, that only one
+    of them has costs an edit, and so does every word by which one is longer."""
+    most = F.floor(F.greatest(a[0], b[0]) * (1 - similarity) + 1e-9)
+
+    def only(one: Column, other: Column) -> Column:
+        lost = [F.bit_count(one[k].bitwiseAND(F.bitwise_not(other[k]))) for k in range(1, 1 + BITMAP)]
+        return sum(lost[1:], lost[0])
+
+    return (F.abs(a[0] - b[0]) <= most) & (only(a, b) <= most) & (only(b, a) <= most)
+
+
+def _facts(texts: DataFrame) -> DataFrame:
+    """(node, fact) of (node, line): the number of words, and the longs of a bitmap of them."""
+    bits = texts.select("node", F.explode(F.split("line", " ")).alias("word")).select("node", F.pmod(F.xxhash64("word"), F.lit(64 * BITMAP)).alias("at"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))
+    longs = [F.bit_or(F.when(F.shiftright("at", 6) == k, bit).otherwise(F.lit(0))).alias(f"l{k}") for k in range(BITMAP)]
+    summed = bits.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *longs)
+    return summed.select("node", F.array("n", *[f"l{k}" for k in range(BITMAP)]).alias("fact"))
+
+
 def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame:
     """(id, row, pos, group) of the lines of ``rows`` (id, row, text) that have ``min_words`` words or more."""
     # Outer explodes and no filter on the words: Spark would work them out once more for a filter that it pushes down.
@@ -104,7 +127,8 @@ def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame
     wanted = materialise(members.select("node").distinct(), "wanted")
     maybe = _passing(lines.select("node", "line"), F.col("node"), wanted, F.col("node")).where("_maybe")
     texts = maybe.select("node", "line").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    texts = materialise(texts.select("node", symbols(F.split("line", " ")).alias("symbols")), "symbols")
+    texts = materialise(texts.select("node", "line", symbols(F.split("line", " ")).alias("symbols")), "symbols")
+    facts = materialise(_facts(texts.select("node", "line")), "facts")
 
     def verify(pairs: DataFrame) -> DataFrame:
         one = texts.select(F.col("node").alias("a"), F.col("symbols").alias("ta"))
@@ -115,7 +139,7 @@ def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame
         # Lengths differ by no more than the edits; beyond the limit the distance is -1.
         return both.where(longest - shortest <= most).where(F.call_function("levenshtein", "ta", "tb", most) >= 0).select("a", "b")
 
-    classes = linked_classes(members, verify)
+    classes = linked_classes(members, verify, lambda a, b: can_be_near(similarity, a, b), facts)
     return found.join(classes, "node", "left").select("id", "row", "pos", F.coalesce("component", "node").alias("group"))
 
 

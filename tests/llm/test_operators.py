@@ -425,3 +425,21 @@ def test_changed_items_are_all_found():
     for (t, i), s in draw.sample(sorted(best.items()), 12):
         if held[i][0] < 13 and held[t][0] < 13:
             assert abs(s - (1 - hand(t, i) / held[i][0])) < 1e-9
+
+
+def test_lines_alike_in_keys_only_make_no_pairs(spark, monkeypatch):
+    """Lines that share their longer words but no short ones meet in all keys; no pair of them is handed to the edit distance."""
+    longer = "several remarkably lengthy words everywhere repeated within sentences containing templates forever"
+    texts = [f"{longer} " + " ".join(f"{k % 10}{c}{k // 10}" for c in "abcdef") for k in range(60)]
+    seen, link = [], lines.linked_classes
+
+    def counting(members, verify, *given):
+        def counted(pairs):
+            seen.append(pairs.count())
+            return verify(pairs)
+
+        return link(members, counted, *given)
+
+    monkeypatch.setattr(lines, "linked_classes", counting)
+    got = lines.dedupe_lines(docs_of(spark, texts)).collect()
+    assert sum(r.n_removed for r in got) == 0 and seen and sum(seen) <= 6
