@@ -105,8 +105,8 @@ def _facts(texts: DataFrame) -> DataFrame:
     return summed.select("node", F.array("n", *[f"l{k}" for k in range(BITMAP)]).alias("fact"))
 
 
-def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame:
-    """(id, row, pos, group) of the lines of ``rows`` (id, row, text) that have ``min_words`` words or more."""
+def line_groups(rows: DataFrame, similarity: float, min_words: int, exact_words: int) -> DataFrame:
+    """(id, row, pos, group) of the lines of ``rows`` (id, row, text) that have words, ``min_words`` or ``exact_words`` or more."""
     # Outer explodes and no filter on the words: Spark would work them out once more for a filter that it pushes down.
     cut = rows.select("id", "row", F.posexplode_outer(_lines(F.col("text"))).alias("pos", "line"))
     lines = cut.select("id", "row", "pos", normalised(F.col("line")).alias("line")).withColumn("node", F.xxhash64("line"))
@@ -116,13 +116,16 @@ def line_groups(rows: DataFrame, similarity: float, min_words: int) -> DataFrame
     # The similarity lets no more words change than the line with the edits has, times what it allows.
     few = longer < LEAST_LONG + F.ceil(count * (1 / max(similarity, 0.01) - 1))
     features = [F.when((count >= min_words) & few, F.col("words")), F.when((count >= min_words) & (longer >= LEAST_LONG), F.col("longer"))]
-    chosen = words.select("id", "row", "pos", "node", few.alias("few"), F.posexplode_outer(F.array(*features)).alias("kind", "feature"))
-    hashed = chosen.select("id", "row", "pos", "node", "few", "kind", F.transform("feature", lambda word: F.xxhash64(word)).alias("hashes"))
-    sketched = materialise(_minima(hashed, "hashes"), "lines").where("m0 is not null")
+    # A line without letters and digits has one word, which is empty.
+    grouped = (count >= min_words) | (count >= exact_words) & (F.get("words", F.lit(0)) != "")
+    chosen = words.select("id", "row", "pos", "node", few.alias("few"), grouped.alias("grouped"), F.posexplode_outer(F.array(*features)).alias("kind", "feature"))
+    hashed = chosen.select("id", "row", "pos", "node", "few", "grouped", "kind", F.transform("feature", lambda word: F.xxhash64(word)).alias("hashes"))
+    whole = materialise(_minima(hashed, "hashes"), "lines")
+    sketched = whole.where("m0 is not null")
     # All lines of a node have the same words and thus the same minima.
     firsts = sketched.groupBy("node", "kind").agg(*[F.min(f"m{k}").alias(f"m{k}") for k in range(3 * ORDER)])
     firsts = materialise(firsts, "nodes")
-    found = sketched.where((F.col("kind") == 0) | ~F.col("few")).select("id", "row", "pos", "node")
+    found = whole.where("grouped and kind = 0").select("id", "row", "pos", "node")
     members = shared_members(firsts.select(F.explode(F.array(*_keys())).alias("bucket"), "node"))
     wanted = materialise(members.select("node").distinct(), "wanted")
     maybe = _passing(lines.select("node", "line"), F.col("node"), wanted, F.col("node")).where("_maybe")
@@ -179,13 +182,16 @@ def cut_repeats(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
     )
 
 
-def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, min_words: int = 5) -> DataFrame:
+def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, min_words: int = 5,
+                 exact_words: int | None = None) -> DataFrame:
     """All rows of ``docs`` with the repeated lines cut out of the text, and ``n_lines`` and ``n_removed``.
 
     Of every group of lines with an edit similarity in words of ``similarity`` or more, directly or over others, the
-    first in (id, text hash, line) order stays. Lines of fewer than ``min_words`` words stay. Rows that repeat
+    first in (id, text hash, line) order stays. Lines of fewer than ``min_words`` words are only
+    compared for equality, if they have ``exact_words`` words (``min_words`` if not given), and otherwise stay. Rows that repeat
     both id and text are one document and lose the same lines; null ids come first. A null text stays null, a
     text that loses all lines becomes empty. Other columns are passed on; ``n_lines`` and ``n_removed`` are
     replaced if there. An empty table stays empty.
     """
-    return cut_repeats(docs, line_groups(document_rows(docs, id_col, text_col), similarity, min_words), id_col, text_col)
+    exact_words = min_words if exact_words is None else exact_words
+    return cut_repeats(docs, line_groups(document_rows(docs, id_col, text_col), similarity, min_words, exact_words), id_col, text_col)

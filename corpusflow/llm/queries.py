@@ -17,7 +17,7 @@ SHARES = {f"src{i}": 1 + i % 4 for i in range(20)}
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, how many of them repeat others, and a digest of what is left."""
-    cut = lines.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = lines.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_words=1)
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -443,3 +443,11 @@ def test_lines_alike_in_keys_only_make_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(lines, "linked_classes", counting)
     got = lines.dedupe_lines(docs_of(spark, texts)).collect()
     assert sum(r.n_removed for r in got) == 0 and seen and sum(seen) <= 6
+
+
+def test_equal_short_lines_are_cut_where_asked_for(spark, tmp_path):
+    texts = ["Read more.\n----\n\none", "read MORE\n----\n\n这是一个没有空格的重复的句子", "这是一个没有空格的重复的句子。\nread less"]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in QUERIES["op1_line_dedup"](spark, str(tmp_path)).collect()}
+    left = [texts[0], "----\n\n这是一个没有空格的重复的句子", "read less"]
+    assert got == {i: (min(i, 1), hashlib.sha256(t.encode()).hexdigest()) for i, t in enumerate(left)}
