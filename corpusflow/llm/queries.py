@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, lines, paragraphs, pfair, pii, quality, simhash, suffixes, toxicity, warc
+from corpusflow.llm import (
+    decontaminate, language, lines, paragraphs, pfair, pii, quality, search, simhash, suffixes, toxicity, turntrie, warc,
+)
 from corpusflow.llm.tables import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +69,21 @@ def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), length=50).drop("kept")
 
 
+def op11_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return turntrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of those that name theirs."""
+    return language.language_id(table(spark, sf_dir, "documents"))
+
+
+def op13_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Build] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_weak_supervision": op2_weak_supervision,
@@ -78,6 +95,9 @@ QUERIES: dict[str, Build] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_warc_chain": op9_warc_chain,
     "op10_suffix_repeats": op10_suffix_repeats,
+    "op11_turn_trie": op11_turn_trie,
+    "op12_byte_cnn": op12_byte_cnn,
+    "op13_fp_tree_search": op13_fp_tree_search,
 }
 
 OP9_SQL = """
@@ -90,4 +110,7 @@ SELECT s.page_id, s.payload_bytes, s.payload_digest,
     CASE WHEN s.page_id IS DISTINCT FROM f.first THEN f.first END AS refers_to
 FROM sized s LEFT JOIN firsts f ON f.payload_digest = s.payload_digest AND s.payload_bytes >= 100"""
 
-CHECKS: dict[str, str] = {"op3_pfair_mix": pfair.mix_sql("documents", SHARES), "op9_warc_chain": OP9_SQL}
+CHECKS: dict[str, str] = {
+    "op3_pfair_mix": pfair.mix_sql("documents", SHARES), "op9_warc_chain": OP9_SQL,
+    "op11_turn_trie": turntrie.trie_sql(), "op13_fp_tree_search": search.search_sql(),
+}

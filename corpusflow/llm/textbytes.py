@@ -45,9 +45,14 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the number of the text it stands in. Words never cross texts."""
-    inside = ~_SPACE[data]
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the number of the text it stands in. Words never cross texts.
+
+    ``between`` tells of each byte value whether it separates words.
+    """
+    inside = ~between[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
