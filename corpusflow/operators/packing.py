@@ -7,7 +7,7 @@ batch number gathers a batch; the rest are array expressions on the batch row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from corpusflow.functions.hashing import int_div
 
@@ -28,39 +28,128 @@ def assign_steps(df: DataFrame, accum: int) -> DataFrame:
     return stepped.where((F.col("step") + 1) * accum <= complete.scalar())
 
 
-def sequence_numbers(lengths: Column, seq_len: int, docs_per_sequence: int) -> Column:
-    """Next-fit over an ordered array of document lengths: the 0-based sequence of each document.
+def sequence_starts(lengths: Column, seq_len: int, docs_per_sequence: int) -> Column:
+    """Next-fit over an ordered array of document lengths: the index of the first document of each sequence.
 
-    One token per document is charged for the end token, whether one is configured or not.
+    One token per document is charged for the end token, whether one is configured or not. The fold
+    keeps an entry a sequence, not one a document.
     """
     start = F.struct(
-        F.array().cast("array<int>").alias("numbers"), F.lit(-1).alias("seq"), F.lit(0).alias("used"),
-        F.lit(0).alias("docs"),
+        F.array().cast("array<int>").alias("starts"), F.lit(0).alias("used"), F.lit(0).alias("docs"), F.lit(0).alias("i"),
     )
 
     def step(state: Column, length: Column) -> Column:
         charged = length + 1
-        opens = (state["seq"] < 0) | (state["used"] + charged > seq_len) | (state["docs"] >= docs_per_sequence)
-        seq = F.when(opens, state["seq"] + 1).otherwise(state["seq"])
+        opens = (state["i"] == 0) | (state["used"] + charged > seq_len) | (state["docs"] >= docs_per_sequence)
         return F.struct(
-            F.concat(state["numbers"], F.array(seq)).alias("numbers"), seq.alias("seq"),
+            F.when(opens, F.concat(state["starts"], F.array(state["i"]))).otherwise(state["starts"]).alias("starts"),
             F.when(opens, charged).otherwise(state["used"] + charged).alias("used"),
-            F.when(opens, F.lit(1)).otherwise(state["docs"] + 1).alias("docs"),
+            F.when(opens, F.lit(1)).otherwise(state["docs"] + 1).alias("docs"), (state["i"] + 1).alias("i"),
         )
 
-    return F.aggregate(lengths, start, step, lambda s: s["numbers"])
+    return F.aggregate(lengths, start, step, lambda s: s["starts"])
 
 
-def next_fit(df: DataFrame, seq_len: int, docs_per_sequence: int = 4) -> DataFrame:
-    """(batch_id, idx, seq_idx) of every document, from (batch_id, idx, n_tokens)."""
+def _ranges(docs: Column, starts: Column) -> Column:
+    """(seq_idx, docs) of every sequence: the slice of the batch's documents from its start to the next one."""
+    return F.transform(
+        starts,
+        lambda first, s: F.struct(
+            s.alias("seq_idx"),
+            F.slice(docs, first + 1, F.coalesce(F.get(starts, s + 1), F.size(docs)) - first).alias("docs"),
+        ),
+    )
+
+
+def _fitted(df: DataFrame, seq_len: int, docs_per_sequence: int, *fields: Column) -> DataFrame:
+    """(batch_id, idx, seq_idx, fields) of every document, next-fit by ``n_tokens``; one shuffle by batch."""
     # Capping a length at seq_len changes nothing: such a document opens and fills a sequence anyway.
     length = F.least(F.col("n_tokens"), F.lit(seq_len)).cast("int")
     batches = df.groupBy("batch_id").agg(
-        F.array_sort(F.collect_list(F.struct("idx", length.alias("length")))).alias("docs")
+        F.array_sort(F.collect_list(F.struct("idx", length.alias("_length"), *fields))).alias("docs")
+    )
+    starts = sequence_starts(F.transform("docs", lambda d: d["_length"]), seq_len, docs_per_sequence)
+    ranges = batches.withColumn("starts", starts).select("batch_id", F.inline(_ranges(F.col("docs"), F.col("starts"))))
+    return ranges.select("batch_id", "seq_idx", F.inline("docs")).drop("_length")
+
+
+def next_fit(df: DataFrame, seq_len: int, docs_per_sequence: int = 4) -> DataFrame:
+    """(batch_id, idx, seq_idx) of every document, from (batch_id, idx, n_tokens)."""
+    return _fitted(df, seq_len, docs_per_sequence).select("batch_id", "idx", "seq_idx")
+
+
+def layout(
+    df: DataFrame, seq_len: int, docs_per_sequence: int = 4, with_eos: bool = False, key: str = "doc_id"
+) -> DataFrame:
+    """Where every document lies: (batch_id, seq_idx, idx, key, start, stop), from (batch_id, idx, key, n_tokens).
+
+    Only lengths are read. A document that would start at or after ``seq_len`` has no place. The places
+    are window sums in the partitions of the one shuffle by batch.
+    """
+    placed = _fitted(
+        df, seq_len, docs_per_sequence, F.col(key).alias("_key"),
+        F.least(F.col("n_tokens") + int(with_eos), F.lit(seq_len)).cast("int").alias("_held"),
+    )
+    before = Window.partitionBy("batch_id", "seq_idx").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    # Capped, the sum stays within an int whatever number of documents a sequence takes.
+    start = F.least(F.coalesce(F.sum("_held").over(before), F.lit(0)), F.lit(seq_len)).cast("int")
+    return placed.withColumn("start", start).where(F.col("start") < seq_len).select(
+        "batch_id", "seq_idx", "idx", F.col("_key").alias(key), "start",
+        F.least(F.col("start") + F.col("_held"), F.lit(seq_len)).alias("stop"),
+    )
+
+
+def layout_boundaries(places: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(batch_id, seq_idx, doc_ids, boundaries) from the places of a layout."""
+    rows = places.groupBy("batch_id", "seq_idx").agg(
+        F.array_sort(F.collect_list(F.struct("idx", F.col(key).alias("doc"), "stop"))).alias("docs")
+    )
+    return rows.select(
+        "batch_id", "seq_idx", F.transform("docs", lambda d: d["doc"]).alias("doc_ids"),
+        F.transform("docs", lambda d: d["stop"]).alias("boundaries"),
     )
-    numbers = sequence_numbers(F.transform("docs", lambda d: d["length"]), seq_len, docs_per_sequence)
-    numbered = F.arrays_zip(F.transform("docs", lambda d: d["idx"]).alias("idx"), numbers.alias("seq_idx"))
-    return batches.select("batch_id", F.inline(numbered).alias("idx", "seq_idx"))
+
+
+def layout_fill(places: DataFrame, seq_len: int, boundary_mask: str = "literal") -> DataFrame:
+    """What ``fill_report`` says, from the places of a layout: no token is needed to know which labels count."""
+    if boundary_mask not in ("literal", "next_first"):
+        raise ValueError(f"unknown boundary mask: {boundary_mask}")
+    # The joint of a document that has a token is masked, but for the last (or first) one of a sequence.
+    edge = F.max("idx") if boundary_mask == "literal" else F.min("idx")
+    whole = F.col("idx") == edge.over(Window.partitionBy("batch_id", "seq_idx"))
+    size = F.col("stop") - F.col("start")
+    valid = places.select("batch_id", "seq_idx", (size - F.when(whole | (size == 0), F.lit(0)).otherwise(F.lit(1))).alias("valid"))
+    sequences = valid.groupBy("batch_id", "seq_idx").agg(F.sum("valid").alias("n_valid"))
+    return sequences.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("sequences"), F.sum("n_valid").alias("valid_labels"),
+        (F.sum("n_valid") / (F.count(F.lit(1)) * F.lit(seq_len))).alias("fill"),
+    )
+
+
+def layout_offsets(places: DataFrame, seq_len: int | None = None, cu_seqlens: str = "literal") -> DataFrame:
+    """What ``batch_offsets`` says, from the places of a layout: (batch_id, cu_seqlens, max_seqlen)."""
+    if cu_seqlens not in ("literal", "padded"):
+        raise ValueError(f"unknown offsets mode: {cu_seqlens}")
+    if cu_seqlens == "padded" and seq_len is None:
+        raise ValueError("padded offsets need seq_len")
+    size = F.col("stop") - F.col("start")
+    if cu_seqlens == "literal":
+        along = Window.partitionBy("batch_id").orderBy("seq_idx", "idx").rowsBetween(Window.unboundedPreceding, 0)
+        end = F.sum(size).over(along).cast("int")
+    else:
+        end = F.col("stop") + F.col("seq_idx") * F.lit(seq_len)
+    ends = places.select("batch_id", "seq_idx", "idx", end.alias("end"), size.alias("size"))
+    listed = F.array_sort(F.collect_list(F.struct("seq_idx", "idx", "end")))
+    return ends.groupBy("batch_id").agg(listed.alias("ends"), F.max("size").alias("max_seqlen")).select(
+        "batch_id", F.concat(F.array(F.lit(0)), F.transform("ends", lambda e: e["end"])).alias("cu_seqlens"), "max_seqlen",
+    )
+
+
+def _places(packed: DataFrame) -> DataFrame:
+    """The places of packed sequences, told by their boundaries; no other array is read."""
+    along = Window.partitionBy("batch_id", "seq_idx").orderBy("idx")
+    ends = packed.select("batch_id", "seq_idx", F.posexplode("boundaries").alias("idx", "stop"))
+    return ends.withColumn("start", F.lag("stop", 1, 0).over(along))
 
 
 def cut_ends(lengths: Column, seq_len: int) -> Column:
@@ -165,20 +254,8 @@ def pack(
     by = [together, "batch_id"] if together else ["batch_id"]
     spread = df.repartition(together) if together else df
     batches = spread.groupBy(*by).agg(F.array_sort(F.collect_list(doc)).alias("docs"))
-    numbered = batches.withColumn(
-        "seqs", sequence_numbers(F.transform("docs", lambda d: d["length"]), seq_len, docs_per_sequence)
-    )
-    mine = numbered.select(
-        *by,
-        F.inline(
-            F.transform(
-                F.sequence(F.lit(0), F.array_max("seqs")),
-                lambda s: F.struct(
-                    s.alias("seq_idx"), F.filter("docs", lambda d, i: F.col("seqs")[i] == s).alias("docs")
-                ),
-            )
-        ),
-    )
+    starts = sequence_starts(F.transform("docs", lambda d: d["length"]), seq_len, docs_per_sequence)
+    mine = batches.withColumn("starts", starts).select(*by, F.inline(_ranges(F.col("docs"), F.col("starts"))))
     laid = mine.select(
         *by, "seq_idx", F.transform("docs", lambda d: d["doc"]).alias("doc_ids"),
         cut_ends(F.transform("docs", lambda d: F.size(d["ids"])), seq_len).alias("boundaries"),
@@ -193,12 +270,14 @@ def pack(
         position_ids(F.col("boundaries"), seq_len).alias("position_ids"), "boundaries",
         *([allowed_start(F.col("boundaries"), seq_len).alias("allowed_start")] if include_mask else []),
     )
-    return out.withColumn("n_valid", valid_labels(F.col("labels")))
+    return out.withColumn("n_valid", valid_labels(F.col("boundaries"), boundary_mask))
 
 
-def valid_labels(label_ids: Column) -> Column:
-    """Number of labels that are not ignored."""
-    return F.size(F.filter(label_ids, lambda x: x != IGNORE))
+def valid_labels(ends: Column, boundary_mask: str = "literal") -> Column:
+    """Number of labels that are not ignored: all tokens but one of every non-empty document save the last (or first)."""
+    sizes = F.zip_with(ends, _starts(ends), lambda stop, start: stop - start)
+    inner = F.slice(sizes, 1 if boundary_mask == "literal" else 2, F.greatest(F.size(ends) - 1, F.lit(0)))
+    return F.coalesce(F.array_max(ends), F.lit(0)) - F.size(F.filter(inner, lambda n: n > 0))
 
 
 def batch_offsets(packed: DataFrame, seq_len: int | None = None, cu_seqlens: str = "literal") -> DataFrame:
@@ -207,30 +286,7 @@ def batch_offsets(packed: DataFrame, seq_len: int | None = None, cu_seqlens: str
     ``literal`` skips the padding between sequences; ``padded`` counts from the real start of every
     sequence, so that the offsets fit the flattened batch (needs ``seq_len``).
     """
-    if cu_seqlens not in ("literal", "padded"):
-        raise ValueError(f"unknown offsets mode: {cu_seqlens}")
-    if cu_seqlens == "padded" and seq_len is None:
-        raise ValueError("padded offsets need seq_len")
-    lengths = F.transform(
-        F.arrays_zip(_starts(F.col("boundaries")).alias("start"), F.col("boundaries").alias("stop")),
-        lambda d: d["stop"] - d["start"],
-    )
-    rows = packed.groupBy("batch_id").agg(
-        F.array_sort(F.collect_list(F.struct("seq_idx", lengths.alias("lengths"), "boundaries"))).alias("seqs")
-    )
-    flat = F.flatten(F.transform("seqs", lambda s: s["lengths"]))
-    if cu_seqlens == "literal":
-        grown = F.aggregate(
-            flat, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n))
-        )
-    else:
-        shifted = F.transform(
-            "seqs", lambda s: F.transform(s["boundaries"], lambda e: e + s["seq_idx"] * F.lit(seq_len))
-        )
-        grown = F.concat(F.array(F.lit(0)), F.flatten(shifted))
-    return rows.select(
-        "batch_id", grown.alias("cu_seqlens"), F.coalesce(F.array_max(flat), F.lit(0)).alias("max_seqlen")
-    )
+    return layout_offsets(_places(packed), seq_len, cu_seqlens)
 
 
 def flatten_batch(packed: DataFrame) -> DataFrame:

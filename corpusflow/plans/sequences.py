@@ -28,6 +28,11 @@ def packed(spark, sf, **options) -> DataFrame:
     )
 
 
+def placed(spark, sf) -> DataFrame:
+    """Where every document lies, from lengths alone."""
+    return packing.layout(batched(spark, sf), b.SEQ_LEN, b.DOCS_PER_SEQUENCE, with_eos=True)
+
+
 def joined(column: str) -> Column:
     return F.array_join(F.col(column).cast("array<string>"), " ").alias(column)
 
@@ -113,12 +118,15 @@ SELECT batch_id, seq_idx, string_agg(CAST(stop AS BIGINT), ' ' ORDER BY idx) AS
 FROM spans GROUP BY batch_id, seq_idx""",
 )
 def boundaries(spark, sf):
-    return packed(spark, sf).select("batch_id", "seq_idx", joined("boundaries"), joined("doc_ids"))
+    return packing.layout_boundaries(placed(spark, sf)).select("batch_id", "seq_idx", joined("boundaries"), joined("doc_ids"))
 
 
 @query("k4_position_ids", per_slot("position_id", "position_ids"))
 def position_ids(spark, sf):
-    return packed(spark, sf).select("batch_id", "seq_idx", joined("position_ids"))
+    rows = packing.layout_boundaries(placed(spark, sf))
+    return rows.withColumn("position_ids", packing.position_ids(F.col("boundaries"), b.SEQ_LEN)).select(
+        "batch_id", "seq_idx", joined("position_ids")
+    )
 
 
 @query("k5_labels", per_slot("label", "labels"))
@@ -128,7 +136,10 @@ def labels(spark, sf):
 
 @query("k6_document_mask", per_slot("allowed", "allowed_start"))
 def document_mask(spark, sf):
-    return packed(spark, sf).select("batch_id", "seq_idx", joined("allowed_start"))
+    rows = packing.layout_boundaries(placed(spark, sf))
+    return rows.withColumn("allowed_start", packing.allowed_start(F.col("boundaries"), b.SEQ_LEN)).select(
+        "batch_id", "seq_idx", joined("allowed_start")
+    )
 
 
 _OFFSETS = """
@@ -143,7 +154,7 @@ offs AS (
 
 @query("k7_batch_offsets", f"{SQL_LIGHT}, {_OFFSETS} SELECT batch_id, cu_seqlens, max_seqlen FROM offs")
 def batch_offsets(spark, sf):
-    return packing.batch_offsets(packed(spark, sf)).select("batch_id", joined("cu_seqlens"), "max_seqlen")
+    return packing.layout_offsets(placed(spark, sf)).select("batch_id", joined("cu_seqlens"), "max_seqlen")
 
 
 @query(
@@ -190,7 +201,7 @@ SELECT batch_id, count(DISTINCT seq_idx) AS sequences, count(*) FILTER (label <>
 FROM slots GROUP BY batch_id""",
 )
 def fill(spark, sf):
-    return packing.fill_report(packed(spark, sf)).withColumn("fill", F.round("fill", 9))
+    return packing.layout_fill(placed(spark, sf), b.SEQ_LEN).withColumn("fill", F.round("fill", 9))
 
 
 @query(
