@@ -30,6 +30,8 @@ BATCH = 256
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 MAX_LANGUAGES = 4096
+#: Groups of a language's rows from which its sample is drawn.
+SALTS = 64
 
 
 @dataclass
@@ -156,9 +158,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows:
     languages = narrow.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    rank = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy(F.xxhash64("id"), "id"))
+    # The rows of a language meet in SALTS groups first, so that few of them meet in one task.
+    salted = narrow.withColumn("_salt", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SALTS)))
+    thinned = salted.withColumn("_rank", rank("_salt")).where(F.col("_rank") <= max_rows)
     # max_rows short rows of each of at most MAX_LANGUAGES languages.
-    chosen = F.broadcast(narrow.withColumn("_rank", rank).where(F.col("_rank") <= max_rows).select("id", "lang").distinct())
+    chosen = F.broadcast(thinned.withColumn("_rank", rank()).where(F.col("_rank") <= max_rows).select("id", "lang").distinct())
 
     def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
