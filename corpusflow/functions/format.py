@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 INF = float("inf")
 
@@ -38,3 +40,20 @@ def metrics_text(metrics: Column, precision: int = 4) -> Column:
         F.map_entries(metrics), lambda e: F.concat(e["key"], F.lit("="), fixed(e["value"], precision))
     )
     return F.array_join(parts, " | ")
+
+
+def value_text(value: Column, kind: T.DataType, precision: int = 4) -> Column:
+    """One value as a log shows it: fixed-point if it is a float, otherwise as it is."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        shown = fixed(value.cast("double"), precision)
+    elif isinstance(kind, T.BooleanType):
+        shown = F.when(value, F.lit("True")).when(~value, F.lit("False"))
+    else:
+        shown = value.cast("string")
+    return F.coalesce(shown, F.lit("None"))
+
+
+def with_metrics_text(df: DataFrame, metrics: Sequence[str], out: str = "line", precision: int = 4) -> DataFrame:
+    """Adds the columns ``metrics`` of any type as ``k=v | k=v``."""
+    parts = [F.concat(F.lit(f"{m}="), value_text(F.col(m), df.schema[m].dataType, precision)) for m in metrics]
+    return df.withColumn(out, F.concat_ws(" | ", *parts))

@@ -77,13 +77,23 @@ def is_finite(x: Column) -> Column:
     return ~(F.isnan(x) | (F.abs(x) == F.lit(INF)))
 
 
-def observed(df: DataFrame) -> DataFrame:
+def observed(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """(run, step, loss, grad_norm) of the rows that have a loss; a missing gradient norm counts as 0."""
     return df.where(F.col("loss").isNotNull()).select(
-        "run", "step", "loss", F.coalesce("grad_norm", F.lit(0.0)).alias("grad_norm")
+        "run", "step", "loss", F.coalesce("grad_norm", F.lit(0.0)).alias("grad_norm"), *keep
     )
 
 
+def reset_log(df: DataFrame, reset: str | None, parts: int | None = None) -> tuple[DataFrame, list[str]]:
+    """The observed rows and the columns that tell the histories apart: the run, and the segment between resets.
+
+    A row marked ``reset`` is the first of a new history. A marked row without a loss resets as well.
+    """
+    if reset is None:
+        return observed(df), ["run"]
+    return observed(segments(df, reset, ["run"], parts=parts), ["segment"]), ["run", "segment"]
+
+
 def _number(x: Column) -> Column:
     return F.when(F.isnan(x), F.lit("nan")).when(x > 0, F.lit("inf")).otherwise(F.lit("-inf"))
 
@@ -123,20 +133,36 @@ def high_gradient_rule(params: StabilityParams) -> Column:
 
 
 def history(kept: DataFrame, params: StabilityParams = StabilityParams(), parts: int | None = None,
-            block_rows: int | None = None) -> DataFrame:
+            block_rows: int | None = None, group: Sequence[str] = ("run",)) -> DataFrame:
     """Rows of finite loss with what the checks need to know about the rows before them.
 
     pos, prev_min (lowest earlier loss), stalled (rows since the last new minimum), n_prior, loss_avg and
-    grad_avg over the previous ``window`` rows.
+    grad_avg over the previous ``window`` rows. ``group`` tells the histories apart.
+    """
+    chunked = range_chunks(kept, [*group, "step"], parts)
+    return chunked_history(chunked, params, group, ["step"], block_rows)
+
+
+def chunked_history(chunked: DataFrame, params: StabilityParams, group: Sequence[str], order: Sequence[str],
+                    block_rows: int | None = None) -> DataFrame:
+    """``history`` of rows cut into chunks along (group, order).
+
+    Rows that stand for an earlier part of their history have a ``pos``, and the new rows that go on with it
+    the number of rows ``seen`` before. Beside the last ``window`` rows the row of the lowest loss is enough.
     """
-    chunked = range_chunks(kept, ["run", "step"], parts)
-    along = lambda df, outs: running(df, ["run"], ["step"], outs, chunk=F.col(CHUNK), stage=False)
-    placed = along(chunked, {"pos": row_count(), "prev_min": Running("min", F.col("loss"), exclusive=True)})
+    along = lambda df, outs: running(df, group, order, outs, chunk=F.col(CHUNK), stage=False)
+    lowest = Running("min", F.col("loss"), exclusive=True)
+    if "seen" in chunked.columns:
+        new = Running("sum", F.col("pos").isNull().cast("bigint"))
+        placed = along(chunked, {"_counted": new, "prev_min": lowest})
+        placed = placed.withColumn("pos", F.coalesce("pos", F.col("seen") + F.col("_counted"))).drop("_counted")
+    else:
+        placed = along(chunked, {"pos": row_count(), "prev_min": lowest})
     improves = F.col("prev_min").isNull() | (F.col("loss") < F.col("prev_min"))
     stalled = along(placed, {"_best_at": Running("max", F.when(improves, F.col("pos")))})
     counted = stalled.withColumn("stalled", F.col("pos") - F.col("_best_at")).drop("_best_at", CHUNK)
     return trailing(
-        counted, ["run"], "pos", (-params.window, -1),
+        counted, group, "pos", (-params.window, -1),
         {"n_prior": F.count(F.lit(1)), "loss_avg": F.avg("loss"), "grad_avg": F.avg("grad_norm")},
         block_rows,
     )
@@ -196,9 +222,10 @@ def high_gradient_alerts(df: DataFrame, params: StabilityParams = StabilityParam
     return _fired(observed(df).where(is_finite(F.col("loss"))), [high_gradient_rule(params)])
 
 
-def history_alerts(df: DataFrame, params: StabilityParams = StabilityParams(), **kwargs) -> DataFrame:
+def history_alerts(df: DataFrame, params: StabilityParams = StabilityParams(), reset: str | None = None, **kwargs) -> DataFrame:
     """Spikes and missing improvement."""
-    return _fired(history(observed(df).where(is_finite(F.col("loss"))), params, **kwargs), history_rules(params))
+    log, group = reset_log(df, reset, kwargs.get("parts"))
+    return _fired(history(log.where(is_finite(F.col("loss"))), params, group=group, **kwargs), history_rules(params))
 
 
 def kept_rules(params: StabilityParams) -> list[Column]:
@@ -207,42 +234,44 @@ def kept_rules(params: StabilityParams) -> list[Column]:
     return [non_finite_rules()[1], loss_spike, high_gradient_rule(params), grad_spike, no_improvement]
 
 
-def stability_alerts(df: DataFrame, params: StabilityParams = StabilityParams(), **kwargs) -> DataFrame:
+def stability_alerts(df: DataFrame, params: StabilityParams = StabilityParams(), reset: str | None = None, **kwargs) -> DataFrame:
     """Every alert of every run, from (run, step, loss, grad_norm).
 
     A row with a non-finite loss raises its critical alerts and does not enter the history; a row
-    whose gradient alone is not finite does.
+    whose gradient alone is not finite does. Rows marked by the column ``reset`` start their run's history
+    afresh.
     """
     finite = is_finite(F.col("loss"))
-    log = observed(df)
-    kept = history(log.where(finite), params, **kwargs)
+    log, group = reset_log(df, reset, kwargs.get("parts"))
+    kept = history(log.where(finite), params, group=group, **kwargs)
     return _fired(kept, kept_rules(params)).unionByName(_fired(log.where(~finite), non_finite_rules()))
 
 
-def rolling_stats(df: DataFrame, n: int = WINDOW, parts: int | None = None) -> DataFrame:
-    """Average, minimum and maximum of the last n losses and gradient norms of each run."""
-    kept = observed(df).where(is_finite(F.col("loss")))
-    placed = ordered_position(kept, ["run"], ["step"], "pos", parts=parts)
+def rolling_stats(df: DataFrame, n: int = WINDOW, parts: int | None = None, reset: str | None = None) -> DataFrame:
+    """Average, minimum and maximum of the last n losses and gradient norms of each run, since its last ``reset``."""
+    log, group = reset_log(df, reset, parts)
+    placed = ordered_position(log.where(is_finite(F.col("loss"))), group, ["step"], "pos", parts=parts)
     return trailing(
-        placed, ["run"], "pos", (-(n - 1), 0),
+        placed, group, "pos", (-(n - 1), 0),
         {
             "loss_rolling_avg": F.avg("loss"), "loss_rolling_min": F.min("loss"), "loss_rolling_max": F.max("loss"),
             "grad_norm_rolling_avg": F.avg("grad_norm"), "grad_norm_rolling_max": F.max("grad_norm"),
         },
-    ).drop("pos")
+    ).drop("pos", "segment")
 
 
-def lifetime_stats(df: DataFrame, params: StabilityParams = StabilityParams(), **kwargs) -> DataFrame:
-    """Lowest loss so far, steps since it improved and alerts stored so far, at every kept row."""
-    kept = history(observed(df).where(is_finite(F.col("loss"))), params, **kwargs)
+def lifetime_stats(df: DataFrame, params: StabilityParams = StabilityParams(), reset: str | None = None, **kwargs) -> DataFrame:
+    """Lowest loss so far, steps since it improved and alerts stored so far, at every kept row; all since the last ``reset``."""
+    log, group = reset_log(df, reset, kwargs.get("parts"))
+    kept = history(log.where(is_finite(F.col("loss"))), params, group=group, **kwargs)
     fired = F.size(F.filter(F.array(*kept_rules(params)), lambda a: a.isNotNull()))
     counted = kept.select(
-        "run", "step", "pos", F.least("prev_min", "loss").alias("min_loss_seen"),
+        *group, "step", "pos", F.least("prev_min", "loss").alias("min_loss_seen"),
         (F.col("stalled") % params.patience).alias("steps_since_improvement"), fired.cast("bigint").alias("_fired"),
     )
     # The counts are small rows; writing them down keeps the history from being computed twice.
     return running(
-        counted, ["run"], ["pos"], {"total_alerts": Running("sum", F.col("_fired"))},
+        counted, group, ["pos"], {"total_alerts": Running("sum", F.col("_fired"))},
     ).select("run", "step", "min_loss_seen", "steps_since_improvement", "total_alerts")
 
 

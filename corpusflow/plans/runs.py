@@ -15,6 +15,7 @@ from corpusflow.plans.sequences import SQL_BATCHED, batched
 from corpusflow.session import materialise, scratch_path
 from corpusflow.sources import metrics
 from corpusflow.streaming import monitor
+from corpusflow.streaming.append import append_log
 
 # ------------------------------------------------------------------ bindings of events
 
@@ -57,6 +58,27 @@ long AS (
   SELECT run, step, 'loss' AS name, loss AS value FROM log UNION ALL SELECT run, step, 'grad_norm', grad_norm FROM log)"""
 
 
+def number_sql(expression: str, name: str | None = None, digits: int = 6) -> str:
+    """SQL of _with_kinds."""
+    name = name or expression
+    return (
+        f"CASE WHEN isfinite({expression}) THEN round({expression} + 3.14159e-{digits + 2}, {digits}) END AS {name}, "
+        f"CASE WHEN isnan({expression}) THEN 'nan' WHEN isinf({expression}) THEN CASE WHEN {expression} > 0 THEN 'inf' ELSE '-inf' END "
+        f"WHEN {expression} IS NOT NULL THEN 'number' END AS {name}_kind"
+    )
+
+
+def _with_kinds(df, *columns, digits=6):
+    """Rounded numbers, and beside each what it is: engines compare values that are not finite differently."""
+    out = df
+    for c in columns:
+        value = F.col(c)
+        kind = F.when(F.isnan(value), "nan").when(value == float("inf"), "inf").when(value == float("-inf"), "-inf")
+        out = out.withColumn(f"{c}_kind", kind.when(value.isNotNull(), "number"))
+        out = out.withColumn(c, F.when(monitoring.is_finite(value), b.near(value, digits)))
+    return out
+
+
 def _rounded(df, *columns, digits=6):
     return df.withColumns({c: b.near(c, digits) for c in columns})
 
@@ -68,16 +90,38 @@ def _rounded(df, *columns, digits=6):
     f"""WITH {SQL_LOG}
 SELECT run, step, round(epoch_us(ts) / 1e6 + 3.14159e-8, 6) AS timestamp,
        round((epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6 + 3.14159e-8, 6) AS elapsed_seconds,
-       round(loss + 3.14159e-8, 6) AS loss
-FROM log QUALIFY isfinite(loss)""",
+       {number_sql('loss')}, {number_sql('grad_norm')}
+FROM log""",
 )
 def append_metrics(spark, sf):
     rows = events(spark, sf).select("run", "ts", "event_id", *METRICS)
     entries = metrics.log_entries(rows, ["ts", "event_id"]).drop("event_id")
     path = scratch_path(spark, "log")
     metrics.write_metrics(entries, path)
-    back = metrics.read_metrics(spark, path, METRICS).where(monitoring.is_finite(F.col("loss")))
-    return _rounded(back, "timestamp", "elapsed_seconds", "loss").drop("grad_norm")
+    back = metrics.read_metrics(spark, path, METRICS)
+    return _with_kinds(_rounded(back, "timestamp", "elapsed_seconds"), *METRICS)
+
+
+@query(
+    "s5_append_stream",
+    f"""WITH {SQL_LOG}
+SELECT run, step, round(epoch_us(ts) / 1e6 + 3.14159e-8, 6) AS timestamp,
+       round((epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6 + 3.14159e-8, 6) AS elapsed_seconds,
+       {number_sql('loss')}, {number_sql('grad_norm')}
+FROM log""",
+)
+def append_stream(spark, sf):
+    # Folders of consecutive times, each a micro-batch of the stream.
+    source, path = scratch_path(spark, "arriving"), scratch_path(spark, "log")
+    rows = events(spark, sf).select("run", "ts", "event_id", *METRICS)
+    first, last = rows.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    part = F.least(F.floor((F.unix_micros("ts") - F.lit(first)) * 2 / F.lit(max(last - first, 1))), F.lit(1))
+    for k in (0, 1):
+        rows.where(part == k).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    append_log(stream, path, scratch_path(spark, "append"), ["ts", "event_id"], drop=["event_id"]).awaitTermination()
+    back = metrics.read_metrics(spark, path, METRICS)
+    return _with_kinds(_rounded(back, "timestamp", "elapsed_seconds"), *METRICS)
 
 
 @query(
@@ -103,43 +147,39 @@ def cadence(spark, sf):
     return selection.cadence(metric_log(spark, sf), 50, skip_zero=True).select("run", "step")
 
 
-_TRACKED = "WHERE isfinite(value)"
-
-
-def _tracked(spark, sf):
-    return long_log(spark, sf).where(monitoring.is_finite(F.col("value")))
-
-
 @query(
     "w1_rolling_mean",
-    f"""WITH {SQL_LOG}
-SELECT run, name, step, round(avg(value) OVER (PARTITION BY run, name ORDER BY step ROWS 99 PRECEDING) + 3.14159e-8, 6) AS rolling_mean
-FROM long {_TRACKED}""",
+    f"""WITH {SQL_LOG},
+means AS (SELECT run, name, step, avg(value) OVER (PARTITION BY run, name ORDER BY step ROWS 99 PRECEDING) AS rolling_mean FROM long)
+SELECT run, name, step, {number_sql('rolling_mean')} FROM means""",
 )
 def rolling_mean(spark, sf):
-    means = monitoring.rolling(_tracked(spark, sf))
-    return _rounded(means.select("run", "name", "step", "rolling_mean"), "rolling_mean")
+    means = monitoring.rolling(long_log(spark, sf))
+    return _with_kinds(means.select("run", "name", "step", "rolling_mean"), "rolling_mean")
 
 
 @query(
     "w2_latest",
-    f"""WITH {SQL_LOG}
-SELECT run, name, round(arg_max(value, step) + 3.14159e-8, 6) AS value, max(step) AS step FROM long {_TRACKED} GROUP BY run, name""",
+    f"""WITH {SQL_LOG},
+last AS (SELECT run, name, arg_max(value, step) AS value, max(step) AS step FROM long GROUP BY run, name)
+SELECT run, name, step, {number_sql('value')} FROM last""",
 )
 def latest(spark, sf):
-    return _rounded(monitoring.latest(_tracked(spark, sf)), "value")
+    return _with_kinds(monitoring.latest(long_log(spark, sf)), "value")
 
 
 @query(
     "w3_current_means",
-    f"""WITH {SQL_LOG}
-SELECT run, round(avg(value) FILTER (name = 'loss') + 3.14159e-8, 6) AS loss, round(avg(value) FILTER (name = 'grad_norm') + 3.14159e-8, 6) AS grad_norm
-FROM (SELECT *, row_number() OVER (PARTITION BY run, name ORDER BY step DESC) AS r FROM long {_TRACKED})
-WHERE r <= 100 GROUP BY run""",
+    f"""WITH {SQL_LOG},
+now AS (
+  SELECT run, avg(value) FILTER (name = 'loss') AS loss, avg(value) FILTER (name = 'grad_norm') AS grad_norm
+  FROM (SELECT *, row_number() OVER (PARTITION BY run, name ORDER BY step DESC) AS r FROM long)
+  WHERE r <= 100 GROUP BY run)
+SELECT run, {number_sql('loss')}, {number_sql('grad_norm')} FROM now""",
 )
 def current_means(spark, sf):
-    means = monitoring.current_means(_tracked(spark, sf)).withColumnRenamed("mean", "value")
-    return _rounded(metrics.to_wide(means, METRICS, keep=("run",)), *METRICS)
+    means = monitoring.current_means(long_log(spark, sf)).withColumnRenamed("mean", "value")
+    return _with_kinds(metrics.to_wide(means, METRICS, keep=("run",)), *METRICS)
 
 
 @query(
@@ -148,71 +188,83 @@ def current_means(spark, sf):
 seg AS (
   SELECT *, sum(CASE WHEN step % 300 = 299 AND name = 'loss' THEN 1 ELSE 0 END)
             OVER (PARTITION BY run, name ORDER BY step ROWS UNBOUNDED PRECEDING) AS segment
-  FROM long {_TRACKED})
-SELECT run, name, step, CAST(segment AS BIGINT) AS segment,
-       round(avg(value) OVER (PARTITION BY run, name, segment ORDER BY step ROWS 99 PRECEDING) + 3.14159e-8, 6) AS rolling_mean
-FROM seg""",
+  FROM long),
+means AS (
+  SELECT run, name, step, CAST(segment AS BIGINT) AS segment,
+         avg(value) OVER (PARTITION BY run, name, segment ORDER BY step ROWS 99 PRECEDING) AS rolling_mean
+  FROM seg)
+SELECT run, name, step, segment, {number_sql('rolling_mean')} FROM means""",
 )
 def reset(spark, sf):
-    marked = _tracked(spark, sf).withColumn("reset", (F.col("step") % 300 == 299) & (F.col("name") == "loss"))
+    marked = long_log(spark, sf).withColumn("reset", (F.col("step") % 300 == 299) & (F.col("name") == "loss"))
     segmented = monitoring.segments(marked)
     means = monitoring.rolling(segmented, group=("run", "name", "segment"))
-    return _rounded(means.select("run", "name", "step", "segment", "rolling_mean"), "rolling_mean")
+    return _with_kinds(means.select("run", "name", "step", "segment", "rolling_mean"), "rolling_mean")
 
 
 # ------------------------------------------------------------------ stability
 
-_KEPT = f"""WITH {SQL_LOG},
+def value_sql(expression: str) -> str:
+    return f"CASE WHEN isfinite({expression}) THEN round({expression} + 3.14159e-8, 6) END AS value"
+
+
+def kept_sql(group: str = "run") -> str:
+    """kept: rows of finite loss with their past; alerts of every rule. ``group`` tells the histories apart."""
+    return f"""WITH {SQL_LOG},
+marked AS (
+  SELECT *, sum(CASE WHEN step % 400 = 399 THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY step ROWS UNBOUNDED PRECEDING) AS segment
+  FROM log),
 prior AS (
   SELECT *, row_number() OVER w AS pos, min(loss) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_min,
          count(*) OVER (w ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING) AS n_prior,
          avg(loss) OVER (w ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING) AS loss_avg,
          avg(grad_norm) OVER (w ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING) AS grad_avg
-  FROM log WHERE isfinite(loss) WINDOW w AS (PARTITION BY run ORDER BY step)),
+  FROM marked WHERE isfinite(loss) WINDOW w AS (PARTITION BY {group} ORDER BY step)),
 kept AS (
   SELECT *, pos - max(CASE WHEN prev_min IS NULL OR loss < prev_min THEN pos END)
-                  OVER (PARTITION BY run ORDER BY pos ROWS UNBOUNDED PRECEDING) AS stalled,
+                  OVER (PARTITION BY {group} ORDER BY pos ROWS UNBOUNDED PRECEDING) AS stalled,
          least(prev_min, loss) AS lowest
   FROM prior),
 nonfinite AS (
   SELECT run, step, 'loss_nan' AS rule, 'critical' AS severity, 'nan' AS category,
          'Loss is ' || CASE WHEN isnan(loss) THEN 'nan' WHEN loss > 0 THEN 'inf' ELSE '-inf' END
-           || '! Training is diverging.' AS message, NULL::DOUBLE AS threshold
+           || '! Training is diverging.' AS message, NULL::DOUBLE AS value, NULL::DOUBLE AS threshold
   FROM log WHERE NOT isfinite(loss)
   UNION ALL
   SELECT run, step, 'grad_nan', 'critical', 'nan',
          'Gradient norm is ' || CASE WHEN isnan(grad_norm) THEN 'nan' WHEN grad_norm > 0 THEN 'inf' ELSE '-inf' END
-           || '! Training is diverging.', NULL
+           || '! Training is diverging.', NULL, NULL
   FROM log WHERE NOT isfinite(grad_norm)),
 loss_spike AS (
   SELECT run, step, 'loss_spike' AS rule, 'warning' AS severity, 'loss_spike' AS category,
-         'Loss spike detected: ' || format('{{:.4f}}', loss) || ' vs rolling avg' AS message,
+         'Loss spike detected: ' || format('{{:.4f}}', loss) || ' vs rolling avg ' || format('{{:.4f}}', loss_avg) AS message, {value_sql('loss')},
          round(loss_avg * 2 + 3.14159e-8, 6) AS threshold
   FROM kept WHERE n_prior >= 10 AND loss > loss_avg * 2),
 grad_high AS (
   SELECT run, step, 'grad_high' AS rule, 'warning' AS severity, 'gradient' AS category,
-         'High gradient norm: ' || format('{{:.2f}}', grad_norm) || ' > 100.0' AS message, 100.0::DOUBLE AS threshold
+         'High gradient norm: ' || format('{{:.2f}}', grad_norm) || ' > 100.0' AS message, {value_sql('grad_norm')}, 100.0::DOUBLE AS threshold
   FROM kept WHERE NOT isnan(grad_norm) AND grad_norm > 100),
 grad_spike AS (
   SELECT run, step, 'grad_spike' AS rule, 'warning' AS severity, 'gradient' AS category,
-         'Gradient spike: ' || format('{{:.2f}}', grad_norm) || ' vs rolling avg' AS message,
+         'Gradient spike: ' || format('{{:.2f}}', grad_norm) || ' vs rolling avg ' || format('{{:.2f}}', grad_avg) AS message, {value_sql('grad_norm')},
          round(grad_avg * 5 + 3.14159e-8, 6) AS threshold
   FROM kept WHERE n_prior >= 10 AND NOT isnan(grad_norm) AND NOT isnan(grad_avg) AND grad_norm > grad_avg * 5),
 no_improvement AS (
   SELECT run, step, 'no_improvement' AS rule, 'warning' AS severity, 'loss_spike' AS category,
          'Loss not improving for 50 steps. Min seen: ' || format('{{:.4f}}', lowest) || ', current: ' || format('{{:.4f}}', loss)
-           AS message, NULL::DOUBLE AS threshold
+           AS message, {value_sql('loss')}, NULL::DOUBLE AS threshold
   FROM kept WHERE stalled > 0 AND stalled % 50 = 0),
 alerts AS (
   SELECT * FROM nonfinite UNION ALL SELECT * FROM loss_spike UNION ALL SELECT * FROM grad_high
   UNION ALL SELECT * FROM grad_spike UNION ALL SELECT * FROM no_improvement)"""
 
-_ALERT = ("run", "step", "rule", "severity", "category", "message", "threshold")
+_KEPT = kept_sql()
+_ALERT = ("run", "step", "rule", "severity", "category", "message", "value", "threshold")
 
 
-def _alerts(df):
-    # The average is compared as the threshold; as text it may differ in its last digit.
-    shown = df.select(*_ALERT).withColumn("message", F.regexp_replace("message", "avg .*$", "avg"))
+def _alerts(df, *more):
+    # A value that is not finite is named by its message.
+    shown = df.select(*_ALERT, *more).withColumn("value", F.when(monitoring.is_finite(F.col("value")), b.near("value")))
     return _rounded(shown, "threshold")
 
 
@@ -284,19 +336,23 @@ def alerts(spark, sf):
     return _alerts(monitoring.stability_alerts(metric_log(spark, sf)))
 
 
-@query("w13_live_monitor", f"{_KEPT} SELECT * FROM alerts")
+@query("w13_live_monitor", f"{_KEPT} SELECT *, CAST(0 AS BIGINT) AS late_rows FROM alerts")
 def live_monitor(spark, sf):
     path, out = scratch_path(spark, "log"), scratch_path(spark, "alerts")
     metrics.write_metrics(metric_log(spark, sf).select("run", "step", *METRICS), path)
-    stream = monitor.monitor_stream(monitor.read_log_stream(spark, path))
-    monitor.write_stream(stream, out, scratch_path(spark, "stream")).awaitTermination()
-    return _alerts(spark.read.schema(stream.schema).parquet(out))
+    monitor.monitor_log(monitor.read_log_stream(spark, path), out, scratch_path(spark, "stream")).awaitTermination()
+    return _alerts(monitor.read_alerts(spark, out), "late_rows")
 
 
-@query("w14_alert_sink", f"{_KEPT} SELECT severity, rule, count(*) AS alerts FROM alerts GROUP BY severity, rule")
+@query("w14_alert_sink", f"{_KEPT} SELECT * FROM alerts")
 def alert_sink(spark, sf):
-    table = monitoring.alert_table(monitoring.stability_alerts(metric_log(spark, sf)))
-    return table.groupBy("severity", "rule").agg(F.count(F.lit(1)).alias("alerts"))
+    return _alerts(monitoring.alert_table(monitoring.stability_alerts(metric_log(spark, sf))))
+
+
+@query("w4_stability_reset", f"{kept_sql('run, segment')} SELECT * FROM alerts")
+def stability_reset(spark, sf):
+    marked = metric_log(spark, sf).withColumn("reset", F.col("step") % 400 == 399)
+    return _alerts(monitoring.stability_alerts(marked, reset="reset"))
 
 
 # ------------------------------------------------------------------ schedules
@@ -336,15 +392,17 @@ def wsd_rate(spark, sf):
 @query(
     "l2_phases",
     f"""{_PLANS}
-SELECT run, phase, count(*) AS steps, round(avg(loss) + 3.14159e-8, 6) AS avg_loss, round(max(factor) * 3e-4::DOUBLE + 3.14159e-12, 10) AS max_lr,
-       round(max(least(1.0, step / greatest(1, warmup))) + 3.14159e-8, 6) AS warmup_progress, round(max(step / total) + 3.14159e-8, 6) AS overall_progress
-FROM wsd WHERE isfinite(loss) GROUP BY run, phase""",
+SELECT run, phase, steps, {number_sql('avg_loss')}, round(low * 3e-4::DOUBLE + 3.14159e-12, 10) AS min_lr,
+       round(high * 3e-4::DOUBLE + 3.14159e-12, 10) AS max_lr, round(warm + 3.14159e-8, 6) AS warmup_progress,
+       round(whole + 3.14159e-8, 6) AS overall_progress
+FROM (SELECT run, phase, count(*) AS steps, avg(loss) AS avg_loss, min(factor) AS low, max(factor) AS high,
+             max(least(1.0, step / greatest(1, warmup))) AS warm, max(step / total) AS whole
+      FROM wsd GROUP BY run, phase)""",
 )
 def phases(spark, sf):
-    log = metric_log(spark, sf).where(monitoring.is_finite(F.col("loss")))
-    summary = schedules.phase_summary(log, run_plans(spark, sf)).drop("min_lr")
-    rounded = _rounded(summary, "avg_loss", "warmup_progress", "overall_progress")
-    return _rounded(rounded, "max_lr", digits=10)
+    summary = schedules.phase_summary(metric_log(spark, sf), run_plans(spark, sf))
+    rounded = _rounded(_with_kinds(summary, "avg_loss"), "warmup_progress", "overall_progress")
+    return _rounded(rounded, "min_lr", "max_lr", digits=10)
 
 
 @query(
@@ -457,6 +515,11 @@ def _numbers(*names, digits=6):
     return ", ".join(f"{b.near_sql(n, digits)} AS {n}" for n in names)
 
 
+def grouped_sql(expression):
+    """SQL of a number without decimals and with separators."""
+    return f"CASE WHEN isinf({expression}) THEN 'inf' ELSE format('{{:,}}', CAST(round_even({expression}, 0) AS BIGINT)) END"
+
+
 def _select_numbers(df, *names, digits=6):
     return df.select("run", "event_id", *[b.near(n, digits).alias(n) for n in names])
 
@@ -512,19 +575,16 @@ def projection(spark, sf):
 
 @query(
     "c7_statistics",
-    f"""{_STEPS} SELECT run, event_id, tokens_processed, tokens_remaining, round(progress_percent + 3.14159e-8, 6) AS progress_percent,
-round(tokens_per_second + 3.14159e-8, 6) AS tokens_per_second, round(elapsed_hours + 3.14159e-8, 6) AS elapsed_hours,
-round(cost_so_far_usd + 3.14159e-8, 6) AS cost_so_far_usd FROM done""",
+    f"""{_STEPS} SELECT run, event_id, tokens_processed, tokens_remaining, {number_sql('progress_percent')},
+{number_sql('tokens_per_second')}, {number_sql('tokens_per_dollar', digits=4)}, {number_sql('elapsed_hours')}, {number_sql('eta_hours')},
+{number_sql('cost_so_far_usd')}, {number_sql('estimated_total_cost_usd')}, {number_sql('estimated_remaining_cost_usd')}
+FROM done""",
 )
 def statistics(spark, sf):
-    record = cost.stats_record(_progress(spark, sf)).select("run", "event_id", "stats")
-    s = F.col("stats")
-    return record.select(
-        "run", "event_id", s["tokens_processed"].alias("tokens_processed"), s["tokens_remaining"].alias("tokens_remaining"),
-        b.near(s["progress_percent"]).alias("progress_percent"),
-        b.near(s["tokens_per_second"]).alias("tokens_per_second"), b.near(s["elapsed_hours"]).alias("elapsed_hours"),
-        b.near(s["cost_so_far_usd"]).alias("cost_so_far_usd"),
-    )
+    record = cost.stats_record(_progress(spark, sf)).select("run", "event_id", "stats.*")
+    exact = ("tokens_processed", "tokens_remaining")
+    rough = _with_kinds(record, "tokens_per_dollar", digits=4)
+    return _with_kinds(rough, *[c for c in cost.STATS if c not in (*exact, "tokens_per_dollar")])
 
 
 @query(
@@ -605,18 +665,24 @@ def duration(spark, sf):
 SELECT run, event_id,
   'Progress: ' || format('{{:.1f}}', progress_percent) || '%' || chr(10)
   || 'Tokens: ' || format('{{:,}}', tokens_processed) || ' / ' || format('{{:,}}', CAST(total_tokens AS BIGINT)) || chr(10)
+  || 'Speed: ' || {grouped_sql('tokens_per_second')} || ' tokens/sec' || chr(10)
+  || 'Efficiency: ' || {grouped_sql('tokens_per_dollar')} || ' tokens/$' || chr(10)
+  || 'Time: ' || format('{{:.1f}}', elapsed_hours) || 'h elapsed, ' || format('{{:.1f}}', eta_hours) || 'h remaining' || chr(10)
   || 'Cost: $' || format('{{:.2f}}', cost_so_far_usd) || ' spent, $' || format('{{:.2f}}', estimated_remaining_cost_usd)
-  || ' remaining' AS status,
-  'elapsed_hours=' || format('{{:.4f}}', elapsed_hours) || ' | progress_percent=' || format('{{:.4f}}', progress_percent) AS line
+  || ' remaining' || chr(10)
+  || 'Total estimated: $' || format('{{:.2f}}', estimated_total_cost_usd) AS status,
+  'elapsed_hours=' || format('{{:.4f}}', elapsed_hours) || ' | progress_percent=' || format('{{:.4f}}', progress_percent) AS line,
+  'gpu_type=' || gpu_type || ' | tokens_processed=' || tokens_processed || ' | eta_hours=' || format('{{:.4f}}', eta_hours)
+  || ' | priced=' || CASE WHEN rate > 0 THEN 'True' ELSE 'False' END || ' | missing=None' AS mixed
 FROM done""",
 )
 def status_text(spark, sf):
-    shown = _progress(spark, sf).withColumn("_lines", F.split(cost.status_text(), "\n"))
     pairs = F.create_map(
         F.lit("elapsed_hours"), F.col("elapsed_hours"), F.lit("progress_percent"), F.col("progress_percent")
     )
-    kept = F.array(F.col("_lines")[0], F.col("_lines")[1], F.col("_lines")[5])
-    return shown.select("run", "event_id", F.array_join(kept, "\n").alias("status"), fm.metrics_text(pairs).alias("line"))
+    shown = _progress(spark, sf).withColumns({"priced": F.col("rate") > 0, "missing": F.lit(None).cast("double")})
+    mixed = fm.with_metrics_text(shown, ["gpu_type", "tokens_processed", "eta_hours", "priced", "missing"], "mixed")
+    return mixed.select("run", "event_id", cost.status_text().alias("status"), fm.metrics_text(pairs).alias("line"), "mixed")
 
 
 @query(

@@ -11,6 +11,7 @@ from corpusflow.operators.monitoring import StabilityParams
 from corpusflow.session import scratch_path
 from corpusflow.sources import metrics
 from corpusflow.streaming import monitor
+from corpusflow.streaming.append import append_log
 
 NAN, INF = float("nan"), float("inf")
 
@@ -115,9 +116,9 @@ def test_stream_equals_batch_over_restarts(spark, logs, tmp_path):
     log, out, state = tmp_path / "log", str(tmp_path / "alerts"), str(tmp_path / "state")
     for start in range(0, len(rows), 600):
         write_file(log, f"part-{start:06d}.json", rows[start:start + 600])
-        stream = monitor.monitor_stream(monitor.read_log_stream(spark, str(log), max_files=1), PARAMS)
-        monitor.write_stream(stream, out, state).awaitTermination()
-    alerts = spark.read.schema(stream.schema).parquet(out)
+        stream = monitor.read_log_stream(spark, str(log), max_files=1)
+        monitor.monitor_log(stream, out, state, PARAMS).awaitTermination()
+    alerts = monitor.read_alerts(spark, out)
     assert found(alerts) == expected(logs)
     batch = {(r.run, r.step, r.rule): r for r in monitoring.stability_alerts(frame(spark, logs), PARAMS).collect()}
     for r in alerts.collect():
@@ -131,9 +132,87 @@ def test_stream_counts_late_rows(spark, tmp_path):
     log, out, state = tmp_path / "log", str(tmp_path / "alerts"), str(tmp_path / "state")
     for i, steps in enumerate(([10, 11, 12], [5, 13], [12, 14])):
         write_file(log, f"part-{i}.json", [("r", s, 1.0, 500.0) for s in steps])
-        stream = monitor.monitor_stream(monitor.read_log_stream(spark, str(log)), PARAMS)
-        monitor.write_stream(stream, out, state).awaitTermination()
-    assert monitor.late_rows(spark.read.schema(stream.schema).parquet(out)).collect()[0].late_rows == 2
+        monitor.monitor_log(monitor.read_log_stream(spark, str(log)), out, state, PARAMS).awaitTermination()
+    assert monitor.late_rows(monitor.read_alerts(spark, out)).collect()[0].late_rows == 2
+
+
+def with_resets(logs, seed):
+    """Rows (run, step, loss, grad, reset): some rows start afresh, some of these have no loss."""
+    rng = random.Random(seed)
+    return [(run, s, None if mark and rng.random() < 0.3 else l, g, mark) for run, rs in logs.items() for s, l, g in rs for mark in [rng.random() < 0.02]]
+
+
+def alerts_with_resets(rows):
+    out = {}
+    for run in {r[0] for r in rows}:
+        parts = [[]]
+        for _, step, loss, grad, mark in sorted((r for r in rows if r[0] == run), key=lambda r: r[1]):
+            if mark:
+                parts.append([])
+            if loss is not None:
+                parts[-1].append((step, loss, grad))
+        found = sorted(a for part in parts for a in plain_alerts(part, PARAMS))
+        if found:
+            out[run] = found
+    return out
+
+
+def test_resets_start_the_history_afresh(spark, logs):
+    rows = with_resets(logs, 4)
+    df = spark.createDataFrame(rows, monitor.RESET_SCHEMA).repartition(5)
+    want = alerts_with_resets(rows)
+    assert sum(map(len, want.values())) != sum(map(len, expected(logs).values()))
+    assert found(monitoring.stability_alerts(df, PARAMS, reset="reset", parts=5, block_rows=40)) == want
+    some = ("loss_spike", "grad_spike", "no_improvement")
+    assert found(monitoring.history_alerts(df, PARAMS, reset="reset")) == {
+        run: kept for run, a in want.items() if (kept := [x for x in a if x[1] in some])
+    }
+    golden = spark.createDataFrame([("r", s, float(9 - s), 1.0, s == 4) for s in range(8)], monitor.RESET_SCHEMA)
+    life = {r.step: r for r in monitoring.lifetime_stats(golden.withColumn("loss", F.lit(3.0)), StabilityParams(patience=2), reset="reset").collect()}
+    assert [life[s].steps_since_improvement for s in range(8)] == [0, 1, 0, 1] * 2
+    assert [life[s].total_alerts for s in range(8)] == [0, 0, 1, 1] * 2
+    stats = {r.step: r for r in monitoring.rolling_stats(golden, 3, reset="reset").collect()}
+    assert [stats[s].loss_rolling_max for s in range(8)] == [9, 9, 9, 8, 5, 5, 5, 4] and "segment" not in stats[0].asDict()
+
+
+def test_stream_with_resets_equals_batch(spark, logs, tmp_path):
+    rows = sorted(with_resets({**logs, "late": [(2 * s + 1, 1.0, 500.0) for s in range(1300, 1310)]}, 9), key=lambda r: r[1])
+    log, out, state = tmp_path / "log", str(tmp_path / "alerts"), str(tmp_path / "state")
+    log.mkdir()
+    for start in range(0, len(rows), 450):
+        names = ("run", "step", "loss", "grad_norm", "reset")
+        lines = [json.dumps({k: v for k, v in zip(names, r) if v is not None}) for r in rows[start:start + 450]]
+        (log / f"part-{start:06d}.json").write_text("\n".join(lines) + "\n")
+    stream = monitor.read_log_stream(spark, str(log), max_files=1, schema=monitor.RESET_SCHEMA)
+    monitor.monitor_log(stream, out, state, PARAMS).awaitTermination()
+    alerts = monitor.read_alerts(spark, out)
+    assert found(alerts) == alerts_with_resets(rows)
+    assert alerts.where("late_rows > 0").count() == 0
+    # A micro-batch that is run again replaces what it wrote.
+    last = max((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    monitor.monitor_log(stream, out, state, PARAMS).awaitTermination()
+    assert found(monitor.read_alerts(spark, out)) == alerts_with_resets(rows)
+
+
+def test_past_is_bounded_and_a_hot_run_is_spread(spark):
+    params = StabilityParams(window=20, patience=500)
+    runs, past = spark.createDataFrame([], monitor.RUNS_SCHEMA), spark.createDataFrame([], monitor.PAST_SCHEMA)
+    rows = [("hot", s, 1.0 if s == 3 else 2.0 + s % 7, 1.0) for s in range(3000)] + [("cold", 1, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, monitor.LOG_SCHEMA)
+    _, runs, past = monitor.check_batch(df, runs, past, params)
+    runs, past = runs.cache(), past.cache()
+    assert {r.run: (r.seen, r.last_step, r.late_rows) for r in runs.collect()} == {"hot": (3000, 2999, 0), "cold": (1, 1, 0)}
+    hot = sorted((r.pos, r.loss) for r in past.where("run = 'hot'").collect())
+    assert hot[0] == (4, 1.0) and [p for p, _ in hot[1:]] == list(range(2981, 3001))
+    more = spark.createDataFrame([("hot", 3000 + s, 2.0, 1.0) for s in range(1000)], monitor.LOG_SCHEMA)
+    alerts, after, _ = monitor.check_batch(more, runs, past, params)
+    # Stalled since position 4: multiples of 500 after it.
+    assert [r.step for r in alerts.orderBy("step").collect()] == [3003, 3503]
+    assert {r.run: r.seen for r in after.collect()} == {"hot": 4000, "cold": 1}
+    plan = alerts._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
 def test_tracker_golden(spark):
@@ -225,6 +304,67 @@ def test_durations_and_text(spark):
     assert df.select(fm.metrics_text(pairs).alias("m")).collect()[0].m == "loss=1.2346 | x=inf"
 
 
+def test_text_of_any_type(spark):
+    df = spark.createDataFrame([(3, 0.5, True, "x", None, 2.0)], "n bigint, x double, ok boolean, s string, none string, f float")
+    shown = fm.with_metrics_text(df, ["n", "x", "ok", "s", "none", "f"], precision=2).collect()[0].line
+    assert shown == "n=3 | x=0.50 | ok=True | s=x | none=None | f=2.00"
+    assert fm.with_metrics_text(df.limit(0), ["n"]).collect() == []
+
+
+def log_rows(seed, runs=3, n=40):
+    rng = random.Random(seed)
+    return [
+        (f"r{rng.randrange(runs)}", rng.choice([None, None, 100 + i]), 1_000 + 7 * i, i, rng.random() if rng.random() < 0.9 else None)
+        for i in range(n)
+    ]
+
+
+APPENDED = "run string, step bigint, at bigint, i bigint, loss double"
+
+
+def appended(spark, rows):
+    return spark.createDataFrame(rows, APPENDED).withColumn("ts", F.timestamp_seconds("at")).drop("at")
+
+
+def logged(df):
+    return sorted((r.run, r.step, r.timestamp, r.elapsed_seconds, r.loss or -1.0) for r in df.collect())
+
+
+def test_two_appends_give_the_rows_of_one(spark):
+    rows = log_rows(1)
+    whole = logged(metrics.log_entries(appended(spark, rows), ["i"]).drop("i"))
+    known, parts = spark.createDataFrame([], metrics.LOG_STATE_SCHEMA), []
+    for part in (rows[:11], rows[11:12], rows[12:]):
+        df = appended(spark, part)
+        parts += logged(metrics.log_entries(df, ["i"], known=known).drop("i"))
+        known = metrics.log_state(df, known).cache()
+    assert sorted(parts) == whole
+    counts = {r.run: r.counted for r in known.collect()}
+    assert counts == {run: sum(r[0] == run and r[1] is None for r in rows) for run in {r[0] for r in rows}}
+    # Without a step column every row is counted.
+    a, b = (appended(spark, part).drop("step") for part in (rows[:20], rows[20:]))
+    first = metrics.log_state(a, spark.createDataFrame([], metrics.LOG_STATE_SCHEMA))
+    both = logged(metrics.log_entries(a, ["i"]).drop("i")) + logged(metrics.log_entries(b, ["i"], known=first).drop("i"))
+    assert sorted(both) == logged(metrics.log_entries(appended(spark, rows).drop("step"), ["i"]).drop("i"))
+
+
+def test_a_streaming_append_gives_the_rows_of_one(spark, tmp_path):
+    rows = log_rows(2)
+    source, path, state = str(tmp_path / "arriving"), str(tmp_path / "log"), tmp_path / "state"
+    for part in (rows[:9], rows[9:30], rows[30:]):
+        appended(spark, part).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(appended(spark, rows).schema).parquet(source)
+        append_log(stream, path, str(state), ["i"], drop=["i"]).awaitTermination()
+    want = logged(metrics.log_entries(appended(spark, rows), ["i"]).drop("i"))
+    assert logged(metrics.read_metrics(spark, path, ["loss"])) == want
+    # The last micro-batch once more: its commit is lost, its rows are replaced.
+    last = max((state / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    append_log(spark.readStream.schema(appended(spark, rows).schema).parquet(source), path, str(state), ["i"], drop=["i"]).awaitTermination()
+    assert logged(metrics.read_metrics(spark, path, ["loss"])) == want
+
+
 def test_total_steps(spark):
     runs = spark.createDataFrame([("r", 10_000_000_000, 48, 2048, 16)], "run string, total_tokens bigint, micro_batch bigint, seq_len bigint, accum bigint")
     row = schedules.total_steps(runs).collect()[0]
