@@ -93,7 +93,7 @@ def checked_size(vocab: DataFrame, max_entries: int, max_bytes: int) -> int:
     """Entries of a vocabulary that is small enough to travel with the tasks; one that is not raises an error."""
     size, held = vocab.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token")), F.lit(0))).first()
     if size > max_entries:
-        raise ValueError(f"the vocabulary has {size} entries, more than {max_entries}")
+        raise ValueError(f"the vocabulary has {size} entries, more than {max_entries}; encode_any and decode_any take any number")
     if held > max_bytes:
         raise ValueError(f"the tokens of the vocabulary take {held} bytes, more than {max_bytes}")
     return size
@@ -161,3 +161,69 @@ def decode(
 def token_totals(df: DataFrame, by: str, ids: str = "ids") -> DataFrame:
     """Documents and tokens per ``by``."""
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size(ids)).alias("tokens"))
+
+
+# ------------------------------------------------------------------ vocabularies of any size
+
+#: Bytes of text, or four times the ids, of a slice, and the lists among which its dictionary is dealt.
+SLICE_BYTES, SLICE_LISTS = 2 << 20, 4096
+
+
+def _looked_up(
+    df: DataFrame, key: str, values: Column, size: Column, entries: DataFrame, entry: str, answer: str, missing: Column, out: str
+) -> DataFrame:
+    """Adds ``out``: for each of the ``values`` the ``answer`` of its ``entry``, or ``missing``.
+
+    Rows are put together in slices of about SLICE_BYTES. The distinct values of a slice, not the
+    values, meet the entries, and come back as the slice's own dictionary: neither a task nor the driver holds
+    all entries, and a value that is everywhere is asked for once a slice.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns])
+    total = df.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
+    slices = total // SLICE_BYTES + 1
+    sliced = df.select(F.pmod(F.xxhash64(key), F.lit(slices)).alias("_slice"), row.alias("_row"), values.alias("_values"))
+    asked = sliced.select("_slice", F.explode("_values").alias(entry)).distinct()
+    told = asked.join(entries.select(entry, answer), entry)
+    at = F.pmod(F.hash(entry), F.lit(SLICE_LISTS))
+    lists = told.groupBy("_slice", at.alias("_list")).agg(F.map_from_entries(F.collect_list(F.struct(entry, answer))).alias("_map"))
+    books = lists.groupBy("_slice").agg(F.map_from_entries(F.collect_list(F.struct("_list", "_map"))).alias("_book"))
+    whole = F.transform(F.sequence(F.lit(0), F.lit(SLICE_LISTS - 1)), lambda k: F.try_element_at("_book", k))
+    gathered = sliced.groupBy("_slice").agg(F.collect_list(F.struct("_row", "_values")).alias("_rows"))
+    joined = gathered.join(books.select("_slice", whole.alias("_lists")), "_slice", "left")
+    find = lambda v: F.coalesce(F.try_element_at(F.get("_lists", F.pmod(F.hash(v), F.lit(SLICE_LISTS))), v), missing)
+    found = F.transform(
+        "_rows", lambda r: F.struct(r["_row"].alias("_row"), F.transform(r["_values"], find).alias(out))
+    )
+    told_rows = joined.select(F.inline(found))
+    return told_rows.select(*[F.col("_row")[c].alias(c) for c in df.columns if c != out], out)
+
+
+def encode_any(
+    df: DataFrame, vocab: DataFrame, key: str, max_length: int | None = None, add_bos: bool = False, add_eos: bool = False,
+    text: str = "text", out: str = "ids",
+) -> DataFrame:
+    """What ``encode`` gives, for a vocabulary of any size: it is shuffled by token instead of travelling.
+
+    ``key`` tells rows apart and deals them to slices.
+    """
+    found = words(F.coalesce(F.col(text), F.lit("")))
+    found = F.slice(found, 1, max_length) if max_length else found
+    size = F.coalesce(F.octet_length(text), F.lit(0))
+    # Special tokens are no words, as in ``encode``.
+    ordinary = vocab.where(F.col("id") >= len(SPECIALS))
+    coded = _looked_up(df, key, found, size, ordinary, "token", "id", F.lit(UNK_ID), out)
+    parts = [F.array(F.lit(BOS_ID))] * add_bos + [F.col(out)] + [F.array(F.lit(EOS_ID))] * add_eos
+    coded = coded.withColumn(out, F.concat(*parts)) if len(parts) > 1 else coded
+    return coded.withColumn(out, F.slice(out, 1, max_length)) if max_length else coded
+
+
+def decode_any(df: DataFrame, vocab: DataFrame, key: str, skip_special: bool = True, ids: str = "ids", out: str = "text") -> DataFrame:
+    """What ``decode`` gives, for a vocabulary of any size."""
+    kept = F.filter(F.col(ids), lambda i: i >= len(SPECIALS)) if skip_special else F.col(ids)
+    named = vocab.groupBy("id").agg(F.min("token").alias("token"))
+    size = F.coalesce(F.size(ids), F.lit(0)) * 4
+    known = df.where(F.col(ids).isNotNull())
+    found = _looked_up(known, key, kept, size, named, "id", "token", F.lit(UNK), "_found")
+    shown = found.withColumn(out, F.array_join("_found", " ")).drop("_found")
+    unknown = df.where(F.col(ids).isNull()).withColumn(out, F.lit(None).cast("string"))
+    return shown.unionByName(unknown)

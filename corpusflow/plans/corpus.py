@@ -273,6 +273,15 @@ def encode(spark, sf):
     return b.encoded(spark, sf).select("doc_id", _ids_text().alias("ids"))
 
 
+@query(
+    "t3_encode_any",
+    f"WITH {b.SQL_IDS} SELECT doc_id, string_agg(id, ' ' ORDER BY idx) AS ids FROM ids GROUP BY doc_id",
+)
+def encode_any(spark, sf):
+    coded = tokens.encode_any(b.corpus(spark, sf).select("doc_id", "text"), b.vocabulary(spark, sf), "doc_id")
+    return coded.select("doc_id", _ids_text().alias("ids"))
+
+
 @query(
     "t4_encode_specials",
     f"""WITH {b.SQL_IDS}
@@ -309,6 +318,18 @@ def decode(spark, sf):
     return tokens.decode(ids, vocab).select("doc_id", "text")
 
 
+@query(
+    "t6_decode_any",
+    f"""WITH {b.SQL_IDS}
+SELECT d.doc_id, coalesce(t.text, '') AS text FROM documents d LEFT JOIN (
+  SELECT i.doc_id, string_agg(v.token, ' ' ORDER BY i.idx) AS text FROM ids i JOIN vocab v ON i.id = v.id AND v.id > 3
+  GROUP BY i.doc_id) t ON d.doc_id = t.doc_id""",
+)
+def decode_any(spark, sf):
+    ids = b.encoded(spark, sf)
+    return tokens.decode_any(ids, b.vocabulary(spark, sf), "doc_id").select("doc_id", "text")
+
+
 @query(
     "t7_token_counts",
     f"WITH {b.SQL_CORPUS} SELECT domain, count(*) AS docs, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM counted GROUP BY domain",

@@ -75,6 +75,18 @@ def test_head_sample(spark):
     assert selection.cadence(steps, 25).count() == 4 and selection.cadence(steps, 25, skip_zero=True).count() == 3
 
 
+def test_first_rows_of_a_hot_domain(spark):
+    rows = [(i * 7 % 5000, "hot") for i in range(5000)] + [(i, "cold") for i in range(3)] + [(9, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, domain string").repartition(6)
+    got = selection.first_per_domain(df, 40, "doc_id").collect()
+    assert sorted(r.doc_id for r in got if r.domain == "hot") == list(range(40))
+    assert sorted(r.doc_id for r in got if r.domain == "cold") == [0, 1, 2] and len(got) == 43
+    assert selection.first_per_domain(df.limit(0), 4, "doc_id").collect() == []
+    # Parts of a domain are cut before and after their own shuffle, and before the domain's.
+    plan = selection.firsts(df, 40, "doc_id", "domain")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 3 and plan.count("Exchange hashpartitioning(domain") == 2
+
+
 def plain_truncate(logits, temperature, k, p):
     """(token -> prob) from the rules, as a loop."""
     rows = sorted(((l / temperature, -t) for t, l in enumerate(logits)), reverse=True)
@@ -114,6 +126,34 @@ def test_truncate_equals_a_loop(scored, temperature, k, p, parts):
         assert got[q] == pytest.approx(plain_truncate(logits, temperature, k, p))
 
 
+@pytest.mark.parametrize("p", [0.0, 0.2, 0.6, 0.95, 0.999999])
+def test_nucleus_of_bins_equals_a_loop(spark, monkeypatch, p):
+    rng = random.Random(6)
+    monkeypatch.setattr(candidates, "LAST_BIN", 40)
+    # Ties over a whole query, far tails beyond the last bin, one candidate.
+    table = {0: [1.5] * 60, 1: [rng.choice([0.0, -1.0, -90.0]) for _ in range(50)], 2: [2.0], 3: [rng.gauss(0, 2) for _ in range(300)]}
+    df = spark.createDataFrame([(q, t, l) for q, ls in table.items() for t, l in enumerate(ls)], "query_id bigint, token_id bigint, logit double")
+    got = {}
+    for r in candidates.top_p(df.repartition(5), p, parts=6).collect():
+        got.setdefault(r.query_id, set()).add(r.token_id)
+    probs = {}
+    for r in candidates.truncate(df, 1.0, 0, p).collect():
+        probs.setdefault(r.query_id, {})[r.token_id] = r.prob
+    for q, logits in table.items():
+        want = plain_truncate(logits, 1.0, 0, p)
+        assert got[q] == set(want) and probs[q] == pytest.approx(want)
+    assert candidates.top_p(df.limit(0), p).collect() == []
+
+
+def test_a_nucleus_orders_candidates_near_its_cut_alone(spark, scored, monkeypatch):
+    seen = []
+    real = candidates.range_chunks
+    monkeypatch.setattr(candidates, "range_chunks", lambda df, *a: seen.append(df.count()) or real(df, *a))
+    table, df = scored
+    assert candidates.top_p(df, 0.35, 7).count() > 0
+    assert 0 < seen[0] < df.count() / 3
+
+
 def test_candidate_golden(spark):
     df = spark.createDataFrame([(1, i, l) for i, l in enumerate([5.0, 4.0, 4.0, 1.0, 0.0])], "query_id int, token_id int, logit double")
     assert sorted(r.token_id for r in candidates.top_k(df, 2).collect()) == [0, 1, 2]

@@ -158,3 +158,24 @@ def test_a_vocabulary_beyond_its_bounds_is_refused(spark):
     for bound in ({"max_entries": 6}, {"max_bytes": 10}):
         with pytest.raises(ValueError):
             tokens.encode(docs, vocab, **bound)
+
+
+def test_any_vocabulary_gives_what_a_carried_one_gives(spark, monkeypatch):
+    rows = [(i, f"a b{i % 7} c{i % 50}  d{i}\ta") for i in range(300)]
+    rows += [(300, ""), (301, None), (302, " \n "), (303, "a " * 5000 + "zz"), (None, "a b1"), (300, "twice"), (304, "<pad> <unk> a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"_row": F.lit(1), "token": F.lit("x"), "id": F.lit(2)})
+    vocab = tokens.build_vocab(docs, 60)
+    # Slices of a few rows.
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 400)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, str(r.text))
+    for options in ({}, {"max_length": 3}, {"max_length": 2, "add_bos": True}, {"add_bos": True, "add_eos": True}):
+        want = sorted(tokens.encode(docs, vocab, **options).collect(), key=key)
+        assert sorted(tokens.encode_any(docs, vocab, "doc_id", **options).select(*want[0].__fields__).collect(), key=key) == want
+    coded = tokens.encode(docs.select("doc_id", "text"), vocab, add_eos=True).drop("text")
+    coded = coded.unionByName(spark.createDataFrame([(900, [4, 99999, 5]), (901, []), (902, None)], "doc_id long, ids array<int>"))
+    for skip in (True, False):
+        want = sorted(tokens.decode(coded, vocab, skip).collect(), key=key)
+        got = sorted(tokens.decode_any(coded, vocab, "doc_id", skip).select(*want[0].__fields__).collect(), key=key)
+        assert got == want
+    assert tokens.encode_any(docs.limit(0), vocab, "doc_id").collect() == []
+    assert tokens.decode_any(coded.limit(0), vocab, "doc_id").collect() == []
