@@ -95,7 +95,7 @@ def _nucleus(scaled: DataFrame, p: float, parts: int | None = None) -> DataFrame
     cuts = reached.groupBy(QUERY).agg(
         F.max("_bin").alias("_cut"), F.max_by("_before", "_bin").alias("_before"), F.max("_mass").alias("_mass")
     )
-    at = spread_join(weighed, cuts, QUERY, [TOKEN])
+    at = spread_join(weighed, cuts, QUERY, [TOKEN], weigh=scaled)
     near = at.where(F.col("_bin") == F.col("_cut")).withColumn("_down", -F.col("_z"))
     ordered = _along(range_chunks(near, [QUERY, *ORDER], parts), {
         "_rank": row_count(), "_inside": Running("sum", F.col("_e"), exclusive=True),

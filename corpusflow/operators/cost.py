@@ -50,7 +50,7 @@ def cumulative(log: DataFrame, runs: DataFrame, order: Sequence[str], group: Seq
     """
     steps = F.coalesce(F.col("steps"), F.lit(1)) if "steps" in log.columns else F.lit(1)
     known = F.coalesce(F.col("tokens"), steps * F.col("tokens_per_step"))
-    joined = spread_join(log, runs, "run", order).withColumns({"tokens": known, "_steps": steps.cast("bigint"), "_us": micros()})
+    joined = spread_join(log, runs, "run", order, weigh=log).withColumns({"tokens": known, "_steps": steps.cast("bigint"), "_us": micros()})
     totals = running(
         joined, group, order,
         {

@@ -45,7 +45,7 @@ def log_entries(
     else:
         counted = ordered_position(df, [run], order, "_n")
         given = F.lit(None).cast("bigint")
-    joined = spread_join(counted, starts, run, [ts])
+    joined = spread_join(counted, starts, run, [ts], weigh=df)
     stepped = joined.withColumn("step", F.coalesce(given, F.col("_first") + F.col("_n") - 1))
     built_in = {
         "timestamp": micros / 1e6,

@@ -72,7 +72,7 @@ def check_batch(
     segmented = running(chunked, ["run"], order, {"segment": marks}, chunk=F.col(CHUNK), stage=False)
     # Only the first segment goes on with what was seen.
     known = runs.select("run", F.col("seen").alias("_seen"))
-    joined = spread_join(segmented, known, "run", ["step"], "left").where(F.col("loss").isNotNull()).withColumn(
+    joined = spread_join(segmented, known, "run", ["step"], "left", weigh=log).where(F.col("loss").isNotNull()).withColumn(
         "seen", F.when(F.col("segment") == 0, F.coalesce("_seen", F.lit(0))).otherwise(F.lit(0).cast("bigint"))
     ).drop("_seen", "reset")
     group = ["run", "segment"]
@@ -80,7 +80,7 @@ def check_batch(
     followed = materialise(kept, "followed")
 
     def fired(df: DataFrame, rules: list) -> DataFrame:
-        told = spread_join(df, late.select("run", "late_rows"), "run", ["step"])
+        told = spread_join(df, late.select("run", "late_rows"), "run", ["step"], weigh=log)
         return told.select("run", "step", "late_rows", F.inline(F.filter(F.array(*rules), lambda a: a.isNotNull())))
 
     broken = observed(log).where(~is_finite(F.col("loss")))
@@ -93,7 +93,7 @@ def check_batch(
     after = late.join(ended, "run").select("run", F.coalesce("seen", F.lit(0)).alias("seen"), "last_step", "late_rows")
     idle = lambda df: df.join(seen_runs, "run", "left_anti")
     ends = ended.select("run", "_last", F.col("seen").alias("_seen"), "_best")
-    rest = spread_join(followed.drop("seen"), ends, "run", ["pos"]).where(
+    rest = spread_join(followed.drop("seen"), ends, "run", ["pos"], weigh=log).where(
         (F.col("segment") == F.col("_last")) & ((F.col("pos") > F.col("_seen") - window) | (F.col("pos") == F.col("_best")))
     )
     names = lambda schema: [c.split(" ")[0] for c in schema.split(", ")]

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusflow.operators import joins
 from corpusflow.operators.joins import spread_join
 from corpusflow.operators.ordering import (
     CHUNK, Running, chunk_by_hash, ordered_position, range_chunks, row_count, running, trailing,
@@ -122,3 +123,28 @@ def test_spread_join_equals_a_join(spark, rows):
         assert sorted(map(str, got.collect())) == sorted(map(str, facts.join(dim, "g", how).collect()))
     with pytest.raises(ValueError):
         spread_join(facts, dim, "g", ["k"], "full")
+
+
+def test_a_heavy_key_is_spread_by_its_share(spark):
+    rows = [("half" if i % 2 else f"k{i % 40}", i) for i in range(4000)] + [(None, -1)]
+    facts = spark.createDataFrame(rows, "run string, i long").repartition(5)
+    runs = spark.createDataFrame([("half", 1)] + [(f"k{i}", 2) for i in range(0, 38)] + [("absent", 3)], "run string, x int")
+    heavy = {r.run: r._salts for r in joins.heavy_keys(facts, "run", 12).collect()}
+    # Half of all rows gets half of the partitions; no other key is repeated.
+    assert heavy == {"half": 6}
+    spread = facts.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        inner = joins.spread_join(facts, runs, "run", ["i"])
+        assert sorted(inner.collect()) == sorted(facts.join(runs, "run").collect())
+        left = joins.spread_join(facts, runs, "run", ["i"], "left", weigh=facts.select("run"))
+        key = lambda r: (str(r.run), r.i)
+        assert sorted(left.collect(), key=key) == sorted(facts.join(runs, "run", "left").collect(), key=key)
+        plan = joins.spread_join(facts, runs, "run", ["i"])._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 2
+        assert joins.spread_join(facts.limit(0), runs, "run", ["i"]).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spread == spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(ValueError):
+        joins.spread_join(facts, runs, "run", ["i"], "full")
