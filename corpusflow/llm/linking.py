@@ -29,6 +29,13 @@ def shared_members(members: DataFrame) -> DataFrame:
     return materialise(members.join(shared, "bucket"), "members")
 
 
+def _gathered(members: DataFrame) -> DataFrame:
+    """Members of buckets of two and more with their number and leaders, the least and the greatest node, by one join."""
+    leaders = F.array(F.min("node"), F.max("node")).alias("leaders")
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), leaders).where("n > 1")
+    return materialise(members.join(shared, "bucket"), "grouped")
+
+
 def _grouped(kept: DataFrame) -> DataFrame:
     """Members with their bucket's leaders."""
 
@@ -61,7 +68,7 @@ def linked_classes(members: DataFrame, verify: Verify, fits: Fits | None = None,
             return pairs.where(fits(F.col("a"), F.col("b")))
         return pairs.join(fact("a"), "a").join(fact("b"), "b").where(fits(F.col("_fa"), F.col("_fb"))).select("a", "b")
 
-    grouped = _grouped(members if "n" in members.columns else shared_members(members))
+    grouped = _grouped(members) if "n" in members.columns else _gathered(members)
     leaders = grouped.select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
     edges = materialise(verify(fitting(_pairs(leaders))), "links")
     classes = components(edges)
