@@ -49,9 +49,9 @@ def op6_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paragraphs of every document, how many of them repeat others, and a digest of what is left."""
+    """How many paragraphs of every document repeat others, and a digest of what is left."""
     cut = paragraphs.dedupe_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return cut.select("doc_id", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
