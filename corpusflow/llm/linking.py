@@ -69,8 +69,12 @@ def linked_classes(members: DataFrame, verify: Verify, fits: Fits | None = None,
         return pairs.join(fact("a"), "a").join(fact("b"), "b").where(fits(F.col("_fa"), F.col("_fb"))).select("a", "b")
 
     grouped = _grouped(members) if "n" in members.columns else _gathered(members)
-    leaders = grouped.select(F.col("node").alias("a"), F.explode("leaders").alias("b"))
-    edges = materialise(verify(fitting(_pairs(leaders))), "links")
+    leaders = F.col("leaders")
+    if fits is not None and facts is None:
+        # Tested where the leaders stand, so that only pairs that meet the condition are ever rows.
+        leaders = F.filter(leaders, lambda b: (b != F.col("node")) & fits(F.col("node"), b))
+    led = grouped.select(F.col("node").alias("a"), F.explode(leaders).alias("b"))
+    edges = materialise(verify(fitting(_pairs(led))), "links")
     classes = components(edges)
     placed = grouped.where("n > 2").join(classes, "node", "left").select(
         "bucket", "node", "leaders", F.coalesce("component", "node").alias("class")
