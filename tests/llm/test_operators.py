@@ -377,7 +377,7 @@ def test_broken_chain_is_refused():
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(CHECKS) <= set(QUERIES) and sum(SHARES.values()) == 50
 
 
