@@ -18,6 +18,7 @@ from corpusflow.operators.ordering import CHUNK, Running, range_chunks, row_coun
 PRICES = {"a100_80gb": 2.50, "a100_40gb": 2.00, "h100": 4.00, "v100": 1.00, "t4": 0.35, "a10g": 1.00}
 DEFAULT_RATE = 2.50
 
+# The names of the statistics.
 STATS = (
     "tokens_processed", "tokens_remaining", "progress_percent", "tokens_per_second", "tokens_per_dollar",
     "elapsed_hours", "eta_hours", "cost_so_far_usd", "estimated_total_cost_usd", "estimated_remaining_cost_usd",
@@ -120,6 +121,7 @@ def stats_record(df: DataFrame) -> DataFrame:
 def status_text() -> Column:
     """Multi-line status of a row of ``with_progress``."""
     c = F.col
+    # The words of the lines.
     lines = [
         F.concat(F.lit("Progress: "), fixed(c("progress_percent"), 1), F.lit("%")),
         F.concat(F.lit("Tokens: "), grouped(c("tokens_processed")), F.lit(" / "), grouped(c("total_tokens"))),

@@ -31,6 +31,7 @@ class StabilityParams:
     min_history: int = 10
 
 
+# The rules, severities and categories of alerts below, and the words of their messages.
 ALERT_SCHEMA = (
     "run string, step bigint, rule string, severity string, category string, message string, "
     "value double, threshold double"
