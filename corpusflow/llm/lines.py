@@ -1,27 +1,33 @@
 """Fuzzy line deduplication with DataFrame functions only.
 
 Lines are normalised (lower case, runs of other characters than letters and digits become one space).
-Lines that are equal then (by a 64-bit hash) are one node. Two lines within the edit similarity in words share most
-of their words, so each node has MinHash minima of its set of words, in three columns of ``ORDER``; a key is one minimum
-of each column, chosen so that two of the ``ORDER`` squared keys have at most one minimum in common. Nodes that agree
-in a key share a bucket and are linked if their edit similarity in words reaches the threshold. Of each connected
-group the first occurrence stays.
+Lines that are equal then (by a 64-bit hash) are one node. Each node has three SimHash fingerprints of its distinct
+words: a bit is 1 if set in the hashes of over half the words. The fingerprints are cut into blocks, each fingerprint by itself and
+then across all three, and nodes that agree in a block share a bucket; by the pigeonhole principle no pair that differs in fewer bits
+than there are blocks without a common bit is missed. The number of blocks follows from the similarity and the recall. Nodes of a bucket are linked if their edit similarity
+in words reaches the threshold. Of each connected group the first occurrence stays.
+
+Words are counted per bit in lanes of packed longs: lanes of 8 bits for parts of a line, then lanes of 32 bits for
+the line, both plain sums in one stage after the shuffle that brings equal lines together.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusflow.llm.linking import linked_classes, shared_members
+from corpusflow.llm.linking import linked_classes
 from corpusflow.session import materialise
 
-#: Minima in each of the three columns that keys are made of. Two sets of words with the
-#: Jaccard similarity j share a key with a chance of about 1 - (1 - j^3)^(ORDER^2).
-ORDER = 5
-#: Letters of the words that minima are taken of, and how many of them a line needs for that. Short words are the same
-#: in most lines and would make chance meetings. A line with few longer words has minima of all its words; one that an
-#: edit could move across the bound has both kinds.
-LONG_WORD, LEAST_LONG = 4, 10
+#: Fingerprints of 64 bits a line. Each has nine pieces of seven bits; a block is three pieces.
+PRINTS, PIECE, PIECES = 3, 7, 9
+#: A wider block has fewer chance meetings and asks for more blocks.
+BLOCK_BITS = 3 * PIECE
+#: Bits of the first fingerprint that a node's number carries, so that the joins which make pairs can test their distance.
+CARRIED = 32
+#: Words of a part of a line; no sum of a part passes a lane of 8 bits whose first one stays free.
+PART = 127
 #: Longs of a line's bitmap of words.
 BITMAP = 4
 #: Bits of the filter that keeps texts without a candidate or without a cut out of shuffles. Its size is fixed (a
@@ -29,6 +35,28 @@ BITMAP = 4
 FILTER_BITS = 1 << 22
 
 
+def differing(similarity: float) -> float:
+    """Chance that a bit differs between lines of which this share of the words is the same: the angle of the sets over pi."""
+    return math.acos(min(max(similarity, 0.0), 1.0)) / math.pi
+
+
+def blocks(similarity: float, recall: float) -> list[tuple[int, int, int]]:
+    """Pieces, numbered over all fingerprints, of as many blocks as two lines at this similarity need to agree in one with
+    this chance. No two blocks have two pieces in common. There are 90 of them; a similarity that needs more gets all."""
+    straight = [tuple(PIECES * k + 3 * b + i for i in range(3)) for k in range(PRINTS) for b in range(PIECES // 3)]
+    across = [(i, PIECES + (i + s) % PIECES, 2 * PIECES + (i + 2 * s) % PIECES) for s in range(PIECES) for i in range(PIECES)]
+    agree = (1 - differing(similarity)) ** BLOCK_BITS
+    # Blocks with common pieces fail together more often than independent ones: two fifths more make up for it.
+    wanted = 1 if agree == 1 else math.ceil(1.4 * math.log(1 - recall) / math.log(1 - agree))
+    return (straight + across)[: max(1, wanted)]
+
+
+def most_bits(similarity: float) -> int:
+    """Carried bits in which lines at this similarity differ at most, but for about one pair in ten thousand."""
+    p = differing(similarity)
+    return min(CARRIED, math.floor(CARRIED * p + 4 * math.sqrt(CARRIED * p * (1 - p))))
+
+
 def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
@@ -50,23 +78,57 @@ def document_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text).alias("row"), text.alias("text"))
 
 
-def _minima(rows: DataFrame, hashes: str) -> DataFrame:
-    """``rows`` with 3 * ORDER minima m0, m1, ... of an array of hashes. Each mixed array gives two: its least and its greatest."""
-    wanted, mixed = 3 * ORDER, -(-3 * ORDER // 2)
-    kept = [c for c in rows.columns if c != hashes]
+def _lanes(byte: int) -> Column:
+    """A long with this byte in each lane of eight bits."""
+    return F.lit(int.from_bytes(bytes([byte]) * 8, "big"))
 
-    def mix(number: int) -> Column:
-        return F.transform(hashes, lambda h: F.xxhash64(h, F.lit(number)))
 
-    spread = rows.select(*kept, *[mix(k).alias(f"_x{k}") for k in range(mixed)])
-    least = [F.hash((F.array_max if k % 2 else F.array_min)(f"_x{k // 2}")) for k in range(wanted)]
-    return spread.select(*kept, *[F.when(F.size(f"_x{k // 2}") > 0, m).alias(f"m{k}") for k, m in enumerate(least)])
+def fingerprints(texts: DataFrame) -> DataFrame:
+    """(line_node, node, fact, p0, p1, ...) of distinct (node, n, line), n the number of words: the facts that ``can_be_near`` reads and the SimHash
+    fingerprints. The new node has half of the first fingerprint above half of the line's hash."""
+    each = texts.select("node", "n", F.posexplode(F.array_distinct(F.split("line", " "))).alias("at", "word"))
+    hashed = each.select("node", "n", F.floor(F.col("at") / PART).alias("part"), *[F.xxhash64("word", F.lit(k)).alias(f"h{k}") for k in range(PRINTS)])
+    place = F.pmod(F.xxhash64("h0"), F.lit(64 * BITMAP))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    parts = hashed.groupBy("node", "part").agg(
+        F.max("n").alias("n"), F.count(F.lit(1)).alias("distinct"),
+        *[F.bit_or(F.when(F.shiftright(place, 6) == k, bit).otherwise(F.lit(0))).alias(f"l{k}") for k in range(BITMAP)],
+        *[F.sum(F.shiftrightunsigned(f"h{k}", i).bitwiseAND(_lanes(1))).alias(f"c{k}_{i}") for k in range(PRINTS) for i in range(8)],
+    )
+    wide, top = F.lit(0xFF000000FF), F.lit(0x4000000040000000)
+    counts = [(k, i, j) for k in range(PRINTS) for i in range(8) for j in range(4)]
+    whole = parts.groupBy("node").agg(
+        F.max("n").cast("bigint").alias("n"), F.sum("distinct").alias("distinct"), *[F.bit_or(f"l{k}").alias(f"l{k}") for k in range(BITMAP)],
+        *[F.sum(F.shiftrightunsigned(f"c{k}_{i}", 8 * j).bitwiseAND(wide)).alias(f"w{k}_{i}_{j}") for k, i, j in counts],
+    )
+    # A count above half the words carries into the lane's bit 30.
+    lift = (F.lit((1 << 30) - 1) - F.shiftright("distinct", 1)) * F.lit((1 << 32) + 1)
+    lifted = whole.withColumn("lift", lift)
+
+    def bits(k: int) -> Column:
+        each = [
+            F.call_function("shiftleft", F.shiftrightunsigned((F.col(f"w{k}_{i}_{j}") + F.col("lift")).bitwiseAND(top), 30), F.lit(8 * j + i))
+            for i in range(8) for j in range(4)
+        ]
+        # Different bits each, so that any order will do; pairs keep the expression flat.
+        while len(each) > 1:
+            each = [a.bitwiseOR(b) for a, b in zip(each[::2], each[1::2])]
+        return each[0]
+
+    fact = F.array("n", *[f"l{k}" for k in range(BITMAP)]).alias("fact")
+    done = lifted.select(F.col("node").alias("line_node"), fact, *[bits(k).alias(f"p{k}") for k in range(PRINTS)])
+    low = F.col("line_node").bitwiseAND(F.lit((1 << (64 - CARRIED)) - 1))
+    return done.withColumn("node", F.shiftleft("p0", 64 - CARRIED).bitwiseOR(low))
+
 
+def _keys(chosen: list[tuple[int, int, int]]) -> list[Column]:
+    """The value and the number of every block as one long."""
 
-def _keys() -> list[Column]:
-    """Per choice of one minimum from each column a hash of them, the choice and the kind; two choices share one minimum at most."""
-    choices = [(a, ORDER + b, 2 * ORDER + (a + b) % ORDER) for a in range(ORDER) for b in range(ORDER)]
-    return [F.xxhash64(F.lit(n), "kind", *[F.col(f"m{k}") for k in choice]) for n, choice in enumerate(choices)]
+    def piece(number: int, place: int) -> Column:
+        at = F.shiftrightunsigned(f"p{number // PIECES}", PIECE * (number % PIECES)).bitwiseAND(F.lit((1 << PIECE) - 1))
+        return F.shiftleft(at.cast("bigint"), PIECE * place)
+
+    return [piece(a, 0) + piece(b, 1) + piece(c, 2) + F.lit(k << BLOCK_BITS) for k, (a, b, c) in enumerate(chosen)]
 
 
 def _passing(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
@@ -96,54 +158,47 @@ def can_be_near(similarity: float, a: Column, b: Column) -> Column:
     return (F.abs(a[0] - b[0]) <= most) & (only(a, b) <= most) & (only(b, a) <= most)
 
 
-def _facts(texts: DataFrame) -> DataFrame:
-    """(node, fact) of (node, line): the number of words, and the longs of a bitmap of them."""
-    bits = texts.select("node", F.explode(F.split("line", " ")).alias("word")).select("node", F.pmod(F.xxhash64("word"), F.lit(64 * BITMAP)).alias("at"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))
-    longs = [F.bit_or(F.when(F.shiftright("at", 6) == k, bit).otherwise(F.lit(0))).alias(f"l{k}") for k in range(BITMAP)]
-    summed = bits.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *longs)
-    return summed.select("node", F.array("n", *[f"l{k}" for k in range(BITMAP)]).alias("fact"))
-
-
-def line_groups(rows: DataFrame, similarity: float, min_words: int, exact_words: int) -> DataFrame:
+def line_groups(rows: DataFrame, similarity: float, recall: float, min_words: int, exact_words: int) -> DataFrame:
     """(id, row, pos, group) of the lines of ``rows`` (id, row, text) that have words, ``min_words`` or ``exact_words`` or more."""
-    # Outer explodes and no filter on the words: Spark would work them out once more for a filter that it pushes down.
+    # An outer explode and no filter on the words: Spark would work them out once more for a filter that it pushes down.
     cut = rows.select("id", "row", F.posexplode_outer(_lines(F.col("text"))).alias("pos", "line"))
-    lines = cut.select("id", "row", "pos", normalised(F.col("line")).alias("line")).withColumn("node", F.xxhash64("line"))
-    words = lines.select("id", "row", "pos", "node", F.split("line", " ").alias("words"))
-    words = words.withColumn("longer", F.filter("words", lambda word: F.length(word) >= LONG_WORD))
-    count, longer = F.size("words"), F.size("longer")
-    # The similarity lets no more words change than the line with the edits has, times what it allows.
-    few = longer < LEAST_LONG + F.ceil(count * (1 / max(similarity, 0.01) - 1))
-    features = [F.when((count >= min_words) & few, F.col("words")), F.when((count >= min_words) & (longer >= LEAST_LONG), F.col("longer"))]
-    # A line without letters and digits has one word, which is empty.
-    grouped = (count >= min_words) | (count >= exact_words) & (F.get("words", F.lit(0)) != "")
-    chosen = words.select("id", "row", "pos", "node", few.alias("few"), grouped.alias("grouped"), F.posexplode_outer(F.array(*features)).alias("kind", "feature"))
-    hashed = chosen.select("id", "row", "pos", "node", "few", "grouped", "kind", F.transform("feature", lambda word: F.xxhash64(word)).alias("hashes"))
-    whole = materialise(_minima(hashed, "hashes"), "lines")
-    sketched = whole.where("m0 is not null")
-    # All lines of a node have the same words and thus the same minima.
-    firsts = sketched.groupBy("node", "kind").agg(*[F.min(f"m{k}").alias(f"m{k}") for k in range(3 * ORDER)])
-    firsts = materialise(firsts, "nodes")
-    found = whole.where("grouped and kind = 0").select("id", "row", "pos", "node")
-    members = shared_members(firsts.select(F.explode(F.array(*_keys())).alias("bucket"), "node"))
-    wanted = materialise(members.select("node").distinct(), "wanted")
-    maybe = _passing(lines.select("node", "line"), F.col("node"), wanted, F.col("node")).where("_maybe")
-    texts = maybe.select("node", "line").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    texts = materialise(texts.select("node", "line", symbols(F.split("line", " ")).alias("symbols")), "symbols")
-    facts = materialise(_facts(texts.select("node", "line")), "facts")
+    cut = cut.select("id", "row", "pos", normalised(F.col("line")).alias("line"))
+    # A line without letters and digits has no word.
+    n = F.when(F.col("line") == "", 0).otherwise(F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1)
+    lines = cut.select("id", "row", "pos", F.xxhash64("line").alias("node"), n.alias("n"), "line")
+    found = materialise(lines.drop("line"), "lines").where((F.col("n") > 0) & (F.col("n") >= min(min_words, exact_words))).drop("n")
+    # The one shuffle of texts; everything up to the fingerprints stays where it put the lines.
+    firsts = lines.where((F.col("n") > 0) & (F.col("n") >= min_words)).select("node", "n", "line").dropDuplicates(["node"])
+    printed = materialise(fingerprints(firsts), "prints")
+    members = printed.select(F.explode(F.array(*_keys(blocks(similarity, recall)))).alias("bucket"), "node")
+    most = most_bits(similarity)
+
+    def close(a: Column, b: Column) -> Column:
+        return F.bit_count(F.shiftrightunsigned(a.bitwiseXOR(b), 64 - CARRIED)) <= most
 
     def verify(pairs: DataFrame) -> DataFrame:
-        one = texts.select(F.col("node").alias("a"), F.col("symbols").alias("ta"))
-        two = texts.select(F.col("node").alias("b"), F.col("symbols").alias("tb"))
-        both = pairs.join(one, "a").join(two, "b")
+        facts = printed.select("node", "fact", "line_node")
+        one, two = [facts.select(F.col("node").alias(c), F.struct("fact", "line_node").alias(f"_{c}")) for c in ("a", "b")]
+        near = pairs.join(one, "a").join(two, "b").where(can_be_near(similarity, F.col("_a.fact"), F.col("_b.fact")))
+        near = materialise(near.select("a", "b", F.col("_a.line_node").alias("la"), F.col("_b.line_node").alias("lb")), "pairs")
+        wanted = materialise(near.select(F.col("la").alias("node")).union(near.select("lb")).distinct(), "wanted")
+        maybe = _passing(lines.select("node", "line"), F.col("node"), wanted, F.col("node")).where("_maybe")
+        texts = maybe.select("node", "line").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+        texts = materialise(texts.select("node", symbols(F.split("line", " ")).alias("symbols")), "symbols")
+        one = texts.select(F.col("node").alias("la"), F.col("symbols").alias("ta"))
+        two = texts.select(F.col("node").alias("lb"), F.col("symbols").alias("tb"))
+        both = near.join(one, "la").join(two, "lb")
         longest, shortest = F.greatest(F.length("ta"), F.length("tb")), F.least(F.length("ta"), F.length("tb"))
-        most = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
+        edits = F.floor(longest * (1 - similarity) + 1e-9).cast("int")
         # Lengths differ by no more than the edits; beyond the limit the distance is -1.
-        return both.where(longest - shortest <= most).where(F.call_function("levenshtein", "ta", "tb", most) >= 0).select("a", "b")
+        return both.where(longest - shortest <= edits).where(F.call_function("levenshtein", "ta", "tb", edits) >= 0).select("a", "b").distinct()
 
-    classes = linked_classes(members, verify, lambda a, b: can_be_near(similarity, a, b), facts)
-    return found.join(classes, "node", "left").select("id", "row", "pos", F.coalesce("component", "node").alias("group"))
+    classes = linked_classes(members, verify, close)
+    # A class has the number of its least line, so that it cannot be taken for that of another line.
+    named = materialise(printed.select("line_node", "node").join(classes, "node"), "classes")
+    least = named.groupBy("component").agg(F.min("line_node").alias("group"))
+    of_line = named.join(least, "component").select(F.col("line_node").alias("node"), "group")
+    return found.join(of_line, "node", "left").select("id", "row", "pos", F.coalesce("group", "node").alias("group"))
 
 
 def cut_repeats(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -182,16 +237,17 @@ def cut_repeats(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
     )
 
 
-def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, min_words: int = 5,
-                 exact_words: int | None = None) -> DataFrame:
+def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.95, recall: float = 0.9,
+                 min_words: int = 5, exact_words: int | None = None) -> DataFrame:
     """All rows of ``docs`` with the repeated lines cut out of the text, and ``n_lines`` and ``n_removed``.
 
     Of every group of lines with an edit similarity in words of ``similarity`` or more, directly or over others, the
-    first in (id, text hash, line) order stays. Lines of fewer than ``min_words`` words are only
+    first in (id, text hash, line) order stays. A pair at that similarity is found with a chance of about ``recall``, a closer one
+    with a greater; lines that are equal when normalised are always found. Lines of fewer than ``min_words`` words are only
     compared for equality, if they have ``exact_words`` words (``min_words`` if not given), and otherwise stay. Rows that repeat
     both id and text are one document and lose the same lines; null ids come first. A null text stays null, a
     text that loses all lines becomes empty. Other columns are passed on; ``n_lines`` and ``n_removed`` are
     replaced if there. An empty table stays empty.
     """
     exact_words = min_words if exact_words is None else exact_words
-    return cut_repeats(docs, line_groups(document_rows(docs, id_col, text_col), similarity, min_words, exact_words), id_col, text_col)
+    return cut_repeats(docs, line_groups(document_rows(docs, id_col, text_col), similarity, recall, min_words, exact_words), id_col, text_col)

@@ -76,7 +76,9 @@ def linked_classes(members: DataFrame, verify: Verify, fits: Fits | None = None,
     led = grouped.select(F.col("node").alias("a"), F.explode(leaders).alias("b"))
     edges = materialise(verify(fitting(_pairs(led))), "links")
     classes = components(edges)
-    placed = grouped.where("n > 2").join(classes, "node", "left").select(
+    # All pairs of a bucket of three are pairs with its least or its greatest node.
+    settled = 2 if "n" in members.columns else 3
+    placed = grouped.where(F.col("n") > settled).join(classes, "node", "left").select(
         "bucket", "node", "leaders", F.coalesce("component", "node").alias("class")
     )
     placed = materialise(placed, "placed")
