@@ -59,7 +59,7 @@ def mix(docs: DataFrame, shares: Mapping[str, int], other: int = 1, block_docs:
     ``on_target`` (no source has run out before this slot; up to there every source is less than one
     block off its weight. Later rows are kept and interleave what is left). Sources without a share,
     null ones included, form one pool with the share ``other``. Rows with equal or null ids are placed one
-    after the other. Columns of these names are replaced; an empty table gives an empty mix.
+    after the other. Columns of these names are replaced and all others passed on; an empty table gives an empty mix.
     """
     every = {**shares, POOL: other}
     total = sum(every.values())
@@ -67,9 +67,12 @@ def mix(docs: DataFrame, shares: Mapping[str, int], other: int = 1, block_docs:
     added = ("mix_block", "mix_slot", "mix_order", "on_target")
     named = F.when(F.col(source_col).isin(list(shares)), F.col(source_col)).otherwise(POOL)
     bits = hash_bits(seed, "pfair", F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    base = docs.drop(*added).withColumns({"_source": named, "_bits": bits})
+    # The rows travel as one struct, so that no column of theirs can clash with those used here.
+    passed = [c for c in docs.columns if c not in added]
+    whole = F.struct(*[F.col(f"`{c}`") for c in passed]).alias("_doc")
+    base = docs.select(whole, F.col(f"`{id_col}`").alias("_id"), named.alias("_source"), bits.alias("_bits"))
     chunk = F.floor(F.col("_bits") / F.lit(HASH_SPAN / SLICES)).cast("bigint")
-    ordered = running(base, ["_source"], ["_bits", id_col], {"_place": Running("sum", F.lit(1).cast("bigint"))}, chunk=chunk, stage=False)
+    ordered = running(base, ["_source"], ["_bits", "_id"], {"_place": Running("sum", F.lit(1).cast("bigint"))}, chunk=chunk, stage=False)
     # As many rows as the shares sum up to, MAX_SHARES at most.
     slots = F.broadcast(spark.createDataFrame([(n, j, s, every[n]) for n, j, s in period(every)], "_source string, _in_period bigint, _slot bigint, _share bigint"))
     sizes = F.broadcast(spark.createDataFrame(list(every.items()), "_source string, _share bigint"))
@@ -84,7 +87,7 @@ def mix(docs: DataFrame, shares: Mapping[str, int], other: int = 1, block_docs:
     slot = F.floor((F.col("mix_block") - F.col("_in_period")) / F.col("_share")).cast("bigint") * total + F.col("_slot")
     placed = placed.withColumn("mix_slot", slot)
     return placed.select(
-        *[F.col(c) for c in docs.columns if c not in added], "mix_block", "mix_slot",
+        *[F.col("_doc")[c].alias(c) for c in passed], "mix_block", "mix_slot",
         (F.col("mix_slot") * block_docs + (F.col("_place") - 1) % block_docs).alias("mix_order"),
         (F.col("mix_slot") < horizon).alias("on_target"),
     )

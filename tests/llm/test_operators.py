@@ -323,6 +323,16 @@ def test_shares_are_met_within_a_block(spark):
         pfair.period({"a": 0})
 
 
+def test_mix_passes_clashing_columns_on(spark):
+    rows = [(1, "src1"), (1, "src1"), (None, None), (2, "else")]
+    frame = spark.createDataFrame(rows, "doc_id long, source string").selectExpr(
+        "*", "7 as _place", "8 as _bits", "9 as _in_period", "10 as _share", "11 as _slot", "12 as _source", "13 as _doc", "14 as _id", "15 as `a.b`"
+    )
+    got = pfair.mix(frame, SHARES).collect()
+    assert sorted((r.doc_id or 0, r.source or "") for r in got) == sorted((i or 0, s or "") for i, s in rows)
+    assert all(tuple(r)[2:11] == tuple(range(7, 16)) for r in got) and len({r.mix_order for r in got}) == 4
+
+
 def test_decontamination_against_all_windows(spark):
     draw = random.Random(4)
     vocabulary = ["".join(draw.choices("abcdefghij", k=5)) for _ in range(400)]
