@@ -25,11 +25,15 @@ def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedupe_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group; rows without an id stay as they are."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.where("doc_id is null"))
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the row with the smallest id, and of rows
+    that share it the one with the smallest hash; rows without an id stay as they are. Rows equal in all columns are one."""
+    place = F.struct("id", "row")
+    groups = simhash.near_texts(docs).where("id is not null")
+    first = groups.groupBy("group").agg(F.min(place).alias("first")).select("first.row", F.col("first.id").alias("id"))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").cast("bigint").alias("_id"), simhash.row_hash(docs).alias("_row"))
+    kept = named.join(first.select(F.col("id").alias("_id"), F.col("row").alias("_row")), ["_id", "_row"], "left_semi")
+    once = kept.dropDuplicates(["_id", "_row"]).unionByName(named.where("_id is null"))
+    return once.select("_doc.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

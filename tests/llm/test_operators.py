@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -526,3 +527,49 @@ def test_equal_short_lines_are_cut_where_asked_for(spark, tmp_path):
     got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in QUERIES["op1_line_dedup"](spark, str(tmp_path)).collect()}
     left = [texts[0], "----\n\n这是一个没有空格的重复的句子", "read less"]
     assert got == {i: (min(i, 1), hashlib.sha256(t.encode()).hexdigest()) for i, t in enumerate(left)}
+
+
+def test_near_texts_against_all_pairs(spark):
+    draw = random.Random(5)
+    words = ["w%d" % k for k in range(4000)]
+    texts, base = [], [[draw.choice(words) for _ in range(n)] for n in (60, 120, 400) for _ in range(60)]
+    for text in base:
+        texts.append(text)
+        for changes in (1, len(text) // 60, len(text) // 20):
+            near = list(text)
+            for at in draw.sample(range(len(near)), changes):
+                near[at] = draw.choice(words)
+            texts.append(near)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    group = {r.id: r.group for r in simhash.near_texts(docs).collect()}
+    shingles = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    similar = [(a, b, len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b])) for k in range(0, len(texts), 4) for a in range(k, k + 4) for b in range(a)
+               if b >= k]
+    found = [group[a] == group[b] for a, b, near in similar if near >= 0.8]
+    assert len(found) > 200 and sum(found) >= 0.9 * len(found)
+    # Groups are chains of links: each member has a near one in its group, not all are near each other.
+    nearest = {}
+    for a, b, near in similar:
+        if group[a] == group[b]:
+            nearest[a], nearest[b] = max(near, nearest.get(a, 0)), max(near, nearest.get(b, 0))
+    assert min(nearest.values()) >= 0.55
+    # Texts of different origin are never joined.
+    assert all(len({k // 4 for k in group if group[k] == g}) == 1 for g in set(group.values()))
+    assert simhash.near_texts(docs.limit(0)).count() == 0
+
+
+def test_texts_two_bits_apart_share_an_anchor(spark):
+    draw = random.Random(3)
+    values = [draw.getrandbits(31) for _ in range(300)]
+    rows = [(k, [v if not way else v ^ 1 << way - 1 ^ (1 << other - 1 if other else 0)]) for k, v in enumerate(values)
+            for way, other in ((0, 0), (k % 31 + 1, 0), (k % 31 + 1, (k + 1 + k % 29) % 31 + 1)) if way != other or not way]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([p for _, p in rows], pa.list_(pa.int64()))], ["node", "prints"])
+    at = {}
+    for out in simhash._covering([batch]):
+        for bucket, node in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            if bucket < 1 << 31:
+                at.setdefault(node, set()).add(bucket)
+    for one in range(len(rows)):
+        for two in range(one + 1, min(one + 3, len(rows))):
+            if rows[one][0] == rows[two][0] and (rows[one][1][0] ^ rows[two][1][0]).bit_count() <= 2:
+                assert at[one] & at[two]
