@@ -27,9 +27,9 @@ MAGIC = b"WARC/1.0\r\n"
 GAP = b"\r\n\r\n"
 #: Shortest payload that is worth a revisit.
 LEAST_BYTES = 100
-#: Longest header; a place without a header end within this is no record.
-MAX_HEADER = 1 << 16
-RECORDS_PER_FILE = 8192
+#: Records are written by the bytes of address and payload: those of at most so many, so many to a file. With their headers
+#: a file has about 64 MB at most, or one record; larger ones, the last of the table, have files of their own.
+FILES = ((8 << 10, 8192), (256 << 10, 256), (None, 1))
 SCHEMA = (
     "file string, offset bigint, next bigint, size bigint, record_id string, target_uri string, record_type string, "
     "refers_to string, payload_bytes bigint, payload_digest string"
@@ -54,13 +54,24 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     """Write a record per row of ``pages`` below ``path``.
 
     A null payload is an empty one. Rows that share id and payload are all responses if the id is the
-    smallest; null ids revisit a page that has one. Line ends in addresses become spaces.
+    smallest; null ids revisit a page that has one. Line ends in addresses become spaces. Addresses and
+    payloads may have any length that a value can have.
     """
     keyed = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"),
-    ).withColumns({"row": F.xxhash64("payload"), "digest": F.sha2("payload", 256)})
+    ).withColumns({
+        "row": F.xxhash64("payload"), "digest": F.sha2("payload", 256), "bytes": F.octet_length("payload").cast("bigint") + F.octet_length("url"),
+    })
     revisits = _revisits(keyed).select(F.col("page_id").alias("_id"), F.col("row").alias("_row"), "first")
+    least = -1
+    for number, (most, records) in enumerate(FILES):
+        sized = keyed.where(F.col("bytes") > least) if most is None else keyed.where((F.col("bytes") > least) & (F.col("bytes") <= most))
+        _write_records(sized, revisits, f"{path}/{number}", records, date)
+        least = most
+
+
+def _write_records(keyed: DataFrame, revisits: DataFrame, path: str, records: int, date: str) -> None:
     joined = keyed.join(revisits, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")), "left")
     again = F.col("first").isNotNull()
     block = F.when(again, "").otherwise(F.col("payload"))
@@ -78,7 +89,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
         F.lit("\r\n"),
     )
     record = F.concat(header, block, F.lit("\r\n\r"))
-    joined.select(record.alias("value")).write.option("maxRecordsPerFile", RECORDS_PER_FILE).option("lineSep", "\n").text(path)
+    joined.select(record.alias("value")).write.option("maxRecordsPerFile", records).option("lineSep", "\n").text(path)
 
 
 def _fields(header: bytes) -> dict[str, str]:
@@ -87,12 +98,18 @@ def _fields(header: bytes) -> dict[str, str]:
 
 
 def candidates(name: str, content: bytes, payload: bool) -> Iterator[tuple]:
-    """Every place that could begin a record, with its successor; places without a whole record are left out."""
+    """Every place that could begin a record, with its successor; places without a whole record are left out.
+
+    No header holds the magic, so that of two magics before the end of a header the second one counts. That
+    keeps the work in proportion to the content, however long headers are.
+    """
     view = memoryview(content)
-    for found in re.finditer(re.escape(MAGIC), content):
-        offset = found.start()
-        end = content.find(GAP, offset, offset + MAX_HEADER)
-        if end < 0:
+    places = [found.start() for found in re.finditer(re.escape(MAGIC), content)]
+    end = content.find(GAP)
+    for offset, following in zip(places, [*places[1:], len(content)]):
+        if 0 <= end < offset:
+            end = content.find(GAP, offset)
+        if end < 0 or end > following:
             continue
         fields = _fields(content[offset:end])
         length = fields.get("content-length", "")
@@ -156,7 +173,7 @@ def read_archive(spark: SparkSession, path: str, payload: bool = False) -> DataF
         keep = reached(table.column("offset").to_numpy(), table.column("next").to_numpy(), table.column("size")[0].as_py())
         return table.filter(pa.array(keep))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).load(path).select("path", "content")
     return files.mapInArrow(scan, schema).groupBy("file").applyInArrow(chain, schema)
 
 
