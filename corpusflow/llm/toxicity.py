@@ -12,11 +12,13 @@ texts are scored whole, in one pass without a shuffle.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusflow.llm.textbytes import mix, raw, slices
@@ -69,10 +71,17 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "text"):
             sets = [np.unique(grams(t)) for t in per_text(part.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [part.column("label"), pa.array(sets, pa.list_(pa.int32()))], ["label", "slots"]
+                [part.column("id"), part.column("label"), pa.array(sets, pa.list_(pa.int32()))], ["id", "label", "slots"]
             )
 
 
+def _order(rows: pa.Table) -> pa.Array:
+    """Places of the rows by id, label and slots."""
+    slots = [hashlib.sha256(s.values.to_numpy().tobytes()).digest() for s in rows.column("slots")]
+    keyed = pa.table({"id": rows.column("id"), "label": rows.column("label"), "slots": pa.array(slots, pa.binary())})
+    return pc.sort_indices(keyed, sort_keys=[(c, "ascending") for c in keyed.column_names])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
         max_rows: int = 2500, least_z: float = 4.0, strength: float = 30.0, rounds: int = 100, prior: float = 0.25) -> Model:
     """Fit on at most ``max_rows`` label rows of each class, those with the smallest hash of their id.
@@ -87,7 +96,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Two times max_rows rows of two numbers at most.
     chosen = F.broadcast(sample[0].union(sample[1]))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    got = texts.join(chosen, "id").select("label", "text").mapInArrow(_features, "label int, slots array<int>").toArrow()
+    got = texts.join(chosen, "id").select(F.col("id").cast("string"), "label", "text").mapInArrow(_features, "id string, label int, slots array<int>").toArrow()
+    # One order, whatever the partitions, so that sums of floats and with them the scores are the same.
+    got = got.take(_order(got))
     labels = got.column("label").to_numpy().astype(np.float64)
     slots = got.column("slots").combine_chunks()
     size = 1 << SLOT_BITS

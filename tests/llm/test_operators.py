@@ -445,6 +445,17 @@ def test_archive_round_trip(spark):
         assert (got[i].record_type, got[i].refers_to) == (("revisit", 1) if again else ("response", None))
 
 
+def test_archive_of_long_addresses_and_pages(spark):
+    url = "data:," + "x" * 100_000
+    rows = [(1, url, "p" * 200), (2, "u", "WARC/1.0\r\n" * 40_000), (3, url, "p" * 200), (4, "u", "q" * 300_000 + "\r\n\r\n" + "WARC/1.0\r\n"), (5, "v", "short")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r for r in warc.archived(pages).collect()}
+    assert {i: (r.payload_bytes, r.record_type, r.refers_to) for i, r in got.items()} == {
+        1: (200, "response", None), 2: (400_000, "response", None), 3: (200, "revisit", 1), 4: (300_014, "response", None), 5: (5, "response", None)}
+    assert all(got[i].payload_digest == hashlib.sha256(html.encode()).hexdigest() for i, _, html in rows)
+    assert warc.archived(pages.limit(0)).count() == 0
+
+
 def test_broken_chain_is_refused():
     offset, following = np.array([0, 10, 20]), np.array([10, 20, 31])
     with pytest.raises(ValueError):
@@ -573,3 +584,9 @@ def test_texts_two_bits_apart_share_an_anchor(spark):
         for two in range(one + 1, min(one + 3, len(rows))):
             if rows[one][0] == rows[two][0] and (rows[one][1][0] ^ rows[two][1][0]).bit_count() <= 2:
                 assert at[one] & at[two]
+
+
+def test_toxicity_fit_does_not_depend_on_partitions(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    one, two = toxicity.learn(docs.repartition(7), labels), toxicity.learn(docs.repartition(2, "text"), labels.repartition(3))
+    assert one.bias == two.bias and (one.weights == two.weights).all()
