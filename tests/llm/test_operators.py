@@ -365,8 +365,9 @@ def test_edit_distance_of_candidates():
     block = decontaminate.Block([1], [" ".join(item)], 0.5, 2)
     hashes, owner = decontaminate.words_of(__import__("pyarrow").array([" ".join(text)]))
     starts = np.arange(len(text))
-    got = block.distances(hashes, owner, starts, np.zeros(len(text), int))
-    want = [min(edit(item, text[s : s + n]) for n in range(19)) for s in starts]
+    got = block.distances(hashes, owner, np.zeros(len(text), int), starts, np.zeros(len(text), int))
+    # Six edits are allowed: the run begins up to twelve words on and is up to six longer than the item.
+    want = [min(edit(item, text[b:e]) for b in range(s, min(s + 30, len(text)) + 1) for e in range(b, min(s + 30, len(text)) + 1)) for s in starts]
     assert got.tolist() == want
 
 
@@ -590,3 +591,45 @@ def test_toxicity_fit_does_not_depend_on_partitions(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     one, two = toxicity.learn(docs.repartition(7), labels), toxicity.learn(docs.repartition(2, "text"), labels.repartition(3))
     assert one.bias == two.bias and (one.weights == two.weights).all()
+
+
+def test_walks_reach_the_recall_by_length_and_edits():
+    """Walks alone, items of 12 words and more, against the edit distance of every run of words."""
+    draw = random.Random(77)
+    vocabulary = ["".join(draw.choices("abcdefghij", k=6)) for _ in range(2000)]
+    items = [draw.choices(vocabulary, k=n) for n in (12, 16, 24, 40, 90) for _ in range(40)]
+    tables = decontaminate.tables_needed([" ".join(i) for i in items], 0.8, 0.99)
+    block = decontaminate.Block(list(range(len(items))), [" ".join(i) for i in items], 0.8, tables)
+    assert not block.runs and 0 < tables < 12
+    for part in (0.0, 0.1, 0.2, 0.35):
+        texts = []
+        for item in items:
+            changed = decontaminate.edited(np.array(range(1, len(item) + 1), dtype=np.uint64), int(part * len(item)), draw).tolist()
+            words = [item[w - 1] if w <= len(item) else f"x{w}" for w in changed]
+            texts.append(draw.choices(vocabulary, k=draw.randrange(30)) + words + draw.choices(vocabulary, k=draw.randrange(30)))
+        text, item, near = block.search(decontaminate.pa.array([" ".join(t) for t in texts]))
+        found = set(zip(text.tolist(), item.tolist()))
+
+        def apart(words, text):
+            row = [0] * (len(text) + 1)
+            for i, word in enumerate(words):
+                new = [i + 1]
+                for j, other in enumerate(text):
+                    new.append(min(row[j] + (word != other), row[j + 1] + 1, new[j] + 1))
+                row = new
+            return min(row)
+
+        true = {(k, k) for k, words in enumerate(items) if apart(words, texts[k]) <= 0.2 * len(words) + 1e-9}
+        assert found <= true and len(found) >= 0.97 * len(true)
+        assert found == true or part
+
+
+def test_decontamination_edges(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    benchmark = spark.createDataFrame([(1, item), (1, item), (2, None), (None, item), (3, "?!")], "item_id long, text string")
+    rows = [(1, f"before {item} after", "x"), (1, f"before {item} after", "x"), (None, item.upper(), "y"), (2, None, "z"), (3, "", None), (4, "word " * 20_000, "long")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `_items` string")
+    got = decontaminate.contamination(docs, benchmark, columns=docs.columns).collect()
+    assert sorted((str(r.doc_id), r["_items"] or "", r.contaminated, tuple(r.item_ids)) for r in got) == sorted(
+        (str(i), e or "", bool(t) and "w3" in t.lower(), (1,) if t and "w3" in t.lower() else ()) for i, t, e in rows)
+    assert decontaminate.contamination(docs.limit(0), benchmark).count() == 0
