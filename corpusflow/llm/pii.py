@@ -18,6 +18,8 @@ from corpusflow.session import materialise
 # What counts as an entity, and titles that tell the gender.
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Господин", "Κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Госпожа", "Κυρία")
+#: A name with its parts joined by hyphens and apostrophes, as one entity; an English possessive is not part of it.
+NAME = r"\p{Lu}(?:(?!['’]s(?!\p{L}))['’\-]?\p{L})+"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,64}(?![0-9A-Za-z])",
@@ -25,7 +27,7 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ \-]?[0-9]{4}){3}(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[.\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9A-Za-z])",
-    "person": r"(?<!\p{L})(?:" + "|".join(MALE + FEMALE) + r")\.?[ ]\p{Lu}\p{L}+(?:[ ]\p{Lu}\p{L}+)?(?!\p{L})",
+    "person": r"(?<!\p{L})(?:" + "|".join(MALE + FEMALE) + r")\.?[ ]" + NAME + "(?:[ ]" + NAME + r")?(?!\p{L})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Sixteen syllables a script; a name takes three, and one more each time it collides.
@@ -160,7 +162,7 @@ def _cased(original: Column, surrogate: Column) -> Column:
     upper = (original == F.upper(original)) & (original != F.lower(original))
     first = F.substring(original, 1, 1)
     titled = (first != F.lower(first))
-    return F.when(upper, F.upper(surrogate)).when(titled, F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, 2, 1_000_000))).otherwise(surrogate)
+    return F.when(upper, F.upper(surrogate)).when(titled, F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.length(surrogate)))).otherwise(surrogate)
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,9 +172,12 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     title. A null text stays null. Rows that repeat id and text get the same text; null ids are like any other id. Columns named
     ``n_entities`` and ``kinds`` are replaced, others passed on; an empty table stays empty.
     """
-    text = F.col(text_col).cast("string")
-    keys = {"_id": F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_row": F.xxhash64(text)}
-    named = docs.drop("n_entities", "kinds").withColumns(keys)
+    text = F.col(f"`{text_col}`").cast("string")
+    keys = {"_id": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), "_row": F.xxhash64(text)}
+    # The rows travel as one struct, so that no column of theirs can clash with those used here.
+    passed = [c for c in docs.columns if c not in ("n_entities", "kinds")]
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in passed]).alias("_doc"), *[value.alias(name) for name, value in keys.items()])
+    text = F.col("_doc")[text_col].cast("string")
     found = named.select("_id", "_row", pieces(text).alias("_pieces")).where("_pieces is not null").distinct()
     spots = found.select("_id", "_row", F.posexplode("_pieces").alias("at", "piece")).where("piece.kind != ''")
     spots = spots.select("_id", "_row", "at", "piece.kind", F.lower("piece.value").alias("value"), F.col("piece.value").alias("original"))
@@ -197,7 +202,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     tail = F.array_join(F.transform(F.slice("_pieces", last + 2, F.size("_pieces")), lambda p: p["value"]), "")
     new = F.concat(F.array_join(F.transform(places, span), ""), tail)
     return joined.select(
-        *[F.when(F.col("_changes").isNull(), text).otherwise(new).alias(c) if c == text_col else F.col(c) for c in docs.columns if c not in ("n_entities", "kinds")],
+        *[F.when(F.col("_changes").isNull(), text).otherwise(new).alias(c) if c == text_col else F.col("_doc")[c].alias(c) for c in passed],
         F.coalesce(F.size("_changes"), F.lit(0)).cast("bigint").alias("n_entities"),
         F.coalesce(F.transform("_changes", lambda c: c["kind"]), F.array().cast("array<string>")).alias("kinds"),
     )
