@@ -57,6 +57,12 @@ def most_bits(similarity: float) -> int:
     return min(CARRIED, math.floor(CARRIED * p + 4 * math.sqrt(CARRIED * p * (1 - p))))
 
 
+def least_near(similarity: float) -> int:
+    """Fewest words of a line that can be near another one: one fewer than the shortest line that may have an edit."""
+    spare = 1 - similarity
+    return max(1, math.ceil((1 - 1e-9) / spare) - 1) if spare > 0 else (1 << 31) - 1
+
+
 def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
@@ -168,7 +174,8 @@ def line_groups(rows: DataFrame, similarity: float, recall: float, min_words: in
     lines = cut.select("id", "row", "pos", F.xxhash64("line").alias("node"), n.alias("n"), "line")
     found = materialise(lines.drop("line"), "lines").where((F.col("n") > 0) & (F.col("n") >= min(min_words, exact_words))).drop("n")
     # The one shuffle of texts; everything up to the fingerprints stays where it put the lines.
-    firsts = lines.where((F.col("n") > 0) & (F.col("n") >= min_words)).select("node", "n", "line").dropDuplicates(["node"])
+    # Shorter lines are near none but their equals, which are one node already.
+    firsts = lines.where((F.col("n") > 0) & (F.col("n") >= max(min_words, least_near(similarity)))).select("node", "n", "line").dropDuplicates(["node"])
     printed = materialise(fingerprints(firsts), "prints")
     members = printed.select(F.explode(F.array(*_keys(blocks(similarity, recall)))).alias("bucket"), "node")
     most = most_bits(similarity)

@@ -633,3 +633,27 @@ def test_decontamination_edges(spark):
     assert sorted((str(r.doc_id), r["_items"] or "", r.contaminated, tuple(r.item_ids)) for r in got) == sorted(
         (str(i), e or "", bool(t) and "w3" in t.lower(), (1,) if t and "w3" in t.lower() else ()) for i, t, e in rows)
     assert decontaminate.contamination(docs.limit(0), benchmark).count() == 0
+
+
+def test_lines_too_short_for_an_edit_are_near_none():
+    for similarity in (0.5, 0.75, 0.8, 0.9, 0.95, 0.98):
+        least = lines.least_near(similarity)
+        near = [n for n in range(1, 80) for m in range(n, 160) for most in [int(m * (1 - similarity) + 1e-9)] if most >= max(1, m - n)]
+        assert min(near) == least
+    assert lines.least_near(1.0) > 1 << 30
+
+
+def test_surrogates_of_whole_names_and_clashing_columns(spark):
+    rows = [(1, "Mr. Jean-Luc Picard met Ms. O'Neil and Mrs. Ann D’Arcy-Smith.", "keep", 7, "p"), (1, "Mr. Jean-Luc Picard met Ms. O'Neil and Mrs. Ann D’Arcy-Smith.", "keep", 7, "p"),
+            (None, "Mr. Picard's", "x", 8, "q"), (2, None, None, None, None), (3, "", "y", 9, "r")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `_id` string, `_row` int, `_pieces` string").withColumn("_changes", F.lit("c"))
+    out = pii.replace_entities(docs, "k")
+    got = out.collect()
+    assert out.columns == [*docs.columns, "n_entities", "kinds"]
+    assert sorted(((r.doc_id, r["_id"], r["_row"], r["_pieces"], r["_changes"]) for r in got), key=str) == sorted(((i, a, b, c, "c") for i, _, a, b, c in rows), key=str)
+    one, two = [r for r in got if r.doc_id == 1]
+    assert one.text == two.text and one.n_entities == 5
+    assert not any(part in one.text for part in ("Jean", "Luc", "Picard", "Neil", "D’Arcy", "Smith", "Ann "))
+    alone = next(r for r in got if r.doc_id is None)
+    assert alone.text.endswith("'s") and alone.text.split()[1][:-2] in one.text and alone.n_entities == 1
+    assert pii.replace_entities(docs.limit(0), "k").count() == 0
