@@ -172,8 +172,30 @@ def test_near_lines_are_found_at_the_threshold(spark):
     assert min(found[:3]) >= 0.84 and min(found[3:5]) >= 0.96 and found[5:] == [0, 0], found
 
 
+@pytest.mark.parametrize("similarity", [0.95, 0.9, 0.8])
+def test_no_near_line_is_left_out(spark, similarity):
+    """Every pair with as many edits as the similarity allows is found, spread evenly or anywhere, and none with one more."""
+    draw = random.Random(31)
+    vocabulary = ["".join(draw.choices("abcdefghijklmno", k=draw.randint(2, 10))) for _ in range(9000)]
+    texts, near = [], []
+    for n in [20, 21, 24, 25, 31, 39, 40, 41, 59, 60, 61, 80, 100, 160, 400] * 8:
+        line, k = draw.sample(vocabulary, n), lines.most_edits(similarity, n)
+        for edits in (k, k + 1):
+            even = len(near) % 4 < 2
+            places = [(j + 1) * n // (edits + 1) for j in range(edits)] if even else sorted(draw.sample(range(n), edits))
+            other = line[:]
+            for at in reversed(places):
+                # The longer line has n words: words go or change, none comes.
+                other[at : at + 1] = [] if draw.random() < 0.5 else [draw.choice(vocabulary)]
+            texts.append("\n".join([" ".join(line), " ".join(other)]))
+            near.append(edit(line, other) <= k)
+            line = draw.sample(vocabulary, n)
+    got = [r.n_removed for r in lines.dedupe_lines(docs_of(spark, texts), similarity=similarity).orderBy("doc_id").collect()]
+    assert got == [int(x) for x in near] and sum(near) >= len(near) // 2
+
+
 def test_line_groups_against_all_pairs(spark):
-    """Groups are those of brute force over fingerprints made word by word: blocks, carried bits and edits."""
+    """Groups are those of all pairs within the edits; fingerprints of whole lines are those made word by word."""
     draw = random.Random(29)
     vocabulary = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(60)]
     texts = []
@@ -195,8 +217,6 @@ def test_line_groups_against_all_pairs(spark):
     made = lines.fingerprints(spark.createDataFrame([(nodes[t], len(t.split()), t) for t in distinct], "node long, n int, line string")).collect()
     back = {nodes[t]: t for t in distinct}
     assert len(made) == len(distinct) and all([r[f"p{k}"] % 2**64 for k in range(3)] == prints[back[r.line_node]] for r in made)
-    pieces = {t: [prints[t][j // 9] >> 7 * (j % 9) & 127 for j in range(27)] for t in distinct}
-    chosen, most = lines.blocks(0.95, 0.9), lines.most_bits(0.95)
     parent = {t: t for t in distinct}
 
     def root(t):
@@ -207,10 +227,8 @@ def test_line_groups_against_all_pairs(spark):
     for i, a in enumerate(distinct):
         for b in distinct[:i]:
             n = max(len(a.split()), len(b.split()))
-            carried = ((prints[a][0] ^ prints[b][0]) & 0xFFFFFFFF).bit_count()
-            if root(a) != root(b) and carried <= most and any(all(pieces[a][j] == pieces[b][j] for j in c) for c in chosen):
-                if edit(a.split(), b.split()) <= int(n * 0.05 + 1e-9):
-                    parent[root(a)] = root(b)
+            if root(a) != root(b) and edit(a.split(), b.split()) <= int(n * 0.05 + 1e-9):
+                parent[root(a)] = root(b)
     rows = lines.document_rows(docs_of(spark, texts), "doc_id", "text")
     groups = {r.id: r.group for r in lines.line_groups(rows, 0.95, 0.9, 5, 5).collect()}
     by_group, by_root = {}, {}
