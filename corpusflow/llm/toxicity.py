@@ -22,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from corpusflow.llm.textbytes import mix, raw, slices
+from corpusflow.session import materialise
 
 #: Lengths of the n-grams in bytes.
 ORDERS = (3, 4, 5)
@@ -70,16 +71,30 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             sets = [np.unique(grams(t)) for t in per_text(part.column("text"))]
+            digests = pa.array([hashlib.sha256(s.tobytes()).digest() for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("label"), pa.array(sets, pa.list_(pa.int32()))], ["id", "label", "slots"]
+                [part.column("id"), part.column("label"), digests, pa.array(sets, pa.list_(pa.int32()))], ["id", "label", "digest", "slots"]
             )
 
 
+_SETS = "id string, label int, digest binary, slots array<int>"
+
+
+def _only(wanted: np.ndarray):
+    """Rows with those of their slots that are wanted."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = batch.column("slots")
+            kept = [s[wanted[s]] for s in (x.values.to_numpy() for x in slots)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(kept, pa.list_(pa.int32()))], batch.schema.names)
+
+    return scan
+
+
 def _order(rows: pa.Table) -> pa.Array:
-    """Places of the rows by id, label and slots."""
-    slots = [hashlib.sha256(s.values.to_numpy().tobytes()).digest() for s in rows.column("slots")]
-    keyed = pa.table({"id": rows.column("id"), "label": rows.column("label"), "slots": pa.array(slots, pa.binary())})
-    return pc.sort_indices(keyed, sort_keys=[(c, "ascending") for c in keyed.column_names])
+    """Places of the rows by id, label and the digest of all their slots."""
+    return pc.sort_indices(rows.drop_columns(["slots"]), sort_keys=[(c, "ascending") for c in ("id", "label", "digest")])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
@@ -96,26 +111,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # Two times max_rows rows of two numbers at most.
     chosen = F.broadcast(sample[0].union(sample[1]))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    got = texts.join(chosen, "id").select(F.col("id").cast("string"), "label", "text").mapInArrow(_features, "id string, label int, slots array<int>").toArrow()
-    # One order, whatever the partitions, so that sums of floats and with them the scores are the same.
-    got = got.take(_order(got))
-    labels = got.column("label").to_numpy().astype(np.float64)
-    slots = got.column("slots").combine_chunks()
+    sets = texts.join(chosen, "id").select(F.col("id").cast("string"), "label", "text").mapInArrow(_features, _SETS)
+    sets = materialise(sets, "features")
+    by_label = {r.label: r.n for r in sets.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     size = 1 << SLOT_BITS
-    toxic, clean = float(labels.sum()), float(len(labels) - labels.sum())
+    toxic, clean = float(by_label.get(1, 0)), float(by_label.get(0, 0))
     if not toxic or not clean:
-        share = toxic / len(labels) if len(labels) else prior
+        n = toxic + clean
+        share = toxic / n if n else prior
         return Model(np.zeros(size, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    cells, ends = slots.flatten().to_numpy(), slots.offsets.to_numpy()
-    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(ends))
-    ones = np.bincount(cells[labels[owner] == 1], minlength=size)
-    zeros = np.bincount(cells, minlength=size) - ones
+    # The slots are counted by Spark; a row for each slot at most comes here, and then the slots with a ratio alone.
+    counted = sets.select("label", F.explode("slots").alias("slot")).groupBy("slot").agg(
+        F.sum("label").alias("ones"), F.count(F.lit(1)).alias("all")
+    ).toArrow()
+    ones, every = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    ones[counted.column("slot").to_numpy()] = counted.column("ones").to_numpy()
+    every[counted.column("slot").to_numpy()] = counted.column("all").to_numpy()
+    zeros = every - ones
     in_toxic, in_clean = (ones + 1) / (toxic + 2), (zeros + 1) / (clean + 2)
     both = (ones + zeros + 2) / (toxic + clean + 4)
     z = (in_toxic - in_clean) / np.sqrt(both * (1 - both) * (1 / toxic + 1 / clean) + 1e-12)
     ratio = np.where((ones + zeros >= 3) & (np.abs(z) > least_z), np.log(in_toxic / in_clean), 0.0)
-    kept = ratio[cells] != 0.0
-    cells, owner = cells[kept], owner[kept]
+    got = sets.mapInArrow(_only(ratio != 0.0), _SETS).toArrow()
+    # One order, whatever the partitions, so that sums of floats and with them the scores are the same.
+    got = got.take(_order(got))
+    labels = got.column("label").to_numpy().astype(np.float64)
+    slots = got.column("slots").combine_chunks()
+    cells, ends = slots.flatten().to_numpy(), slots.offsets.to_numpy()
+    owner = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(ends))
     weights, bias = _logistic(cells, ratio[cells], owner, labels, size, strength, rounds)
     return Model((weights * ratio).astype(np.float32), bias + float(np.log(prior / (1 - prior))))
 

@@ -611,6 +611,18 @@ def test_toxicity_fit_does_not_depend_on_partitions(spark, sf):
     assert one.bias == two.bias and (one.weights == two.weights).all()
 
 
+def test_toxicity_fit_sends_only_slots_with_a_weight_to_the_driver(spark, monkeypatch):
+    """Of long texts with few telling n-grams the driver gets these n-grams alone."""
+    draw, seen, logistic = random.Random(41), [], toxicity._logistic
+    monkeypatch.setattr(toxicity, "_order", lambda rows, order=toxicity._order: seen.append(rows.nbytes) or order(rows))
+    monkeypatch.setattr(toxicity, "_logistic", lambda cells, *rest: seen.append(len(cells)) or logistic(cells, *rest))
+    texts = [" ".join(draw.choices(["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(40)], k=150) + ["zzzqq"] * (i % 2)) for i in range(80)]
+    docs = docs_of(spark, texts)
+    model = toxicity.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as label"))
+    assert np.count_nonzero(model.weights) > 0
+    assert seen[0] < 80 * 200 + 4 * seen[1] and seen[1] < 80 * 60
+
+
 def test_walks_reach_the_recall_by_length_and_edits():
     """Walks alone, items of 12 words and more, against the edit distance of every run of words."""
     draw = random.Random(77)
