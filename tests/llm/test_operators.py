@@ -315,6 +315,19 @@ def test_suffix_repeats(spark, texts):
     assert got == dict(repeats_by_hand(texts, 50))
 
 
+def test_arrays_are_sent_compressed():
+    """Contexts of words that come again take less than half of their bytes, and all arrays come back as they were."""
+    draw = random.Random(43)
+    vocabulary = ["".join(draw.choices("abcdefgh", k=7)) for _ in range(60)]
+    contexts = np.frombuffer("".join(" ".join(draw.choices(vocabulary, k=40))[:84] for _ in range(300)).encode(), np.uint8).reshape(-1, 84)
+    numbers = np.arange(-5, 5, dtype=np.int64)
+    blobs = suffixes._pack(contexts, numbers, numbers[:0])
+    assert len(blobs[0]) < contexts.size / 2
+    column = pa.chunked_array([pa.array([blobs[1], blobs[2], None, blobs[1]], pa.binary())])
+    assert suffixes._unpack(column, np.int64).tolist() == [*numbers, *numbers]
+    assert (suffixes._unpack(pa.chunked_array([pa.array([blobs[0]], pa.binary())]), np.uint8).reshape(-1, 84) == contexts).all()
+
+
 def test_suffix_sort_is_a_sort():
     draw = np.random.default_rng(2)
     rows = draw.integers(0, 2, (400, 12)).astype(np.uint8)
