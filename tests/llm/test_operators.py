@@ -287,6 +287,32 @@ def test_paragraph_pairs_against_all_pairs(spark):
     assert {(a, b) for a in got for b in got if got[a] == got[b]} == {(a, b) for a in want for b in want if want[a] == want[b]}
 
 
+def test_passages_inside_other_paragraphs(spark):
+    """A run of over 50 words goes from all texts but the first, whatever stands around it; runs of 50 words stay."""
+    draw = random.Random(51)
+    word = lambda: "".join(draw.choices("abcdefghijklm", k=7))
+    some = lambda n: " ".join(word() for _ in range(n))
+    long, short, line = some(51), some(50), some(60)
+    texts = [f"{some(40)} {long} {some(9)}\n{short}x {some(30)}", f"{some(70)} {long}", f"{long} {some(30)}\nown", f"{some(20)} {short}  {some(5)}", f"{some(20)} {short} {some(9)}",
+             line, f"own\n{line}", "the " * 300, "of the " + "the " * 120, None, f"{some(12)}\n{some(3)} {long.upper()}"]
+    got = {r.doc_id: r for r in paragraphs.dedupe_paragraphs(docs_of(spark, texts), passage_words=51).collect()}
+    assert {i: (r.n_removed, r.n_passage_words) for i, r in got.items() if r.n_removed} == {1: (1, 51), 2: (1, 51), 6: (1, 60), 8: (1, 121), 10: (1, 51)}
+    assert got[1].text == texts[1][: -len(long) - 1] and got[2].text == texts[2][len(long) + 1 :] and got[6].text == "own" and got[8].text == "of"
+    assert all(got[i].text == texts[i] and got[i].n_passage_words == 0 for i in (0, 3, 4, 5, 7, 9))
+    assert got[10].text == texts[10][: -len(long) - 1]
+
+
+def test_passages_against_all_windows(spark):
+    texts = some_texts(52, n=60, words=90)
+    got = {r.doc_id: r.n_passage_words > 0 for r in paragraphs.dedupe_paragraphs(docs_of(spark, texts), similarity=0.999, passage_words=20).collect()}
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        own = {tuple(t.split()[k : k + 20]) for k in range(len(t.split()) - 19)}
+        want[i] = bool(own & seen)
+        seen |= own
+    assert got == want and 5 < sum(want.values()) < 55
+
+
 def test_band_count_reaches_recall():
     for similarity, recall in ((0.8, 0.99), (0.9, 0.95), (0.5, 0.9)):
         n = paragraphs.band_count(similarity, recall)
