@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -341,6 +342,22 @@ def test_suffix_repeats(spark, texts):
     assert got == dict(repeats_by_hand(texts, 50))
 
 
+def test_anchors_of_a_slice_take_bounded_memory():
+    """A slice's anchors are those of each text, and hashing it holds temporaries of a part of the slice only."""
+    draw = random.Random(44)
+    texts = ["".join(draw.choices("abcdefgh ", k=draw.choice([0, 49, 50, 51, 3000, 9000]))).encode() for _ in range(300)] + ["é\n".encode() * 60_000, None]
+    part = pa.RecordBatch.from_arrays([pa.array(range(302), pa.int64()), pa.array([0] * 302, pa.int64()), pa.array(texts, pa.binary())], ["id", "row", "text"])
+    tracemalloc.start()
+    got = list(suffixes._flag_scan(50, 4)([part]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    size = sum(len(t or b"") for t in texts)
+    assert got and peak < 40 * size, peak / size
+    found = suffixes._anchors(part, 50)
+    whole = suffixes.anchors(*suffixes.raw(part.column("text")), 50)
+    assert all((a == b).all() for a, b in zip(found, whole)) and len(found[0]) > 10_000
+
+
 def test_arrays_are_sent_compressed():
     """Contexts of words that come again take less than half of their bytes, and all arrays come back as they were."""
     draw = random.Random(43)
