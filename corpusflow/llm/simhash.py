@@ -123,11 +123,12 @@ def near_duplicates(
 
     # The condition is exact: pairs that meet it are links.
     classes = linked_classes(covered(firsts), lambda pairs: pairs, near)
-    placed = firsts.join(classes, "node", "left").select("node", "first", F.coalesce("component", "node").alias("class"))
+    # Copies make files of fingerprints small for their rows, so none of these joins is left to Spark's estimate.
+    placed = firsts.join(classes.hint("merge"), "node", "left").select("node", "first", F.coalesce("component", "node").alias("class"))
     smallest = placed.groupBy("class").agg(F.min("first").alias("component_id"))
-    by_print = placed.join(smallest, "class").select(F.col("node").alias("fp"), "component_id")
+    by_print = placed.join(smallest.hint("merge"), "class").select(F.col("node").alias("fp"), "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(by_print, "fp").select(F.col("id").alias(id_col), hexed.alias("fingerprint"), "component_id")
+    return prints.join(by_print.hint("merge"), "fp").select(F.col("id").alias(id_col), hexed.alias("fingerprint"), "component_id")
 
 
 def differing(similarity: float) -> float:
@@ -224,5 +225,5 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pairs.join(one, "a").join(two, "b").where(sum(apart[1:], apart[0]) <= most).select("a", "b")
 
     classes = linked_classes(nodes.mapInArrow(_covering, "bucket bigint, node bigint"), verify, close)
-    placed = named.select("id", "row", "node").join(classes, "node", "left")
+    placed = named.select("id", "row", "node").join(classes.hint("merge"), "node", "left")
     return placed.select("id", "row", F.coalesce("component", "node").alias("group"))

@@ -77,6 +77,16 @@ def test_linking_loses_no_link_in_mixed_buckets(spark):
     assert {r.node: r.component for r in got.collect()} == {n: c for n, c in want.items() if any(n in p for p in linked)}
 
 
+def test_exploded_members_are_not_broadcast(spark, monkeypatch):
+    """Members come out of an explode, which Spark sizes like the few rows before it."""
+    plans, write = [], linking.materialise
+    planned = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(linking, "materialise", lambda df, label: planned(df) or write(df, label))
+    got = simhash.near_duplicates(docs_of(spark, some_texts(1, n=40, words=60)))
+    planned(got)
+    assert got.count() == 40 and len(plans) >= 4 and not any("Broadcast" in plan for plan in plans)
+
+
 def simhash_by_hand(text, width):
     words = WORD.findall(text)
     words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in words]
