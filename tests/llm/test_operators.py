@@ -368,6 +368,39 @@ def test_anchors_of_a_slice_take_bounded_memory():
     assert all((a == b).all() for a, b in zip(found, whole)) and len(found[0]) > 10_000
 
 
+def test_anchors_are_dealt_evenly():
+    """A sliding minimum favours small hashes; the ranges that anchors are sent to must not follow their order. What is sent comes back."""
+    draw = random.Random(45)
+    texts = ["".join(draw.choices("abcdefgh ", k=9000)).encode() for _ in range(100)]
+    part = pa.RecordBatch.from_arrays([pa.array(range(7, 107), pa.int64()), pa.array([0] * 100, pa.int64()), pa.array(texts, pa.binary())], ["id", "row", "text"])
+    sent = pa.Table.from_batches(suffixes._flag_scan(50, 16)([part]))
+    ids, ranges = [], Counter()
+    for at, blob in zip(sent.column("range").to_pylist(), sent.column("ids")):
+        some = suffixes._sums(pa.chunked_array([pa.array([blob.as_py()], pa.binary())]))
+        ids += some.tolist()
+        ranges[at] += len(some)
+    assert len(ranges) == 16 and max(ranges.values()) < 1.2 * min(ranges.values())
+    text, _, keys, _, _ = suffixes._anchors(part, 50)
+    assert Counter(ids) == Counter((text + 7).tolist())
+    assert (suffixes._long(suffixes._short(keys).ravel()) == keys >> np.uint64(24)).all()
+
+
+def test_ranges_send_a_row_for_each_part(spark):
+    """What a range finds is a row for each part of the documents, however many of them hold it; the parts give each document its own."""
+    n = 5000
+    ids, rows, values = np.arange(n) % 900 - 3, np.arange(n) % 2 - (np.arange(n) % 7 << 60), np.arange(2 * n, dtype=np.int32).reshape(-1, 2)
+    found = suffixes._by_part(ids, rows, values, 4)
+    assert found.num_rows == 4 and suffixes._by_part(ids[:0], rows[:0], values[:0], 4).num_rows == 0
+    got = {}
+    for k in range(4):
+        each = suffixes._gather(2)(found.slice(k, 1))
+        got |= {(i, r): np.frombuffer(b, np.int32).reshape(-1, 2).tolist() for i, r, b in zip(*each.to_pydict().values())}
+    want = {}
+    for i, r, v in zip(ids.tolist(), rows.tolist(), values.tolist()):
+        want.setdefault((i, r), []).append(v)
+    assert got == want
+
+
 def test_arrays_are_sent_compressed():
     """Contexts of words that come again take less than half of their bytes, and all arrays come back as they were."""
     draw = random.Random(43)
