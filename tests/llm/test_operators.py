@@ -650,6 +650,49 @@ def test_lines_alike_in_keys_only_make_no_pairs(spark, monkeypatch):
     assert sum(r.n_removed for r in got) == 0 and seen and sum(seen) <= 6
 
 
+@pytest.mark.parametrize(("words", "run"), [(100, 8), (30, 12)])
+def test_lines_with_common_runs_make_no_pairs(spark, monkeypatch, words, run):
+    """Lines that share runs of words and are not near meet in no block: not in short runs of long lines, nor in runs that stand elsewhere."""
+    draw = random.Random(47)
+    word = lambda: "".join(draw.choices("abcdefghijklm", k=7))
+    common = [[word() for _ in range(run)] for _ in range(words // 20)]
+    texts = []
+    for k in range(40):
+        parts = [*[[*c, word()] for c in common], *[[word()] for _ in range(words - (run + 1) * len(common))]]
+        if words > 50:
+            draw.shuffle(parts)
+        else:
+            parts = parts[1 : 2 + k % 10] + parts[:1] + parts[2 + k % 10 :]
+        texts.append(" ".join(w for part in parts for w in part))
+    seen, link = [], lines.linked_classes
+
+    def counting(members, verify, *given):
+        seen.append(members.groupBy("bucket").count().where("count > 1").count())
+        return link(members, verify, *given)
+
+    monkeypatch.setattr(lines, "linked_classes", counting)
+    got = lines.dedupe_lines(docs_of(spark, texts)).collect()
+    assert len(got) == 40 and sum(r.n_removed for r in got) == 0 and seen == [0]
+
+
+@pytest.mark.parametrize("similarity", [0.95, 0.9, 0.8, 0.6])
+def test_pieces_meet_within_the_edits(similarity):
+    """Of lines within the edits, however these stand, one piece is the same words at places that both look at."""
+    draw, met = random.Random(48), 0
+    first = lines.first_banded(similarity)
+    assert first > lines.least_near(similarity) + 1 and lines.bands(similarity)[0][0] == first
+    for _ in range(2000):
+        line = [draw.random() for _ in range(draw.randrange(lines.least_near(similarity) + 1, first))]
+        other = line[:]
+        for _ in range(lines.most_edits(similarity, len(line))):
+            at, kind = draw.randrange(len(other)), draw.randrange(3)
+            other[at : at + 1] = [[draw.random()], [], [other[at], draw.random()][: 1 + (len(other) < len(line))]][kind]
+        one, two = [{(n, i, tuple(x[at : at + size])) for n, i, at, size in lines.pieces(similarity, len(x))} for x in (line, other)]
+        assert one & two
+        met += len(other) < len(line)
+    assert met > 100
+
+
 def test_equal_short_lines_are_cut_where_asked_for(spark, tmp_path):
     texts = ["Read more.\n----\n\none", "read MORE\n----\n\n这是一个没有空格的重复的句子", "这是一个没有空格的重复的句子。\nread less"]
     docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
